@@ -21,7 +21,7 @@ def connect(sf_dir):
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return "nan" if math.isnan(value) else value
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value

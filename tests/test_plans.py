@@ -1,0 +1,202 @@
+"""Results that must hold whatever the data, and the shape of the plans."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_module
+from tractscope import fixtures as fx
+from tractscope.operators.locate import attach_tract
+from tractscope.operators.lookup import lookup_counties
+from tractscope.operators.ranking import rank_by_count, top_ranked
+from tractscope.operators.tract_index import build_tract_index
+from tractscope.operators.trend import yearly_trend
+from tractscope.plans import incidents, loans
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = entry_module.queries()
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(frame):
+    return sorted(map(str, frame.collect()))
+
+
+READS_ONLY = [n for n in QUERIES if not n.startswith(("src_", "sink_"))]
+
+
+@pytest.mark.parametrize("name", READS_ONLY)
+def test_plan_has_no_python_and_no_pairwise_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    for bad in ["BatchEvalPython", "ArrowEvalPython", "NestedLoopJoin", "CartesianProduct"]:
+        assert bad not in plan
+    assert "InPandas" not in plan
+
+
+def test_located_reports_are_not_shuffled(spark):
+    """The only exchanges of the join belong to the boundary index."""
+    frame = QUERIES["incident_tract_join"](spark, SF_DIR)
+    report_side = plan_of(frame).split("BroadcastExchange")[0]
+    assert "Exchange" not in report_side
+    assert "BroadcastHashJoin" in report_side
+
+
+def test_large_index_is_not_broadcast(spark):
+    """Beyond the bound the cells go through a shuffle join on cell and salt."""
+    index = build_tract_index(fx.tracts(spark, SF_DIR), broadcast_bytes=0)
+    clean = QUERIES["incident_clean"](spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(incidents.tract_years(clean, index))
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_top_k_limits_groups_before_the_shuffle(spark):
+    assert plan_of(QUERIES["top_tracts_per_level"](spark, SF_DIR)).count("WindowGroupLimit") == 2
+
+
+def test_scan_reads_only_needed_columns(spark):
+    plan = plan_of(QUERIES["distinct_coordinates"](spark, SF_DIR))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
+
+
+def test_prefix_reaches_the_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "v2")
+    fx.loans_in_layout(spark, SF_DIR, "v2").write.parquet(path)
+    plan = plan_of(spark.read.parquet(path).where(loans.eligible_v2()))
+    assert "StringStartsWith(derived_dwelling_category,Single Family)" in plan
+
+
+def test_sort_is_global(spark):
+    frame = incidents.sort_by_location(QUERIES["incident_clean"](spark, SF_DIR))
+    keys = [(row.longitude, row.latitude) for row in frame.collect()]
+    assert keys == sorted(keys)
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    names = ["loan_tract_rank", "incident_trend", "area_profile", "city_county_lookup"]
+    before = {name: rows_of(QUERIES[name](spark, SF_DIR)) for name in names}
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert before == {name: rows_of(QUERIES[name](spark, SF_DIR)) for name in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_results_do_not_depend_on_ansi_mode(spark, either_mode):
+    assert QUERIES["loan_tract_rank"](spark, SF_DIR).count() == 35
+    assert QUERIES["area_profile"](spark, SF_DIR).count() > 0
+
+
+def test_counts_add_up(spark):
+    clean = QUERIES["incident_clean"](spark, SF_DIR)
+    years = QUERIES["incident_tract_year"](spark, SF_DIR)
+    assert clean.count() == 5949
+    assert years.agg(F.sum("total_count")).first()[0] == 5949
+    assert years.where("tract = 'n/a'").agg(F.sum("total_count")).first()[0] == 852
+    assert years.count() == 84
+    months = QUERIES["incident_tract_month"](spark, SF_DIR)
+    by_months = incidents.years_of_months(months).select("city", "tract", "year", "total_count")
+    assert rows_of(by_months) == rows_of(years.select("city", "tract", "year", "total_count"))
+    detail = QUERIES["loan_detail"](spark, SF_DIR)
+    counts = QUERIES["loan_level_tract_count"](spark, SF_DIR)
+    assert counts.agg(F.sum("count")).first()[0] == detail.count() == 38
+
+
+def test_anchors(spark):
+    assert QUERIES["distinct_coordinates"](spark, SF_DIR).count() == 200
+    assert QUERIES["tract_info"](spark, SF_DIR).count() == 35
+    schools = QUERIES["school_tract"](spark, SF_DIR)
+    assert schools.count() == 10 and schools.where("tract <> 'n/a'").count() == 8
+
+
+def test_rank_has_ties_and_gaps(spark):
+    counts = spark.createDataFrame(
+        [("a", "x", 5), ("a", "y", 5), ("a", "z", 3), (None, "x", 1), (None, None, 1)],
+        "level string, tract string, count long",
+    )
+    ranked = rank_by_count(counts, ["level"])
+    assert sorted((str(r.level), str(r.tract), r.rank) for r in ranked.collect()) == [
+        ("None", "None", 1), ("None", "x", 1), ("a", "x", 1), ("a", "y", 1), ("a", "z", 3),
+    ]
+    assert top_ranked(ranked, 1).count() == 4
+
+
+def test_trend_compares_consecutive_years_only(spark):
+    counts = spark.createDataFrame(
+        [("t", 2015, 4), ("t", 2016, 6), ("t", 2018, 6), ("t", 2019, 6), ("t", 2020, 1),
+         ("t", None, 9), ("u", 2016, 1)],
+        "tract string, year int, total_count long",
+    )
+    found = {(r.tract, r.year): (r.change, r.direction) for r in yearly_trend(counts, ["tract"]).collect()}
+    assert found == {
+        ("t", 2015): (None, None), ("t", 2016): (2, "up"), ("t", 2018): (None, None),
+        ("t", 2019): (0, "same"), ("t", 2020): (-5, "down"), ("u", 2016): (None, None),
+    }
+
+
+def test_period_filter(spark):
+    frame = spark.createDataFrame(
+        [(2018, 3), (2018, 4), (2017, 3), (None, None)], "year int, month int"
+    )
+
+    def found(*period):
+        return sorted(str(tuple(row)) for row in incidents.in_period(frame, *period).collect())
+
+    assert found(2018, 3) == found("2018", "3") == ["(2018, 3)"]
+    assert found(2018) == found(2018, "") == found(2018, None) == ["(2018, 3)", "(2018, 4)"]
+    assert len(found(None, 3)) == len(found("", 3)) == len(found()) == 4
+
+
+def test_rate_without_population_is_null(spark):
+    years = spark.createDataFrame(
+        [("a", 2018, 6), ("b", 2018, 1), ("c", 2018, 1)], "tract string, year int, total_count long"
+    )
+    people = spark.createDataFrame(
+        [("a", 2018, 4), ("b", 2018, 0)], "tract string, year int, tract_population int"
+    )
+    rates = {r.tract: r.crime_rate for r in incidents.incident_rates(years, people).collect()}
+    assert rates == {"a": 1.5, "b": None, "c": None}
+
+
+def test_county_lookup(spark):
+    places = spark.createDataFrame(
+        [("San Francisco city", "CA", "San Francisco county CA", "06075"),
+         ("San Fernando", "CA", "Los Angeles county CA", "06037"),
+         ("San Francisco", "XX", "Other XX", "99999"), (None, "CA", "Nameless CA", "00000")],
+        "cityname string, state string, countyname string, countycode string",
+    )
+    requests = spark.createDataFrame(
+        [("San Francisco", "CA"), ("San", "CA"), ("Oakland", "CA"), ("San Francisco", "CA")],
+        "city string, state string",
+    )
+    found = {r.city: (r.county_name, r.county_code) for r in lookup_counties(requests, places).collect()}
+    assert found == {
+        "San Francisco": ("San Francisco county", "06075"),
+        "San": ("Los Angeles county", "06037"),
+        "Oakland": ("", ""),
+    }
+
+
+def test_one_hot_coordinate_and_one_hot_tract(spark):
+    """Half of the rows at one coordinate, a quarter nowhere: all counted."""
+    hot = spark.range(20000).select(
+        F.when(F.col("id") % 2 == 0, "-122.450000")
+        .when(F.col("id") % 4 == 1, "0.0")
+        .otherwise(F.format_string("-122.%06d", F.col("id") % 500 * 1000))
+        .alias("longitude"),
+        F.lit("37.715").alias("latitude"),
+    )
+    for limit in [2**30, 0]:
+        index = build_tract_index(fx.tracts(spark, SF_DIR), broadcast_bytes=limit)
+        located = attach_tract(hot, index)
+        assert located.count() == 20000
+        assert located.where("longitude = '0.0' and tract = 'n/a'").count() == 5000
+        assert located.where("longitude = '-122.450000' and tract <> 'n/a'").count() == 10000

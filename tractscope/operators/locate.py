@@ -22,16 +22,13 @@ SALTS = 16
 _NO_CELL = 10**15
 
 
-def _degrees(value: Column, limit: int) -> Column:
-    """Number of a coordinate text, null when unreadable or off the globe."""
-    number = value.try_cast("double")
-    return F.when(number.between(-limit, limit), number)
+def _degrees(value: Column) -> Column:
+    """Number of a coordinate text, null when unreadable; NaN is no place either."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def _with_cell(df: DataFrame, index: TractIndex, x: str, y: str) -> DataFrame:
-    return df.withColumns(
-        {"_x": _degrees(F.col(x), 180), "_y": _degrees(F.col(y), 90)}
-    ).withColumns(
+    return df.withColumns({"_x": _degrees(F.col(x)), "_y": _degrees(F.col(y))}).withColumns(
         {
             "cell_x": F.floor(F.col("_x") / index.cell_size),
             "cell_y": F.floor(F.col("_y") / index.cell_size),

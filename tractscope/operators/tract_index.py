@@ -18,8 +18,8 @@ DEFAULT_CELL = 0.01
 
 # The index is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-_CELL_BYTES = 64
-_EDGE_BYTES = 40
+_CELL_BYTES = 160
+_EDGE_BYTES = 48
 
 # Cells are treated as this much larger, so a point whose cell number is off by one
 # rounding step still finds every edge it needs.
@@ -95,7 +95,6 @@ def _tract_cells(tracts: DataFrame, size: float) -> DataFrame:
         .withColumn("east", F.greatest(F.array_max(sides.x), F.array_max(sides.x_high)))
         .withColumn("south", F.array_min(sides.low))
         .withColumn("north", F.array_max(sides.high))
-        .where(F.col("west").isNotNull() & F.col("south").isNotNull())
     )
 
     def cell_numbers(low, high):

@@ -13,7 +13,7 @@ from tractscope.operators.lookup import lookup_counties
 from tractscope.operators.tract_index import build_tract_index
 from tractscope.plans import incidents, loans, profile, schools
 from tractscope.plans.refresh import INCIDENT_SCHEMA, LOAN_SCHEMA
-from tractscope.session import new_table_path
+from tractscope.session import new_table_path, write_once
 from tractscope.sinks.tables import read_partitions, write_incidents, write_loans
 from tractscope.sources.files import (
     read_csv_header,
@@ -44,13 +44,12 @@ def _city_loans(spark: SparkSession, sf_dir: str, year=None) -> DataFrame:
     return loans.city_loans(loans.eligible_loans(fx.loans_raw(spark, sf_dir)), CATALOG, year)
 
 
-def _ranks(spark, sf_dir):
-    detail = loans.loan_detail(_city_loans(spark, sf_dir))
-    return loans.tract_ranks(loans.level_counts(detail))
+def _ranks(city_loans):
+    return loans.tract_ranks(loans.level_counts(loans.loan_detail(city_loans)))
 
 
-def _population(spark, sf_dir):
-    return loans.tract_population(loans.tract_info(_city_loans(spark, sf_dir)))
+def _population(city_loans):
+    return loans.tract_population(loans.tract_info(city_loans))
 
 
 def _clean(spark, sf_dir):
@@ -66,21 +65,17 @@ def _tract_years(spark, sf_dir):
     return incidents.tract_years(_clean(spark, sf_dir), _index(spark, sf_dir))
 
 
-def _school_tracts(spark, sf_dir):
-    return schools.school_tracts(fx.schools_raw(spark, sf_dir), _index(spark, sf_dir))
-
-
 # --- loans ----------------------------------------------------------------------
 
 
 @query
 def loan_tract_rank(spark, sf_dir):
-    return _ranks(spark, sf_dir)
+    return _ranks(_city_loans(spark, sf_dir))
 
 
 @query
 def top_tracts_per_level(spark, sf_dir):
-    return loans.top_tracts(_ranks(spark, sf_dir), TOP_K)
+    return loans.top_tracts(_ranks(_city_loans(spark, sf_dir)), TOP_K)
 
 
 @query
@@ -251,7 +246,8 @@ def incident_trend(spark, sf_dir):
 
 @query
 def incident_rate(spark, sf_dir):
-    return incidents.incident_rates(_tract_years(spark, sf_dir), _population(spark, sf_dir))
+    population = _population(_city_loans(spark, sf_dir))
+    return incidents.incident_rates(_tract_years(spark, sf_dir), population)
 
 
 # --- schools, lookup, profile ---------------------------------------------------
@@ -259,12 +255,12 @@ def incident_rate(spark, sf_dir):
 
 @query
 def school_tract(spark, sf_dir):
-    return _school_tracts(spark, sf_dir)
+    return schools.school_tracts(fx.schools_raw(spark, sf_dir), _index(spark, sf_dir))
 
 
 @query
 def schools_by_tract(spark, sf_dir):
-    return schools.schools_by_tract(_school_tracts(spark, sf_dir))
+    return schools.schools_by_tract(school_tract(spark, sf_dir))
 
 
 @query
@@ -274,11 +270,15 @@ def city_county_lookup(spark, sf_dir):
 
 @query
 def area_profile(spark, sf_dir):
+    """Two marts need the loans, so these are written once; one index serves both joins."""
+    index = _index(spark, sf_dir)
+    city_loans = write_once(_city_loans(spark, sf_dir), "city-loans")
+    school_rows = schools.school_tracts(fx.schools_raw(spark, sf_dir), index)
     return profile.area_profile(
-        _population(spark, sf_dir),
-        _tract_years(spark, sf_dir),
-        _ranks(spark, sf_dir),
-        schools.schools_by_tract(_school_tracts(spark, sf_dir)),
+        _population(city_loans),
+        incidents.tract_years(_clean(spark, sf_dir), index),
+        _ranks(city_loans),
+        schools.schools_by_tract(school_rows),
     )
 
 
