@@ -14,8 +14,12 @@ def test_listed_year_has_its_version_and_others_the_latest(spark):
     assert found == {2007: "v1", 2017: "v1", 2018: "v2", 2019: "v2", 2006: "v2", 2030: "v2"}
     assert city.incident_version(None) == city.incident_version("") == "v2"
     frame = spark.createDataFrame([(year,) for year in [*found, None]], "y int")
-    rows = frame.select("y", city.incident_versions.of_year_column(F.col("y")).alias("v"))
-    assert {row.y: row.v for row in rows.collect()} == {**found, None: "v2"}
+    for version in ["v1", "v2"]:
+        mine = city.incident_versions.is_source(version, F.col("y"))
+        rows = {row.y: row.mine for row in frame.select("y", mine.alias("mine")).collect()}
+        assert rows == {**{year: v == version for year, v in found.items()}, None: True}
+    every = Versions({}, "v1").is_source("v1", F.col("y"))
+    assert frame.where(every).count() == len(found) + 1
     assert Versions({}, "v1").of_year(2000) == "v1"
 
 

@@ -147,8 +147,18 @@ def test_period_filter(spark):
         [(2018, 3), (2018, 4), (2017, 3), (None, None)], "year int, month int"
     )
 
+    text = F.when(F.col("year").isNotNull(), F.concat_ws("-", "year", "month", F.lit("9")))
+    raw = frame.select(
+        F.lit("SF").alias("city"), text.alias("date"), F.lit("x").alias("category"),
+        F.lit("1").alias("latitude"), F.lit("2").alias("longitude"),
+    )
+
     def found(*period):
-        return sorted(str(tuple(row)) for row in incidents.in_period(frame, *period).collect())
+        stored = incidents.in_period(frame, *period)
+        read = incidents.clean_incidents(raw, F.col("date").try_cast("date"), *period)
+        rows = sorted(str(tuple(row)) for row in stored.collect())
+        assert rows == sorted(str((row.year, row.month)) for row in read.collect())
+        return rows
 
     assert found(2018, 3) == found("2018", "3") == ["(2018, 3)"]
     assert found(2018) == found(2018, "") == found(2018, None) == ["(2018, 3)", "(2018, 4)"]

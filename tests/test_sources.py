@@ -137,7 +137,9 @@ def test_each_year_comes_from_its_version_once(spark, tmp_path):
         ("SF", "LATEST", 2021), ("LA", "LA", 2018),
     }
     of_2021 = read_incidents(spark, catalog.only(["SF"]), root, 2021).collect()
-    assert {(r.category, r.year) for r in of_2021} == {("NEW", 2018), ("LATEST", 2021)}
+    assert {(r.category, r.year) for r in of_2021} == {("LATEST", 2021)}
+    assert read_incidents(spark, catalog, root, 2017, 12).first().category == "OLD"
+    assert read_incidents(spark, catalog.only(["SF"]), root, 2017, 11).count() == 0
 
 
 def test_versions_without_list(spark, tmp_path):

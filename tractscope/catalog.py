@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # A catalog joined by broadcast may hold this many rows, checked on the driver.
 MAX_DIMENSION_ROWS = 100_000
 
+_NO_YEAR = -1
+
 
 @dataclass(frozen=True)
 class Versions:
@@ -27,12 +29,16 @@ class Versions:
                 return version
         return self.latest
 
-    def of_year_column(self, year: Column) -> Column:
-        listed = [
-            F.when(year.between(first, last), F.lit(version))
-            for version, (first, last) in self.ranges.items()
-        ]
-        return F.coalesce(*listed, F.lit(self.latest))
+    def is_source(self, version: str, year: Column) -> Column:
+        """Whether reports of ``year`` come from ``version``; no year fits every version.
+
+        ``year`` is used once only, because the test ends up in a pushed-down filter.
+        """
+        listed = {v: range(first, last + 1) for v, (first, last) in self.ranges.items()}
+        if version == self.latest:
+            others = [y for v, years in listed.items() if v != version for y in years]
+            return ~F.coalesce(year, F.lit(_NO_YEAR)).isin(others)
+        return F.coalesce(year, F.lit(_NO_YEAR)).isin(_NO_YEAR, *listed.get(version, []))
 
 
 @dataclass(frozen=True)

@@ -100,16 +100,29 @@ def loans_in_layout(spark: SparkSession, sf_dir: str, version: str) -> DataFrame
     return rows.select(*codes, "derived_dwelling_category", "county_code", *facts)
 
 
-def _longitude(key: Column) -> Column:
-    return _degrees(key % 60 * 10000 + (5000 - 122500000))
+def _west_millionths(key: Column) -> Column:
+    """Degrees west of Greenwich, in millionths."""
+    return F.lit(122495000) - key % 60 * 10000
 
 
-def _latitude(key: Column) -> Column:
-    return _degrees(F.floor(key / 60) % 22 * 10000 + (5000 + 37700000))
+def _north_millionths(key: Column) -> Column:
+    return F.floor(key / 60) % 22 * 10000 + 37705000
+
+
+def _decimal_text(millionths: Column, whole_digits: int) -> Column:
+    """``122495000`` as ``122.495000``."""
+    digits = _text(millionths)
+    return F.concat(
+        digits.substr(1, whole_digits), F.lit("."), digits.substr(whole_digits + 1, 6)
+    )
 
 
-def _degrees(millionths: Column) -> Column:
-    return (millionths / 1000000).cast("decimal(9,6)")
+def _longitude(key: Column) -> Column:
+    return F.concat(F.lit("-"), _decimal_text(_west_millionths(key), 3))
+
+
+def _latitude(key: Column) -> Column:
+    return _decimal_text(_north_millionths(key), 2)
 
 
 def incidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,8 +142,8 @@ def incidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_v1, "v1").otherwise("v2").alias("version"),
         date.alias("date"),
         F.concat("l_returnflag", "l_linestatus").alias("category"),
-        F.when(located, _text(_longitude(part))).alias("longitude"),
-        _text(_latitude(part)).alias("latitude"),
+        F.when(located, _longitude(part)).alias("longitude"),
+        _latitude(part).alias("latitude"),
     )
 
 
@@ -163,8 +176,8 @@ def schools_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 17 != 0, key * 13 % 900).alias("enrollment"),
         _by_third(key, ["K-5", "6-8", "9-12"]).alias("gradeRange"),
         (key % 10 + 1).alias("gsRating"),
-        _latitude(place).cast("double").alias("lat"),
-        _longitude(place).cast("double").alias("lon"),
+        (_north_millionths(place) / 1000000).alias("lat"),
+        (-_west_millionths(place) / 1000000).alias("lon"),
     )
 
 

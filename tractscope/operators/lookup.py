@@ -10,16 +10,22 @@ def lookup_counties(requests: DataFrame, places: DataFrame) -> DataFrame:
     """For each (city, state): county of the first place whose name starts with city.
 
     First means smallest (name, county, code). Requests without a match get empty
-    texts. Every place offers all beginnings of its name as equi-join keys, so the
-    join hashes on (state, beginning) instead of comparing every pair; each key
-    matches one request at most, and matches are reduced before the shuffle.
+    texts. Every place offers the beginnings of its name, in the lengths that were
+    asked for, as equi-join keys: the join hashes on (state, beginning) instead of
+    comparing every pair, each key meets one request at most, and matches are reduced
+    before they are shuffled.
     """
     wanted = requests.select("city", "state").distinct()
-    offers = places.select(
-        "state",
-        F.struct("cityname", "countyname", "countycode").alias("place"),
-        F.explode(F.sequence(F.lit(0), F.length("cityname"))).alias("letters"),
-    ).withColumn("city", F.col("place.cityname").substr(F.lit(1), F.col("letters")))
+    lengths = wanted.agg(F.collect_set(F.length("city"))).scalar()
+    offers = (
+        places.select(
+            "state",
+            F.struct("cityname", "countyname", "countycode").alias("place"),
+            F.explode(lengths).alias("letters"),
+        )
+        .where(F.col("letters") <= F.length("place.cityname"))
+        .withColumn("city", F.col("place.cityname").substr(F.lit(1), F.col("letters")))
+    )
     first = (
         offers.join(wanted, ["city", "state"])
         .groupBy("city", "state")

@@ -1,5 +1,7 @@
 """Incident reports: cleaning, period, counts per tract, rates and trends."""
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractscope.operators.locate import count_by_tract
@@ -9,22 +11,36 @@ from tractscope.operators.trend import yearly_trend
 INCIDENT_COLUMNS = ["city", "year", "month", "date", "category", "latitude", "longitude"]
 
 
-def clean_incidents(reports: DataFrame, date: Column) -> DataFrame:
-    """Located reports with year and month of ``date``; an unreadable date leaves nulls."""
-    return (
-        reports.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
-        .withColumn("_day", date)
-        .withColumns({"year": F.year("_day"), "month": F.month("_day")})
-        .select(*INCIDENT_COLUMNS)
+def _given(value) -> bool:
+    return value is not None and value != ""
+
+
+def clean_incidents(reports: DataFrame, date: Column, year=None, month=None) -> DataFrame:
+    """Located reports with year and month of ``date``; an unreadable date leaves nulls.
+
+    A period is tested on the date as a whole: the test is pushed down to the raw rows,
+    where each mention of year or month would parse the text once more.
+    """
+    located = reports.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
+    dated = located.withColumn("_day", date)
+    if _given(year):
+        unit = "month" if _given(month) else "year"
+        first = datetime.date(int(year), int(month) if _given(month) else 1, 1)
+        dated = dated.where(F.trunc("_day", unit) == F.lit(first))
+    return dated.withColumns({"year": F.year("_day"), "month": F.month("_day")}).select(
+        *INCIDENT_COLUMNS
     )
 
 
 def in_period(incidents: DataFrame, year=None, month=None) -> DataFrame:
-    """Reports of a year, or of a month in it; a month without a year says nothing."""
-    if year is None or year == "":
+    """Reports of a year, or of a month in it; a month without a year says nothing.
+
+    For tables that store year and month, where this picks partitions.
+    """
+    if not _given(year):
         return incidents
     period = F.col("year") == int(year)
-    if month is not None and month != "":
+    if _given(month):
         period = period & (F.col("month") == int(month))
     return incidents.where(period)
 

@@ -63,8 +63,7 @@ def refresh_incidents(
     spark: SparkSession, catalog: Catalog, root: str, out: str, year: int, month: int | None
 ) -> None:
     """Reports of a month (or year): clean table, month counts, and the year's totals."""
-    reports = incidents.in_period(read_incidents(spark, catalog, root, year), year, month)
-    write_incidents(reports, f"{out}/incidents")
+    write_incidents(read_incidents(spark, catalog, root, year, month), f"{out}/incidents")
     fact = read_partitions(spark, f"{out}/incidents", INCIDENT_SCHEMA)
     index = build_tract_index(spark.read.parquet(f"{root}tracts"))
     months = incidents.tract_months(incidents.in_period(fact, year, month), index)

@@ -52,9 +52,9 @@ def _population(city_loans):
     return loans.tract_population(loans.tract_info(city_loans))
 
 
-def _clean(spark, sf_dir):
+def _clean(spark, sf_dir, year=None, month=None):
     date = parse_date_by(F.col("date"), CATALOG.incident_patterns())
-    return incidents.clean_incidents(fx.incidents_raw(spark, sf_dir), date)
+    return incidents.clean_incidents(fx.incidents_raw(spark, sf_dir), date, year, month)
 
 
 def _index(spark, sf_dir):
@@ -194,17 +194,17 @@ def incident_sorted(spark, sf_dir):
 
 @query
 def incident_period(spark, sf_dir):
-    return incidents.in_period(_clean(spark, sf_dir), *PERIOD)
+    return _clean(spark, sf_dir, *PERIOD)
 
 
 @query
 def incident_year_only(spark, sf_dir):
-    return incidents.in_period(_clean(spark, sf_dir), PERIOD[0])
+    return _clean(spark, sf_dir, PERIOD[0])
 
 
 @query
 def incident_all_time(spark, sf_dir):
-    return incidents.in_period(_clean(spark, sf_dir), "", PERIOD[1])
+    return _clean(spark, sf_dir, "", PERIOD[1])
 
 
 @query
@@ -363,9 +363,8 @@ def src_catalog_dim(spark, sf_dir):
 def sink_incident_partitions(spark, sf_dir):
     """All periods written, then one month again: the totals stay the same."""
     path = new_table_path(spark, "incidents")
-    clean = _clean(spark, sf_dir)
-    write_incidents(clean, path)
-    write_incidents(incidents.in_period(clean, *PERIOD), path)
+    write_incidents(_clean(spark, sf_dir), path)
+    write_incidents(_clean(spark, sf_dir, *PERIOD), path)
     return read_partitions(spark, path, INCIDENT_SCHEMA)
 
 

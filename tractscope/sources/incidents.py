@@ -12,26 +12,32 @@ from tractscope.sources.files import read_csv_header
 
 
 def read_incident_version(
-    spark: SparkSession, city: City, version: str, root: str
+    spark: SparkSession, city: City, version: str, root: str, year=None, month=None
 ) -> DataFrame:
     """One file version, cleaned; only the years this version is the source of.
 
     File versions overlap in time, so a report of a year is taken from the one version
-    the catalog names for it. Reports without a readable date belong to no year and
-    stay.
+    the catalog names for it. Reports without a readable date belong to no year; they
+    stay unless a period is asked for.
     """
     layout = city.incident_layouts[version]
     raw = map_columns(read_csv_header(spark, root + layout.file), layout.columns)
     named = raw.withColumns({"city": F.lit(city.key), "version": F.lit(version)})
-    clean = clean_incidents(named, parse_date(F.col("date"), layout.date_format))
-    source = city.incident_versions.of_year_column(F.col("year"))
-    return clean.where(F.col("year").isNull() | (source == version))
+    clean = clean_incidents(named, parse_date(F.col("date"), layout.date_format), year, month)
+    if year is not None:
+        return clean
+    return clean.where(city.incident_versions.is_source(version, F.col("year")))
 
 
-def read_incidents(spark: SparkSession, catalog: Catalog, root: str, year=None) -> DataFrame:
+def read_incidents(
+    spark: SparkSession, catalog: Catalog, root: str, year=None, month=None
+) -> DataFrame:
     """Clean reports of all cities; with a year, only the version of that year is read."""
     parts = []
     for city in catalog.cities.values():
         versions = city.incident_layouts if year is None else [city.incident_version(year)]
-        parts += [read_incident_version(spark, city, version, root) for version in versions]
+        parts += [
+            read_incident_version(spark, city, version, root, year, month)
+            for version in versions
+        ]
     return reduce(DataFrame.unionByName, parts)
