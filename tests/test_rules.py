@@ -1,6 +1,7 @@
 """Row rules on their edge cases, with ANSI mode on and off."""
 
 import datetime
+import random
 
 from pyspark.sql import functions as F
 
@@ -96,3 +97,49 @@ def test_parse_date_by_row(values):
     patterns = [(slash, "MM/dd/yyyy"), (~slash, "yyyy-MM-dd"), (slash, "MM/dd/yyyy HH:mm:ss")]
     expected = {"01/15/2012": day(2012, 1, 15), "2012-01-15": day(2012, 1, 15), "junk": None}
     assert values(lambda c: parse_date_by(F.col(c), patterns), expected) == expected
+
+
+def random_texts(alphabet, longest, count, seed=3):
+    pick = random.Random(seed)
+    texts = {"".join(pick.choices(alphabet, k=pick.randint(0, longest))) for _ in range(count)}
+    return sorted(texts)
+
+
+def test_parse_int_equals_the_lenient_cast(spark, values):
+    """The rule is the cast to int of a session without ANSI mode, whatever the text."""
+    texts = random_texts("0123456789+-. \teE", 6, 4000) + random_texts("0123456789.", 13, 1000)
+    parsed = values(lambda c: parse_int(F.col(c)), texts)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert parsed == values(lambda c: F.col(c).cast("int"), texts)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_income_level_equals_the_rule(values):
+    incomes = list(range(-130, 620))
+    expected = {i: i // 20 + 1 if i < 500 else 25 for i in incomes}
+    assert values(lambda c: income_level(F.col(c)), incomes, "int") == expected
+
+
+def test_normalize_tract_equals_the_rule(values):
+    texts = random_texts("0123456789.N", 12, 2000)
+    expected = {t: t if len(t) == 11 else "06037" + t.replace(".", "") for t in texts}
+    assert values(lambda c: normalize_tract(F.col(c), F.lit("06037")), texts) == expected
+
+
+def test_parse_date_equals_the_calendar(values):
+    """Any one- or two-digit month and day: the date if there is one, else null."""
+    pick = random.Random(5)
+    texts = {f"{pick.randint(0, 14)}/{pick.randint(0, 33)}/{pick.randint(1990, 2030)}" for _ in range(2000)}
+
+    def expected(text):
+        month, date, year = map(int, text.split("/"))
+        try:
+            return day(year, month, date)
+        except ValueError:
+            return None
+
+    found = values(lambda c: parse_date(F.col(c), "MM/dd/yyyy HH:mm:ss"), sorted(texts))
+    assert found == {text: expected(text) for text in texts}

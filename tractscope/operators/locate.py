@@ -78,7 +78,8 @@ def count_by_tract(
         located = attach_tract(df.select(*keys, x, y), index, x, y)
     else:
         total = F.sum("copies")
-        counted = df.groupBy(x, y, *keys).agg(F.count("*").alias("copies"))
+        per_point = df.groupBy(x, y, *keys).agg(F.count("*").alias("copies"))
+        counted = write_once(per_point, "counted-points")
         points = _locate_points(distinct_coordinates(counted, x, y), index, x, y)
         located = _join_points(counted, points, x, y)
     return located.groupBy("tract", *keys).agg(total.alias("total_count"))

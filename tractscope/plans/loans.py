@@ -20,12 +20,20 @@ def _granted_purchase() -> Column:
     return is_code(F.col("action_taken"), 1) & is_code(F.col("loan_purpose"), 1)
 
 
+def _home_v1() -> Column:
+    return is_code(F.col("property_type"), 1)
+
+
+def _home_v2() -> Column:
+    return F.col("derived_dwelling_category").like("Single Family%")
+
+
 def eligible_v1() -> Column:
-    return _granted_purchase() & is_code(F.col("property_type"), 1)
+    return _granted_purchase() & _home_v1()
 
 
 def eligible_v2() -> Column:
-    return _granted_purchase() & F.col("derived_dwelling_category").like("Single Family%")
+    return _granted_purchase() & _home_v2()
 
 
 ELIGIBLE = {"v1": eligible_v1, "v2": eligible_v2}
@@ -38,7 +46,8 @@ def eligible_loans(raw: DataFrame) -> DataFrame:
     """
     is_v1 = F.col("layout") == "v1"
     county_key = F.when(is_v1, F.col("county_name")).otherwise(F.col("county_code"))
-    return raw.where((is_v1 & eligible_v1()) | (~is_v1 & eligible_v2())).select(
+    home = F.when(is_v1, _home_v1()).otherwise(_home_v2())
+    return raw.where(_granted_purchase() & home).select(
         "layout", county_key.alias("county_key"), *LOAN_FACTS
     )
 
