@@ -92,7 +92,8 @@ def test_heavy_coordinates_leave_the_shuffle(spark, points, monkeypatch):
 
 def test_number_columns(spark):
     index = build_tract_index(boundaries(spark), 1.0)
-    frame = spark.createDataFrame([(1.0, 1.0), (None, 1.0), (float("nan"), 0.5)], "x double, y double")
+    places = [(1.0, 1.0), (None, 1.0), (float("nan"), 0.5)]
+    frame = spark.createDataFrame(places, "x double, y double")
     rows = attach_tract(frame, index, "x", "y").collect()
     assert Counter(row.tract for row in rows) == {"L": 1, "n/a": 2}
 

@@ -135,7 +135,8 @@ def test_trend_compares_consecutive_years_only(spark):
          ("t", None, 9), ("u", 2016, 1)],
         "tract string, year int, total_count long",
     )
-    found = {(r.tract, r.year): (r.change, r.direction) for r in yearly_trend(counts, ["tract"]).collect()}
+    rows = yearly_trend(counts, ["tract"]).collect()
+    found = {(r.tract, r.year): (r.change, r.direction) for r in rows}
     assert found == {
         ("t", 2015): (None, None), ("t", 2016): (2, "up"), ("t", 2018): (None, None),
         ("t", 2019): (0, "same"), ("t", 2020): (-5, "down"), ("u", 2016): (None, None),
@@ -187,7 +188,8 @@ def test_county_lookup(spark):
         [("San Francisco", "CA"), ("San", "CA"), ("Oakland", "CA"), ("San Francisco", "CA")],
         "city string, state string",
     )
-    found = {r.city: (r.county_name, r.county_code) for r in lookup_counties(requests, places).collect()}
+    rows = lookup_counties(requests, places).collect()
+    found = {r.city: (r.county_name, r.county_code) for r in rows}
     assert found == {
         "San Francisco": ("San Francisco county", "06075"),
         "San": ("Los Angeles county", "06037"),

@@ -132,7 +132,10 @@ def test_normalize_tract_equals_the_rule(values):
 def test_parse_date_equals_the_calendar(values):
     """Any one- or two-digit month and day: the date if there is one, else null."""
     pick = random.Random(5)
-    texts = {f"{pick.randint(0, 14)}/{pick.randint(0, 33)}/{pick.randint(1990, 2030)}" for _ in range(2000)}
+    texts = {
+        f"{pick.randint(0, 14)}/{pick.randint(0, 33)}/{pick.randint(1990, 2030)}"
+        for _ in range(2000)
+    }
 
     def expected(text):
         month, date, year = map(int, text.split("/"))

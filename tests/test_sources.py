@@ -153,8 +153,8 @@ def test_versions_without_list(spark, tmp_path):
 def test_rerun_of_a_period_replaces_it(spark, tmp_path):
     path = str(tmp_path / "table")
     kind = "city string, year int, month int, n int, longitude string, latitude string"
-    first = [("SF", 2018, 1, 1, "a", "b"), ("SF", 2018, 2, 2, "a", "b"), ("LA", 2018, 1, 3, "a", "b"),
-             ("LA", None, None, 4, "a", "b")]
+    periods = [("SF", 2018, 1), ("SF", 2018, 2), ("LA", 2018, 1), ("LA", None, None)]
+    first = [(*period, n, "a", "b") for n, period in enumerate(periods, start=1)]
     write_incidents(spark.createDataFrame(first, kind), path)
     again = [("SF", 2018, 2, 20, "a", "b"), ("SF", 2018, 2, 21, "a", "b")]
     for _ in range(2):

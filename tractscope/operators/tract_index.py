@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tractscope.session import write_once
+
 # Degrees. Fine enough that most cells of a city tract hold no boundary.
 DEFAULT_CELL = 0.01
 
@@ -120,31 +122,31 @@ def _tract_cells(tracts: DataFrame, size: float) -> DataFrame:
         .withColumn("cell_y", F.explode(cell_numbers(F.col("south"), F.col("north"))))
         .withColumn("fills", ~is_border)
         .where(~F.col("fills") | encloses(sides, left + size / 2, bottom + size / 2))
-        .withColumn("useful", F.transform(F.filter(sides, can_cross), slim))
-        .select(
-            "cell_x",
-            "cell_y",
-            "tract",
-            "fills",
-            F.when(F.col("fills"), F.slice("useful", 1, 0)).otherwise(F.col("useful")).alias("edges"),
-        )
+        .withColumn("edges", F.transform(F.filter(sides, can_cross), slim))
+        .withColumn("edges", F.slice("edges", F.lit(1), F.when(F.col("fills"), 0).otherwise(2**30)))
+        .select("cell_x", "cell_y", "tract", "fills", "edges")
     )
 
 
 def build_tract_index(
     tracts: DataFrame, cell_size: float = DEFAULT_CELL, broadcast_bytes: int = BROADCAST_BYTES
 ) -> TractIndex:
-    """Index a boundary table and measure whether it may be broadcast.
+    """Index a boundary table, write it, and measure whether it may be broadcast.
 
-    The measurement is one small job over the boundaries, never over the points.
-    The lists per cell hold the tracts that meet there, a matter of geography that
-    does not grow with the points.
+    Work here is over the boundaries only, never over the points. The lists per cell
+    hold the tracts that meet there, a matter of geography that does not grow with the
+    points. The index is written because every join with it would build it again.
     """
-    entries = _tract_cells(tracts, cell_size)
     row_bytes = F.lit(_CELL_BYTES) + F.size("edges") * _EDGE_BYTES
-    measured = entries.agg(F.sum(row_bytes)).first()[0] or 0
-    cells = entries.groupBy("cell_x", "cell_y").agg(
-        F.when(F.bool_and("fills"), F.min("tract")).alias("sole_tract"),
-        F.collect_list(F.struct("tract", "fills", "edges")).alias("candidates"),
+    cells = (
+        _tract_cells(tracts, cell_size)
+        .groupBy("cell_x", "cell_y")
+        .agg(
+            F.when(F.bool_and("fills"), F.min("tract")).alias("sole_tract"),
+            F.collect_list(F.struct("tract", "fills", "edges")).alias("candidates"),
+            F.sum(row_bytes).alias("row_bytes"),
+        )
     )
-    return TractIndex(cells, cell_size, measured <= broadcast_bytes)
+    written = write_once(cells, "tract-index")
+    measured = written.agg(F.sum("row_bytes")).first()[0] or 0
+    return TractIndex(written.drop("row_bytes"), cell_size, measured <= broadcast_bytes)

@@ -269,7 +269,8 @@ ORACLE = {
     "incident_tract_year": _sql(INCIDENT_TRACTS, "SELECT * FROM tract_years"),
     "incident_tract_month": _sql(
         INCIDENT_TRACTS,
-        "SELECT tract, city, year, month, count(*) AS total_count FROM incident_tracts GROUP BY ALL",
+        """SELECT tract, city, year, month, count(*) AS total_count
+        FROM incident_tracts GROUP BY ALL""",
     ),
     "incident_trend": _sql(
         INCIDENT_TRACTS,
