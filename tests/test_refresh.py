@@ -39,7 +39,7 @@ def tables(spark, out):
 def test_refresh_twice_changes_nothing(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
-        job.refresh(spark, default_catalog(), raw, out, 2018, 1)
+        job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
         found = tables(spark, out)
     assert {name: len(rows) for name, rows in found.items()} == {
         "loans": 4, "tract_info": 3, "loan_detail": 3, "loan_ranks": 2, "incidents": 2,
@@ -57,7 +57,7 @@ def test_refresh_twice_changes_nothing(spark, raw, tmp_path):
 
 def test_other_months_have_no_loans(spark, raw, tmp_path):
     out = tmp_path / "out"
-    job.refresh(spark, default_catalog(), raw, str(out), 2021, 2)
+    job.main(["--source", raw, "--target", str(out), "--year", "2021", "--month", "2"])
     assert not (out / "loans").exists()
     rows = spark.read.parquet(f"{out}/incidents").collect()
     assert [row.category for row in rows] == ["LATEST"]
@@ -66,7 +66,7 @@ def test_other_months_have_no_loans(spark, raw, tmp_path):
 def test_years_accumulate_and_profile_joins_them(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     job.refresh(spark, default_catalog(), raw, out, 2017, 12, with_loans=True)
-    job.refresh(spark, default_catalog(), raw, out, 2018, 1)
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
     job.refresh_profile(spark, out)
     rows = {(r.tract, r.year): r for r in spark.read.parquet(f"{out}/area_profile").collect()}
     assert set(rows) == {
@@ -79,6 +79,25 @@ def test_years_accumulate_and_profile_joins_them(spark, raw, tmp_path):
     assert rows["06075010200", 2018].incident_count is None
 
 
+def test_published_tables_have_their_declared_columns(spark, raw, tmp_path, monkeypatch):
+    """No database is started: the writer is replaced, and gets every changed table."""
+    out, written = str(tmp_path / "out"), {}
+
+    def keep(table, url, name, properties):
+        written[name] = (url, table.schema.simpleString(), table.collect())
+
+    monkeypatch.setattr(job, "replace_table", keep)
+    job.main(["--source", raw, "--target", out, "--year", "2018", "--month", "1", "--profile",
+              "--jdbc-url", "jdbc:x"])
+    assert list(written) == job.published_tables(True, True)
+    assert job.published_tables(False, False) == ["incident_years", "schools"]
+    for name, (url, schema, rows) in written.items():
+        stored = spark.read.parquet(f"{out}/{name}")
+        assert url == "jdbc:x" and len(rows) == stored.count() > 0
+        declared = set(schema[len("struct<") : -1].split(","))
+        assert declared == {":".join(column) for column in stored.dtypes}
+
+
 def test_command_line(spark, raw, tmp_path):
     out = str(tmp_path / "cli")
     job.main(["--source", raw, "--target", out, "--year", "2018", "--month", "1",

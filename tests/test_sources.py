@@ -166,6 +166,22 @@ def test_rerun_of_a_period_replaces_it(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan_of(january)
 
 
+def test_a_large_period_is_written_by_several_tasks(spark, tmp_path):
+    path, option = str(tmp_path / "hot"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    hot = spark.range(200_000).selectExpr(
+        "'SF' as city", "2018 as year", "if(id % 100 = 0, 2, 1) as month",
+        "cast(rand(1) as string) as longitude", "cast(rand(2) as string) as latitude",
+    )
+    spark.conf.set(option, "256KB")
+    try:
+        write_incidents(hot, path)
+    finally:
+        spark.conf.unset(option)
+    files = list((tmp_path / "hot" / "city=SF" / "year=2018" / "month=1").glob("*.parquet"))
+    assert len(files) > 4
+    assert spark.read.parquet(path).count() == 200_000
+
+
 def test_partition_values_keep_their_type(spark, tmp_path):
     path = str(tmp_path / "codes")
     frame = spark.createDataFrame([("06075", 1)], "code string, n int")

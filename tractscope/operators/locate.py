@@ -9,17 +9,17 @@ are joined back with the heavy coordinates kept out of the shuffle.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractscope.functions.tracts import tract_or_unknown
-from tractscope.operators.tract_index import TractIndex, encloses
+from tractscope.operators.tract_index import TractIndex, cell_number, encloses
 from tractscope.session import write_once
 
-# A coordinate with more than this share of all rows is heavy; there can be no more
-# than this many heavy coordinates, so their list may always be broadcast.
+# A coordinate with more than 1/MAX_HEAVY of all rows is heavy; there are fewer than
+# MAX_HEAVY of them whatever the data, so their list may always be broadcast.
 MAX_HEAVY = 100_000
 
 SALTS = 16
 
 # A row number of the grid that no latitude reaches.
-_NO_CELL = 10**15
+_NO_CELL = -(2**31)
 
 
 def _degrees(value: Column) -> Column:
@@ -30,8 +30,8 @@ def _degrees(value: Column) -> Column:
 def _with_cell(df: DataFrame, index: TractIndex, x: str, y: str) -> DataFrame:
     return df.withColumns({"_x": _degrees(F.col(x)), "_y": _degrees(F.col(y))}).withColumns(
         {
-            "cell_x": F.floor(F.col("_x") / index.cell_size),
-            "cell_y": F.floor(F.col("_y") / index.cell_size),
+            "cell_x": cell_number(F.col("_x"), index.cell_size),
+            "cell_y": cell_number(F.col("_y"), index.cell_size),
         }
     )
 
@@ -91,7 +91,7 @@ def _locate_points(points: DataFrame, index: TractIndex, x: str, y: str) -> Data
     The points are distinct, so hashing them spreads a dense cell evenly over the
     salts; coordinates without a cell get keys of their own that match nothing.
     """
-    spread = F.xxhash64(x, y)
+    spread = F.hash(x, y)
     has_cell = F.col("cell_x").isNotNull() & F.col("cell_y").isNotNull()
     salted_points = _with_cell(points, index, x, y).withColumns(
         {

@@ -61,6 +61,11 @@ def ring_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, sides))
 
 
+def cell_number(degrees: Column, size: float) -> Column:
+    """Grid column or row; null beyond all numbers. Two ints make one join key of 8 bytes."""
+    return F.floor(degrees / size).try_cast("int")
+
+
 def encloses(edges: Column, x: Column, y: Column) -> Column:
     """Even-odd rule with a ray to the east; lower and left borders belong inside."""
 
@@ -100,7 +105,7 @@ def _tract_cells(tracts: DataFrame, size: float) -> DataFrame:
     )
 
     def cell_numbers(low, high):
-        return F.sequence(F.floor((low - _PAD) / size), F.floor((high + _PAD) / size))
+        return F.sequence(cell_number(low - _PAD, size), cell_number(high + _PAD, size))
 
     left, bottom = F.col("cell_x") * F.lit(size), F.col("cell_y") * F.lit(size)
 

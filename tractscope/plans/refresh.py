@@ -37,6 +37,10 @@ YEAR_SCHEMA = "city string, tract string, year int, total_count bigint"
 RANK_SCHEMA = (
     "city string, activity_year int, level int, census_tract string, count bigint, rank int"
 )
+DETAIL_SCHEMA = (
+    "city string, activity_year int, loan_amount double, census_tract string, income string, "
+    "income_int int, level int"
+)
 TRACT_INFO_SCHEMA = (
     "activity_year int, census_tract string, tract_population int, "
     "tract_owner_occupied_units int, tract_one_to_four_family_homes int"
@@ -46,6 +50,20 @@ SCHOOL_TABLE_SCHEMA = (
     "lat double, lon double, tract string"
 )
 
+PROFILE_SCHEMA = (
+    "tract string, year int, population int, owner_occupied_units int, "
+    "one_to_four_family_homes int, incident_count bigint, crime_rate double, "
+    "loan_count bigint, best_rank int, school_count bigint, average_rating double"
+)
+PUBLISHED = {
+    "tract_info": TRACT_INFO_SCHEMA,
+    "loan_detail": DETAIL_SCHEMA,
+    "loan_ranks": RANK_SCHEMA,
+    "incident_years": YEAR_SCHEMA,
+    "schools": SCHOOL_TABLE_SCHEMA,
+    "area_profile": PROFILE_SCHEMA,
+}
+
 
 def refresh_loans(spark: SparkSession, catalog: Catalog, root: str, out: str, year: int) -> None:
     """Loans of a year: clean table, tract facts, detail, and ranks."""
@@ -92,15 +110,22 @@ def refresh_profile(spark: SparkSession, out: str) -> None:
     combined.write.mode("overwrite").parquet(f"{out}/area_profile")
 
 
+def published_tables(with_loans: bool, with_profile: bool) -> list[str]:
+    """The tables a run has changed and a dashboard reads."""
+    loan_tables = ["tract_info", "loan_detail", "loan_ranks"] if with_loans else []
+    return loan_tables + ["incident_years", "schools"] + ["area_profile"] * with_profile
+
+
 def publish(spark: SparkSession, out: str, tables: list[str], url: str, properties=None) -> None:
     """Replace the relational copies of finished tables."""
-    for table in tables:
-        replace_table(spark.read.parquet(f"{out}/{table}"), url, table, properties)
+    for name in tables:
+        table = read_partitions(spark, f"{out}/{name}", PUBLISHED[name])
+        replace_table(table, url, name, properties)
 
 
-def refresh(spark, catalog, root, out, year, month, with_loans=None) -> None:
-    """One period. Loans come out yearly: by default they are read with January."""
-    if with_loans or (with_loans is None and month == 1):
+def refresh(spark, catalog, root, out, year, month, with_loans: bool) -> None:
+    """One period of all cities; loans come out yearly, so not every run has them."""
+    if with_loans:
         refresh_loans(spark, catalog, root, out, year)
     refresh_incidents(spark, catalog, root, out, year, month)
     refresh_schools(spark, catalog, root, out)
@@ -114,7 +139,7 @@ def main(arguments=None) -> None:
     parser.add_argument("--month", type=int)
     parser.add_argument("--cities", help="comma-separated keys; all cities if left out")
     parser.add_argument("--catalog", help="catalog file (JSON)")
-    parser.add_argument("--with-loans", action="store_true", default=None)
+    parser.add_argument("--with-loans", action="store_true", help="also outside January")
     parser.add_argument("--profile", action="store_true", help="also build the area profile")
     parser.add_argument("--jdbc-url", help="publish the marts to this database")
     given = parser.parse_args(arguments)
@@ -122,9 +147,9 @@ def main(arguments=None) -> None:
     if given.cities:
         catalog = catalog.only(given.cities.split(","))
     spark = SparkSession.builder.appName("tractscope").getOrCreate()
-    refresh(spark, catalog, given.source, given.target, given.year, given.month, given.with_loans)
+    with_loans = given.with_loans or given.month == 1
+    refresh(spark, catalog, given.source, given.target, given.year, given.month, with_loans)
     if given.profile:
         refresh_profile(spark, given.target)
     if given.jdbc_url:
-        marts = ["incident_years", "schools"] + (["area_profile"] if given.profile else [])
-        publish(spark, given.target, marts, given.jdbc_url)
+        publish(spark, given.target, published_tables(with_loans, given.profile), given.jdbc_url)
