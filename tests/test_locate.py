@@ -1,5 +1,6 @@
 """Tract of a point, against a direct computation, in both join plans."""
 
+import math
 import random
 from collections import Counter
 
@@ -24,8 +25,9 @@ SHAPES = {
 def inside(rings, x, y):
     odd = False
     for ring in rings:
-        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+        for ends in zip(ring, ring[1:] + ring[:1]):
+            (x1, y1), (x2, y2) = sorted(ends, key=lambda end: end[1])
+            if y1 <= y < y2 and x < x1 + (y - y1) * ((x2 - x1) / (y2 - y1)):
                 odd = not odd
     return odd
 
@@ -90,6 +92,45 @@ def test_heavy_coordinates_leave_the_shuffle(spark, points, monkeypatch):
     assert all(row.tract == expected_tract(row.longitude, row.latitude) for row in rows)
 
 
+@pytest.mark.parametrize("cell", [0.5, 0.7, 1.0, 4.0])
+def test_random_shapes(spark, cell):
+    """Crossing itself, with corners on cell borders and level sides: the even-odd rule."""
+    pick = random.Random(11)
+    shapes = {}
+    for n in range(12):
+        ring = [(pick.randint(0, 12), pick.randint(0, 12)) for _ in range(pick.randint(3, 14))]
+        inner = [(x / 2 + 3, y / 2 + 3) for x, y in ring[:4]]
+        shapes[f"s{n:02d}"] = [ring, inner]
+    rows = [(x / 4, y / 4) for x in range(-2, 52) for y in range(-2, 52)]
+    rows += [(pick.uniform(0, 12), pick.uniform(0, 12)) for _ in range(500)]
+    frame = spark.createDataFrame(rows, "x double, y double")
+    for names in [["s00"], ["s01", "s02"], list(shapes)]:
+        some = {name: shapes[name] for name in names}
+        index = build_tract_index(boundaries(spark, some), cell)
+        for row in attach_tract(frame, index, "x", "y").collect():
+            matches = [n for n, rings in some.items() if inside(rings, row.x, row.y)]
+            assert row.tract == min(matches, default="n/a")
+
+
+def test_long_boundary(spark):
+    """A ring of 2,000 corners: entries keep a few edges, and the answers stay exact."""
+    ring = []
+    for i in range(2000):
+        angle = 2 * math.pi * i / 2000
+        radius = 5 + 0.3 * math.sin(40 * angle) + 0.02 * math.sin(700 * angle)
+        ring.append((radius * math.cos(angle), radius * math.sin(angle)))
+    index = build_tract_index(boundaries(spark, {"wheel": [ring]}), 0.25)
+    entries = index.cells.select(F.inline("candidates")).where("not fills")
+    edges, turns = entries.agg(F.avg(F.size("edges")), F.avg(F.size("turns"))).first()
+    assert edges < 40 and turns < 10
+    pick = random.Random(2)
+    rows = [(pick.uniform(-6, 6), pick.uniform(-6, 6)) for _ in range(1000)]
+    rows += [(x, y) for x, y in ring[::7]]
+    frame = spark.createDataFrame(rows, "x double, y double")
+    for row in attach_tract(frame, index, "x", "y").collect():
+        assert row.tract == ("wheel" if inside([ring], row.x, row.y) else "n/a")
+
+
 def test_number_columns(spark):
     index = build_tract_index(boundaries(spark), 1.0)
     places = [(1.0, 1.0), (None, 1.0), (float("nan"), 0.5)]

@@ -9,7 +9,7 @@ are joined back with the heavy coordinates kept out of the shuffle.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractscope.functions.tracts import tract_or_unknown
-from tractscope.operators.tract_index import TractIndex, cell_number, encloses
+from tractscope.operators.tract_index import TractIndex, cell_number, entry_encloses
 from tractscope.session import write_once
 
 # A coordinate with more than 1/MAX_HEAVY of all rows is heavy; there are fewer than
@@ -38,11 +38,9 @@ def _with_cell(df: DataFrame, index: TractIndex, x: str, y: str) -> DataFrame:
 
 def _found_tract() -> Column:
     """The smallest matching tract of the cell's candidates, or null."""
-    matching = F.filter(
-        "candidates", lambda c: c.fills | encloses(c.edges, F.col("_x"), F.col("_y"))
-    )
-    nearest = F.array_min(F.transform(matching, lambda c: c.tract))
-    return F.coalesce(F.col("sole_tract"), nearest)
+    matching = F.filter("candidates", lambda c: entry_encloses(c, F.col("_x"), F.col("_y")))
+    smallest = F.array_min(F.transform(matching, lambda c: c.tract))
+    return F.coalesce(F.col("sole_tract"), smallest)
 
 
 def distinct_coordinates(df: DataFrame, x="longitude", y="latitude") -> DataFrame:

@@ -5,8 +5,11 @@ each an array of ``struct<x,y>``. Outer rings, further parts and holes are all j
 rings: a point is inside when it is enclosed an odd number of times.
 
 The index has one row per grid cell that a tract reaches. Most cells lie wholly in
-one tract and answer without any geometry; the others hold, for each tract, only
-those edges that a ray from inside the cell can meet.
+one tract and answer without any geometry. The others hold, for each tract, the edges
+near the cell. Of the edges farther east, which a ray from the cell meets or not by
+their height alone, only the turning heights are kept: the heights between which the
+number of them is odd. So an entry stays small however long the tract's boundary is,
+and the answer is exactly that of all edges.
 """
 
 from dataclasses import dataclass
@@ -16,11 +19,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tractscope.session import write_once
 
 # Degrees. Fine enough that most cells of a city tract hold no boundary.
-DEFAULT_CELL = 0.01
+DEFAULT_CELL = 0.0025
 
 # The index is broadcast only when its measured size stays below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_CELL_BYTES = 160
+BROADCAST_BYTES = 128 * 1024 * 1024
+_ENTRY_BYTES = 200
 _EDGE_BYTES = 48
 
 # Cells are treated as this much larger, so a point whose cell number is off by one
@@ -66,13 +69,33 @@ def cell_number(degrees: Column, size: float) -> Column:
     return F.floor(degrees / size).try_cast("int")
 
 
-def encloses(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule with a ray to the east; lower and left borders belong inside."""
+def _crossings(edges: Column, x: Column, y: Column) -> Column:
+    """Edges met by a ray to the east; lower and left borders belong inside."""
 
     def crossed(edge):
         return (edge.low <= y) & (y < edge.high) & (x < edge.x + (y - edge.low) * edge.slope)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+    return F.size(F.filter(edges, crossed))
+
+
+def entry_encloses(entry: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule for a point in the cell of an index entry."""
+    turns_below = F.size(F.filter(entry.turns, lambda height: height <= y))
+    odd = (entry.odd_below + turns_below + _crossings(entry.edges, x, y)) % 2 == 1
+    return entry.fills | odd
+
+
+def _unpaired(heights: Column) -> Column:
+    """Values that occur an odd number of times, in order."""
+
+    def add(kept, height):
+        count = F.size(kept)
+        repeats = F.get(kept, count - 1) == height
+        return F.when(repeats, F.slice(kept, F.lit(1), count - 1)).otherwise(
+            F.concat(kept, F.array(height))
+        )
+
+    return F.aggregate(F.array_sort(heights), F.array().cast("array<double>"), add)
 
 
 def _reaches_cell(edge: Column, left, bottom, size: float) -> Column:
@@ -90,46 +113,74 @@ def _reaches_cell(edge: Column, left, bottom, size: float) -> Column:
     )
 
 
-def _tract_cells(tracts: DataFrame, size: float) -> DataFrame:
-    """One row per tract and grid cell: the tract fills the cell, or these edges count."""
+def _cell_numbers(low: Column, high: Column, size: float) -> Column:
+    return F.sequence(cell_number(low - _PAD, size), cell_number(high + _PAD, size))
+
+
+def _tract_columns(tracts: DataFrame, size: float) -> DataFrame:
+    """One row per tract and grid column, with the sides in or east of that column.
+
+    Spread by tract and column, so one tract with very many cells is many tasks' work.
+    """
     sides = F.col("sides")
     tasks = tracts.sparkSession.sparkContext.defaultParallelism
-    boxes = (
-        tracts.select("tract", "rings")
-        .repartition(tasks, "tract")
-        .select("tract", ring_edges(F.col("rings")).alias("sides"))
+    left = F.col("cell_x") * F.lit(size)
+
+    def not_west(side):
+        return F.greatest(side.x, side.x_high) >= left - _PAD
+
+    return (
+        tracts.select("tract", ring_edges(F.col("rings")).alias("sides"))
         .withColumn("west", F.least(F.array_min(sides.x), F.array_min(sides.x_high)))
         .withColumn("east", F.greatest(F.array_max(sides.x), F.array_max(sides.x_high)))
         .withColumn("south", F.array_min(sides.low))
         .withColumn("north", F.array_max(sides.high))
+        .withColumn("cell_x", F.explode(_cell_numbers(F.col("west"), F.col("east"), size)))
+        .select("tract", "cell_x", "south", "north", F.filter("sides", not_west).alias("sides"))
+        .repartition(tasks, "tract", "cell_x")
     )
 
-    def cell_numbers(low, high):
-        return F.sequence(cell_number(low - _PAD, size), cell_number(high + _PAD, size))
 
+def _tract_cells(tracts: DataFrame, size: float) -> DataFrame:
+    """One row per tract and grid cell: the tract fills the cell, or these edges count."""
+    sides = F.col("sides")
     left, bottom = F.col("cell_x") * F.lit(size), F.col("cell_y") * F.lit(size)
+    floor, ceiling = bottom - _PAD, bottom + (size + _PAD)
 
-    def can_cross(edge):
-        return (
-            (edge.low < edge.high)
-            & (edge.low <= bottom + (size + _PAD))
-            & (edge.high >= bottom - _PAD)
-            & (F.greatest(edge.x, edge.x_high) >= left - _PAD)
-        )
+    def in_rows(side):
+        meets_rows = (side.low <= ceiling) & (side.high >= floor)
+        return ~F.col("fills") & meets_rows & (side.low < side.high)
 
-    def slim(edge):
+    def is_east(side):
+        return F.least(side.x, side.x_high) > left + (size + _PAD)
+
+    def slim(side):
         names = ["low", "high", "x", "slope"]
-        return F.struct(*(edge[name].alias(name) for name in names))
+        return F.struct(*(side[name].alias(name) for name in names))
 
-    is_border = F.exists(sides, lambda edge: _reaches_cell(edge, left, bottom, size))
+    is_border = F.exists(sides, lambda side: _reaches_cell(side, left, bottom, size))
+    in_middle = _crossings(sides, left + size / 2, bottom + size / 2) % 2 == 1
+    # A side east of the cell is met from its lower height up to its higher one, so the
+    # number of sides met changes parity at each of these heights.
+    heights = F.concat("east_sides.low", "east_sides.high")
     return (
-        boxes.withColumn("cell_x", F.explode(cell_numbers(F.col("west"), F.col("east"))))
-        .withColumn("cell_y", F.explode(cell_numbers(F.col("south"), F.col("north"))))
+        _tract_columns(tracts, size)
+        .withColumn("cell_y", F.explode(_cell_numbers(F.col("south"), F.col("north"), size)))
         .withColumn("fills", ~is_border)
-        .where(~F.col("fills") | encloses(sides, left + size / 2, bottom + size / 2))
-        .withColumn("edges", F.transform(F.filter(sides, can_cross), slim))
-        .withColumn("edges", F.slice("edges", F.lit(1), F.when(F.col("fills"), 0).otherwise(2**30)))
-        .select("cell_x", "cell_y", "tract", "fills", "edges")
+        .where(~F.col("fills") | in_middle)
+        .withColumn("row_sides", F.filter(sides, in_rows))
+        .withColumn("east_sides", F.filter("row_sides", is_east))
+        .withColumn("heights", heights)
+        .select(
+            "cell_x",
+            "cell_y",
+            "tract",
+            "fills",
+            F.size(F.filter("heights", lambda h: h < floor)).alias("odd_below"),
+            _unpaired(F.filter("heights", lambda h: h.between(floor, ceiling))).alias("turns"),
+            F.transform(F.filter("row_sides", lambda s: ~is_east(s)), slim).alias("edges"),
+        )
+        .withColumn("odd_below", F.col("odd_below") % 2)
     )
 
 
@@ -142,13 +193,15 @@ def build_tract_index(
     hold the tracts that meet there, a matter of geography that does not grow with the
     points. The index is written because every join with it would build it again.
     """
-    row_bytes = F.lit(_CELL_BYTES) + F.size("edges") * _EDGE_BYTES
+    row_bytes = F.lit(_ENTRY_BYTES) + (F.size("edges") + F.size("turns")) * _EDGE_BYTES
     cells = (
         _tract_cells(tracts, cell_size)
         .groupBy("cell_x", "cell_y")
         .agg(
             F.when(F.bool_and("fills"), F.min("tract")).alias("sole_tract"),
-            F.collect_list(F.struct("tract", "fills", "edges")).alias("candidates"),
+            F.collect_list(F.struct("tract", "fills", "odd_below", "turns", "edges")).alias(
+                "candidates"
+            ),
             F.sum(row_bytes).alias("row_bytes"),
         )
     )
