@@ -55,6 +55,7 @@ def test_map_columns(spark):
     mapped = map_columns(frame, {"date": "Incident Date", "category": "Category"}, keep=["n"])
     assert mapped.columns == ["date", "category", "n"]
     assert tuple(mapped.first()) == ("d", "c", 1)
+    assert tuple(map_columns(frame, {"category": "CATEGORY"}).first()) == ("c",)
     with pytest.raises(ValueError, match="Descript"):
         map_columns(frame, {"category": "Descript"})
 
