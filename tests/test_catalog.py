@@ -23,6 +23,11 @@ def test_listed_year_has_its_version_and_others_the_latest(spark):
     assert Versions({}, "v1").of_year(2000) == "v1"
 
 
+def test_a_year_has_one_version():
+    with pytest.raises(ValueError, match="two file versions"):
+        Versions({"v1": (2007, 2018), "v2": (2018, 2019)}, "v2")
+
+
 def test_catalog_file(tmp_path):
     path = tmp_path / "catalog.json"
     path.write_text(json.dumps(DEFAULT_CATALOG))

@@ -23,6 +23,11 @@ class Versions:
     ranges: dict[str, tuple[int, int]]
     latest: str
 
+    def __post_init__(self):
+        years = [y for first, last in self.ranges.values() for y in range(first, last + 1)]
+        if len(set(years)) != len(years):
+            raise ValueError(f"a year has two file versions: {self.ranges}")
+
     def of_year(self, year: int) -> str:
         for version, (first, last) in self.ranges.items():
             if first <= year <= last:
