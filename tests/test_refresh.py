@@ -98,6 +98,14 @@ def test_published_tables_have_their_declared_columns(spark, raw, tmp_path, monk
         assert declared == {":".join(column) for column in stored.dtypes}
 
 
+def test_a_run_for_one_city_keeps_the_others(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
+    before = tables(spark, out)
+    job.refresh(spark, default_catalog().only(["SF"]), raw, out, 2018, 1, with_loans=True)
+    assert tables(spark, out) == before
+
+
 def test_command_line(spark, raw, tmp_path):
     out = str(tmp_path / "cli")
     job.main(["--source", raw, "--target", out, "--year", "2018", "--month", "1",

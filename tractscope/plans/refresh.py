@@ -9,7 +9,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tractscope.catalog import Catalog, default_catalog
-from tractscope.operators.tract_index import build_tract_index
+from tractscope.operators.tract_index import TractIndex, build_tract_index
 from tractscope.plans import incidents, loans, profile, schools
 from tractscope.sinks.jdbc import replace_table
 from tractscope.sinks.tables import (
@@ -66,7 +66,11 @@ PUBLISHED = {
 
 
 def refresh_loans(spark: SparkSession, catalog: Catalog, root: str, out: str, year: int) -> None:
-    """Loans of a year: clean table, tract facts, detail, and ranks."""
+    """Loans of a year: clean table, tract facts, detail, and ranks.
+
+    The marts are made from all cities the clean table has for the year, so a run for
+    some cities leaves the facts of the others in place.
+    """
     applications = read_loans(spark, catalog, root + catalog.loan_folder, [year])
     write_loans(loans.city_loans(applications, catalog, year), f"{out}/loans")
     fact = read_partitions(spark, f"{out}/loans", LOAN_SCHEMA, activity_year=year)
@@ -78,12 +82,11 @@ def refresh_loans(spark: SparkSession, catalog: Catalog, root: str, out: str, ye
 
 
 def refresh_incidents(
-    spark: SparkSession, catalog: Catalog, root: str, out: str, year: int, month: int | None
+    spark: SparkSession, catalog: Catalog, index: TractIndex, root: str, out: str, year, month
 ) -> None:
     """Reports of a month (or year): clean table, month counts, and the year's totals."""
     write_incidents(read_incidents(spark, catalog, root, year, month), f"{out}/incidents")
     fact = read_partitions(spark, f"{out}/incidents", INCIDENT_SCHEMA)
-    index = build_tract_index(spark.read.parquet(f"{root}tracts"))
     months = incidents.tract_months(incidents.in_period(fact, year, month), index)
     replace_partitions(months, f"{out}/incident_months", INCIDENT_PARTITIONS)
     all_months = read_partitions(spark, f"{out}/incident_months", MONTH_SCHEMA, year=year)
@@ -91,11 +94,12 @@ def refresh_incidents(
     replace_partitions(totals, f"{out}/incident_years", ["city", "year"])
 
 
-def refresh_schools(spark: SparkSession, catalog: Catalog, root: str, out: str) -> None:
-    """The whole school table anew."""
-    index = build_tract_index(spark.read.parquet(f"{root}tracts"))
+def refresh_schools(
+    spark: SparkSession, catalog: Catalog, index: TractIndex, root: str, out: str
+) -> None:
+    """All schools of the cities anew."""
     table = schools.school_tracts(read_schools(spark, catalog, root), index)
-    table.write.mode("overwrite").parquet(f"{out}/schools")
+    replace_partitions(table, f"{out}/schools", ["city"])
 
 
 def refresh_profile(spark: SparkSession, out: str) -> None:
@@ -127,8 +131,9 @@ def refresh(spark, catalog, root, out, year, month, with_loans: bool) -> None:
     """One period of all cities; loans come out yearly, so not every run has them."""
     if with_loans:
         refresh_loans(spark, catalog, root, out, year)
-    refresh_incidents(spark, catalog, root, out, year, month)
-    refresh_schools(spark, catalog, root, out)
+    index = build_tract_index(spark.read.parquet(f"{root}tracts"))
+    refresh_incidents(spark, catalog, index, root, out, year, month)
+    refresh_schools(spark, catalog, index, root, out)
 
 
 def main(arguments=None) -> None:
