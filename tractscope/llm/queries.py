@@ -2,7 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from tractscope.llm import feistel_shards, piece_encode, quality_rules, source_mix
+from tractscope.llm import (
+    feistel_shards,
+    html_extract,
+    piece_encode,
+    quality_rules,
+    source_mix,
+    topk_search,
+    url_filter,
+)
 from tractscope.session import write_once
 
 QUERIES = {}
@@ -18,6 +26,58 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+
+
+@query
+def op1_url_filter(spark, sf_dir):
+    """Verdict on the url of every page: the longest rule, else the model."""
+    rows = url_filter.example_urls()
+    labelled = spark.createDataFrame(rows, "url string, blocked int")
+    model = url_filter.train(labelled)
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, model, URL_RULES, keep=("page_id",))
+
+
+@query
+def op2_topk_search(spark, sf_dir):
+    """The 5 best rows for every 50th vector, against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+ORACLE["op2_topk_search"] = """
+WITH sound AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+terms AS (SELECT vec_id, unnest(w) AS w, generate_subscripts(w, 1) AS t FROM sound),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, sum(q.w * d.w)::BIGINT AS score
+    FROM terms q JOIN terms d ON q.t = d.t AND q.vec_id <> d.vec_id
+    WHERE q.vec_id % 50 = 0 GROUP BY ALL
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op3_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_source_mix(spark, sf_dir):
     """Words that a mix of all documents takes, sources weighing 1, 2, 3 in turn."""
