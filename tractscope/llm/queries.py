@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 from tractscope.llm import (
     feistel_shards,
     html_extract,
+    language_id,
     piece_encode,
+    quality_gam,
     quality_rules,
     source_mix,
     topk_search,
     url_filter,
 )
+from tractscope.llm.folds import held_out
 from tractscope.session import write_once
 
 QUERIES = {}
@@ -115,6 +118,23 @@ def op5_feistel_shards(spark, sf_dir):
     )
 
 
+@query
+def op6_language_id(spark, sf_dir):
+    """Language of every document, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality_gam(spark, sf_dir):
+    """Quality of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_gam.classify(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_piece_round_trip(spark, sf_dir):
     """Every document encoded and decoded with the 32k piece vocabulary."""
