@@ -42,7 +42,7 @@ def _table(characters):
 _DIGITS = _table(range(48, 58))
 _ENDS = _table(b".?")
 _LETTERS = _table([*range(65, 91), *range(97, 123), *range(128, 256)])
-_OTHER = _table(b"\"'()-_=+[]{}\;:/~`@^")
+_OTHER = _table(b"\"'()-_=+[]{}\\;:/~`@^")
 
 
 def slice_features(s):

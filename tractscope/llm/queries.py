@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tractscope.llm import (
     feistel_shards,
     html_extract,
+    jaccard_join,
     language_id,
     piece_encode,
     quality_gam,
@@ -135,6 +136,12 @@ def op7_quality_gam(spark, sf_dir):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_jaccard_join(spark, sf_dir):
+    """Components of documents linked by the Jaccard similarity of their shingles."""
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_piece_round_trip(spark, sf_dir):
     """Every document encoded and decoded with the 32k piece vocabulary."""
