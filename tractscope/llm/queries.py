@@ -15,6 +15,7 @@ from tractscope.llm import (
     url_filter,
 )
 from tractscope.llm.folds import held_out
+from tractscope.llm.tables import seeded_hash_sql
 from tractscope.session import write_once
 
 QUERIES = {}
@@ -97,6 +98,65 @@ def op4_source_mix(spark, sf_dir):
     )
 
 
+ORACLE["op4_source_mix"] = rf"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{source_mix.WORD}')) AS size,
+           {seeded_hash_sql("doc_id", 0)} AS place
+    FROM documents
+),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1.0::DOUBLE AS weight
+    FROM docs GROUP BY source
+),
+-- The source that is clamped first has the least room for its weight.
+filling AS (
+    SELECT *, source_size * 3.0::DOUBLE AS cap,
+           sum(source_size) OVER ()::DOUBLE AS total,
+           coalesce(sum(source_size * 3.0::DOUBLE) OVER before, 0) AS full_before,
+           sum(weight) OVER rest AS open_weight
+    FROM sources
+    WINDOW before AS (ORDER BY source_size * 3 / weight, source
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           rest AS (ORDER BY source_size * 3 / weight, source
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+share AS (
+    SELECT arg_min((total - full_before) / open_weight, cap / weight) AS share FROM filling
+    WHERE cap > weight * ((total - full_before) / open_weight)
+),
+targets AS (
+    SELECT source, source_size,
+           coalesce(least(cap, weight * (SELECT share FROM share)), cap) AS target FROM filling
+),
+plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole
+    FROM targets
+),
+placed AS (
+    SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS open,
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size) AS upto
+    FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+),
+rests AS (
+    SELECT *, upto <= open AND size > 0 AS extra,
+           open - coalesce(sum(size) FILTER (upto <= open) OVER (PARTITION BY source), 0) AS rest
+    FROM placed
+),
+ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY source, NOT extra AND size > 0 AND abs(size - rest) < rest
+        ORDER BY abs(size - rest), place, doc_id) AS nth
+    FROM rests
+)
+SELECT doc_id, size, source_size, target, source,
+       (size * (whole + CASE WHEN extra THEN 1
+                             WHEN size > 0 AND abs(size - rest) < rest AND nth = 1 THEN 1
+                             ELSE 0 END))::BIGINT AS taken
+FROM ranked
+"""
+
+
 @query
 def op5_feistel_shards(spark, sf_dir):
     """All documents shuffled into eight shards whose counts differ by one at most."""
@@ -168,3 +228,76 @@ def op10_quality_rules(spark, sf_dir):
         "n_lower",
         "n_exclaims",
     )
+
+
+def _rules_sql():
+    bits = [f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in quality_rules.RULES]
+    return " + ".join(bits)
+
+
+_BASE = quality_rules.policy_mask(quality_rules.BASE_POLICY)
+_ALL = _BASE | quality_rules.policy_mask(quality_rules.POLICY)
+ORACLE["op10_quality_rules"] = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, words[k : k + 4]) AS found
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS k FROM texts)
+),
+covered AS (
+    SELECT doc_id, count(DISTINCT word) AS n
+    FROM (SELECT doc_id, unnest(range(k, k + 5)) AS word FROM windows WHERE found > 1)
+    GROUP BY doc_id
+),
+lines AS (
+    SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS duplicates
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+measures AS (
+    SELECT t.doc_id, len(words) AS n_words,
+           length(array_to_string(words, '')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(l.n, 0) AS n_lines, coalesce(l.duplicates, 0) AS n_dup_lines,
+           coalesce(c.n, 0) AS n_repeat_words,
+           length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+           length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower,
+           length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclaims
+    FROM texts t LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id)
+),
+judged AS (SELECT *, ({_rules_sql()})::BIGINT AS failed_rules FROM measures)
+SELECT *, failed_rules & {_BASE} <> 0 AS base_failed, failed_rules & {_ALL} = 0 AS kept
+FROM judged
+"""
+
+# The closure by repeated minima: each step gives a document the smallest id among its links.
+ORACLE["op8_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, words[k : k + 4] AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS k
+          FROM texts WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""

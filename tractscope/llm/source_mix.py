@@ -1,5 +1,7 @@
 """Mixing sources to target weights: capped water-filling and seeded repetition."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tractscope.llm.tables import join_small, numbered, seeded_hash
@@ -8,8 +10,7 @@ from tractscope.session import write_once
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
 WEIGHT_CYCLE = 3
-BUCKET_BITS = 16
-HASH_BITS = 31
+RANGE_BITS, HASH_BITS = 8, 31
 
 
 def word_count(text: Column) -> Column:
@@ -48,118 +49,165 @@ def water_fill(sources: DataFrame, total: float, epochs: float) -> DataFrame:
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(share)))
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    seed: int = 0,
-    epochs: int = MAX_EPOCHS,
-    weights: DataFrame | None = None,
-) -> DataFrame:
-    """How often each document is taken, so that sources come to their target sizes.
+@dataclass
+class MixPlan:
+    """What decides how often a row is taken: a row for each source, and few rows by number.
 
-    ``docs`` has ``id_col`` (an integer), ``source`` and ``size``, one narrow row for each
-    document; it is written once. ``weights`` (source, weight) defaults to 1, 2, 3 repeating
-    by code point. Returns ``id_col``, source, size, source_size, target and ``repeats``.
+    ``sources`` has source, source_size, target, ``whole`` (how often every row is taken),
+    ``last_range`` (rows of earlier hash ranges are taken once more); ``more`` the numbers of
+    the other rows that are taken once more.
+    """
 
-    Every document is taken target div source_size times, and a part of each source once
-    more: its documents in the order of a seeded hash of the id, as long as the whole
-    fits what is still open, then the one other document whose size comes nearest to the
-    rest, if that brings the source nearer to its target. For this, sizes are summed by
-    source and 65,536 hash ranges; only the range in which a source's open part ends is
-    ordered document by document. So no source is ever gathered or sorted as one group.
+    sources: DataFrame
+    more: DataFrame
+    seed: int
 
-    Null source: a source of its own, sorted last. Null id: hashed like 0. Documents of size
-    0 are taken target div source_size times and never fill a rest; a source of size 0 has
-    target 0 and is not taken. Repeated rows each count; of rows alike in id and size any
-    may be taken. Empty table: empty result.
+
+def plan_mix(
+    rows: DataFrame, seed: int = 0, epochs: float = MAX_EPOCHS, weights: DataFrame | None = None
+) -> MixPlan:
+    """Plan a mix of ``rows`` (id, source, size, row; row is unique). ``rows`` is read often,
+    so it must be cheap: narrow and written.
+
+    Every row of a source is taken target div source_size times, and a part of each source
+    once more: its rows in the order of a seeded hash of the id, as long as the whole fits
+    what is still open, then the one other row whose size comes nearest to the rest, if that
+    brings the source nearer to its target. For this, sizes are summed by hash ranges, 256
+    of them and then 256 inside the one in which the open part ends; only the rows of that
+    inner range are ordered one by one. So no source is gathered or sorted as one group.
     """
-    spark = docs.sparkSession
-    hashed = docs.select(
-        F.col(id_col).alias("id"),
-        "source",
-        F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),
-        seeded_hash(F.col(id_col), seed).alias("at"),
-    )
-    slim = write_once(hashed.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
-    sizes = write_once(slim.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    weighted = (
-        cyclic_weights(sizes)
-        if weights is None
-        else sizes.join(
-            weights.select(F.col("source").alias("of"), F.col("weight").cast("double")),
-            sizes["source"].eqNullSafe(F.col("of")),
-            "left",
-        ).drop("of").fillna({"weight": 0.0})
+    rows = rows.withColumn("at", seeded_hash(F.col("id"), seed))
+    sizes = write_once(
+        rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources"
     )
+    if weights is None:
+        weighted = cyclic_weights(sizes)
+    else:
+        named = weights.select(F.col("source").alias("of"), F.col("weight").cast("double"))
+        weighted = sizes.join(named, sizes["source"].eqNullSafe(F.col("of")), "left")
+        weighted = weighted.drop("of").fillna({"weight": 0.0})
     total = float(sizes.agg(F.sum("source_size")).first()[0] or 0)
     filled = water_fill(write_once(weighted, "mix-weights"), total, epochs)
-    whole = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(0)
-    plan = (
-        filled.withColumn("whole", whole.cast("long"))
-        .withColumn("open", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("source_no", F.monotonically_increasing_id())
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
+    filled = filled.withColumn("whole", F.coalesce(whole, F.lit(0)).cast("long"))
+    opened = F.col("target") - F.col("whole") * F.col("source_size")
+    plan = write_once(
+        filled.withColumn("open", opened).withColumn("source_no", F.monotonically_increasing_id()),
+        "mix-plan",
     )
-    plan = write_once(plan, "mix-plan")
-
-    planned = join_small(
-        slim.withColumnRenamed("source", "source_of_doc"),
-        plan.select("source", "source_no", "source_size", "target", "whole", "open"),
-        F.col("source_of_doc").eqNullSafe(F.col("source")),
-    ).drop("source_of_doc")
-    planned = planned.withColumn("range", F.shiftright("at", HASH_BITS - BUCKET_BITS))
-
-    up_to = Window.partitionBy("source_no").orderBy("range")
-    ranges = planned.groupBy("source_no", "range", "open").agg(F.sum("size").alias("range_size"))
-    ends = ranges.withColumn("end", F.sum("range_size").over(up_to))
-    # The range in which the open part ends: the first that does not fit as a whole.
-    last = write_once(
-        ends.where(F.col("end") > F.col("open"))
-        .groupBy("source_no")
-        .agg(
-            F.min("range").alias("last_range"),
-            F.min(F.struct("range", (F.col("end") - F.col("range_size")).alias("start")))["start"]
-            .alias("range_start"),
-        ),
-        "mix-ranges",
+
+    planned = _with_source(rows, plan.select("source", "source_no", "open"))
+    start = plan.select("source_no", "open", F.lit(0).alias("start"))
+    outer = _range_of_end(planned, F.shiftright("at", HASH_BITS - RANGE_BITS), start, "outer")
+    inside = join_small(planned.drop("open"), outer.select("source_no", "outer"), "source_no")
+    inside = inside.where(F.shiftright("at", HASH_BITS - RANGE_BITS) == F.col("outer"))
+    number = F.shiftright("at", HASH_BITS - 2 * RANGE_BITS)
+    last = _range_of_end(inside, number, outer.drop("outer"), "last_range")
+    placed = join_small(planned.drop("open"), last, "source_no", "left").withColumn(
+        "open", F.coalesce("open", F.lit(0.0))
     )
-    placed = join_small(planned, last, "source_no", "left")
-    inside = F.col("range") == F.col("last_range")
-    in_range = Window.partitionBy("source_no").orderBy("at", "id", "size", "row")
+    order = Window.partitionBy("source_no").orderBy("at", "id", "size", "row")
     edge = (
-        placed.where(inside)
-        .withColumn("fits", F.col("range_start") + F.sum("size").over(in_range) <= F.col("open"))
-        .where("fits")
-        .select("row", F.lit(True).alias("edge_taken"))
+        placed.where(number == F.col("last_range"))
+        .withColumn("end", F.col("start") + F.sum("size").over(order))
+        .where(F.col("end") <= F.col("open"))
+    )
+    edge = write_once(edge.select("source_no", "row", "size"), "mix-edge")
+    below = write_once(
+        placed.where(number < F.col("last_range"))
+        .groupBy("source_no")
+        .agg(F.sum("size").alias("below")),
+        "mix-below",
     )
-    edge = write_once(edge, "mix-edge")
-    below = F.coalesce(F.col("range") < F.col("last_range"), F.lit(True))
-    chosen = write_once(
-        join_small(placed, edge, "row", "left").withColumn(
-            "extra", below | F.coalesce(F.col("edge_taken"), F.lit(False))
-        ).drop("edge_taken"),
-        "mix-chosen",
+    taken = (
+        below.unionByName(edge.select("source_no", F.col("size").alias("below")))
+        .groupBy("source_no")
+        .agg(F.sum("below").alias("taken"))
     )
-    rests = chosen.groupBy("source_no").agg(
-        (F.first("open") - F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0))).alias("rest")
+    rests = last.join(taken, "source_no", "left").select(
+        "source_no", (F.col("open") - F.coalesce("taken", F.lit(0))).alias("rest")
     )
-    with_rest = join_small(chosen, write_once(rests, "mix-rests"), "source_no")
+    rests = write_once(rests, "mix-rests")
+    candidates = placed.where(number >= F.col("last_range")).drop("open", "start")
+    candidates = join_small(candidates, rests, "source_no")
+    candidates = join_small(candidates, edge.select("row"), "row", "left_anti")
     miss = F.abs(F.col("size") - F.col("rest"))
     fillers = (
-        with_rest.where(~F.col("extra") & (F.col("size") > 0) & (miss < F.col("rest")))
+        candidates.where((F.col("size") > 0) & (miss < F.col("rest")))
         .groupBy("source_no")
         .agg(F.min(F.struct(miss.alias("miss"), "at", "id", "size", "row"))["row"].alias("row"))
-        .select("row", F.lit(True).alias("filler"))
     )
-    repeats = F.col("whole") + (
-        F.col("extra") | F.coalesce(F.col("filler"), F.lit(False))
-    ).cast("long")
-    return join_small(chosen, write_once(fillers, "mix-fillers"), "row", "left").select(
-        F.col("id").alias(id_col),
+    more = write_once(edge.select("row").union(fillers.select("row")), "mix-more")
+    sources = plan.join(last.select("source_no", "last_range"), "source_no", "left")
+    sources = write_once(
+        sources.select("source", "source_size", "target", "whole", "last_range"), "mix-decided"
+    )
+    return MixPlan(sources, more, seed)
+
+
+def _with_source(rows, table):
+    """Rows with the columns of their source, the null source included."""
+    table = table.withColumnRenamed("source", "source_of_plan")
+    joined = join_small(rows, table, F.col("source").eqNullSafe(F.col("source_of_plan")))
+    return joined.drop("source_of_plan")
+
+
+def _range_of_end(rows, number, starts, name):
+    """(source_no, ``name``, open, start): the hash range in which a source's open part ends,
+    and the sum of the sizes before it. ``starts`` has the sum before the first range."""
+    up_to = Window.partitionBy("source_no").orderBy(name)
+    ranges = rows.groupBy("source_no", number.alias(name)).agg(F.sum("size").alias("inside"))
+    ends = ranges.withColumn("upto", F.sum("inside").over(up_to)).join(starts, "source_no")
+    before = (F.col("start") + F.col("upto") - F.col("inside")).alias("start")
+    first = F.min(F.struct(name, "open", before)).alias("first")
+    found = (
+        ends.where(F.col("start") + F.col("upto") > F.col("open"))
+        .groupBy("source_no")
+        .agg(first)
+        .select("source_no", f"first.{name}", "first.open", "first.start")
+    )
+    return write_once(found, f"mix-{name}")
+
+
+def apply_mix(rows: DataFrame, plan: MixPlan) -> DataFrame:
+    """``rows`` (id, source, size, row and any others) with source_size, target, repeats.
+
+    Joins only with the plan's small tables, so wide rows are not shuffled.
+    """
+    decided = _with_source(rows, plan.sources)
+    decided = join_small(decided, plan.more.withColumn("one_more", F.lit(1)), "row", "left")
+    number = F.shiftright(seeded_hash(F.col("id"), plan.seed), HASH_BITS - 2 * RANGE_BITS)
+    below = F.coalesce(number < F.col("last_range"), F.lit(False)) & (F.col("size") > 0)
+    extra = below | F.col("one_more").isNotNull()
+    repeats = (F.col("whole") + extra.cast("long")).alias("repeats")
+    return decided.select(*rows.columns, "source_size", "target", repeats)
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    seed: int = 0,
+    epochs: float = MAX_EPOCHS,
+    weights: DataFrame | None = None,
+) -> DataFrame:
+    """How often each document is taken, so that sources come to their target sizes.
+
+    ``docs`` has ``id_col`` (an integer), ``source`` and ``size``, one narrow row for each
+    document; it is written once. ``weights`` (source, weight) defaults to 1, 2, 3 repeating
+    by code point. Returns ``id_col``, source, size, source_size, target and ``repeats``; see
+    ``plan_mix`` for the method.
+
+    Null source: a source of its own, sorted last. Null id: hashed like 0. Null size: 0.
+    Documents of size 0 are taken target div source_size times; a source of size 0 has
+    target 0 and is not taken. Repeated rows each count; of rows alike in id and size any
+    may be taken. Other columns are not looked at. Empty table: empty result.
+    """
+    slim = docs.select(
+        F.col(id_col).alias("id"),
         "source",
-        "size",
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, repeats).otherwise(0).cast("long").alias("repeats"),
+        F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    slim = write_once(slim, "mix-sizes")
+    mixed = apply_mix(slim, plan_mix(slim, seed, epochs, weights))
+    return mixed.drop("row").withColumnRenamed("id", id_col)
