@@ -1,0 +1,96 @@
+"""Components and the shingle join against plain Python."""
+
+import random
+
+import pytest
+from brute import components, jaccard
+from pyspark.sql import functions as F
+
+from tractscope.llm import jaccard_join
+from tractscope.llm.components import connected_components
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components(spark, seed):
+    r = random.Random(seed)
+    links = [(r.randint(0, 120), r.randint(0, 120)) for _ in range([0, 40, 90, 160][seed])]
+    links += [(i, i + 1) for i in range(200, 260)] + [(300, i) for i in range(301, 340)]
+    links = links if seed else []
+    frame = spark.createDataFrame([*links, (None, 3), (4, None)], "a long, b long")
+    found = {row.node: row.root for row in connected_components(frame).collect()}
+    nodes = {x for link in links for x in link}
+    wanted = components(nodes, links)
+    assert all(found.get(n, n) == wanted[n] for n in nodes)
+
+
+def corpus(seed, vocabulary=400):
+    """Texts with copies, near copies on both sides of the threshold, chains of them, a
+    passage in many texts, short texts and odd ones."""
+    r = random.Random(seed)
+
+    def prose(n):
+        return [f"w{r.randint(0, vocabulary)}" for _ in range(n)]
+
+    texts = [None, "", " \n", "one", "One", "one two", "a b c d", "A  b\tc d", "a b c d e", "a b c d e"]
+    passage = prose(40)
+    for _ in range(12):
+        base = prose(r.randint(20, 120))
+        texts += [" ".join(base)] * r.randint(1, 3)
+        near = list(base)
+        for _ in range(r.randint(0, 8)):
+            near[r.randrange(len(near))] = "changed" + str(r.randint(0, 9))
+            texts.append(" ".join(near).upper())
+    for _ in range(15):
+        texts.append(" ".join(prose(r.randint(2, 30)) + passage))
+        texts.append(" ".join(passage + prose(r.randint(1, 5))))
+    # A large group of near copies, each with its own end.
+    base = prose(60)
+    texts += [" ".join(base + [f"end{i}", f"x{i}"]) for i in range(40)]
+    r.shuffle(texts)
+    return texts
+
+
+def check(spark, texts, **columns):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = jaccard_join.link_components(frame.withColumns(columns).repartition(3)).collect()
+    got = {row.doc_id: (row.n_shingles, row.component_id) for row in found}
+    assert len(found) == len(texts)
+    assert got == jaccard(texts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_all_pairs(spark, seed):
+    check(spark, corpus(seed), n=F.lit("clash"), row=F.lit(1), **{"class": F.lit(2)})
+
+
+def test_buckets_and_filters_change_nothing(spark, monkeypatch):
+    for name, value in (("BUCKET_BITS", 10), ("SHARED_BITS", 10), ("CHOSEN_BITS", 10)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    monkeypatch.setattr(jaccard_join, "PART_TOKENS", 500)
+    monkeypatch.setattr(jaccard_join, "BUFFER_TOKENS", 300)
+    check(spark, corpus(9))
+
+
+def test_nothing_alike_and_all_alike(spark):
+    check(spark, [f"text {i} " * 6 for i in range(20)])
+    check(spark, ["the same words again and again in every text"] * 30)
+    check(spark, [None, "", "  "])
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard_join.link_components(empty).collect() == []
+
+
+def test_null_and_repeated_ids(spark):
+    text = "some words that are the same in all of these rows"
+    rows = [(None, text), (5, text), (5, text), (None, None), (7, "another text of seven words in all")]
+    found = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr)
+    assert got == sorted([(None, 7, 5), (5, 7, 5), (5, 7, 5), (None, 0, None), (7, 3, 7)], key=repr)
+
+
+@pytest.mark.parametrize("n", range(1, 400))
+def test_lengths_are_exact(n):
+    least = min(i for i in range(n + 1) if 100 * i >= 75 * n)
+    assert jaccard_join.prefix_length(n) == n - least + 1
+    for m in (n, n + 1, n * 5 // 4):
+        wanted = min(i for i in range(n + m) if 100 * i >= 75 * (n + m - i))
+        assert jaccard_join.need(n + m) == wanted

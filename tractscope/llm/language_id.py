@@ -78,7 +78,8 @@ def windows_of(data, offsets):
     size = np.minimum(offsets[1:][text] - begin, WINDOW)
     at = begin[:, None] + np.arange(WINDOW)
     inside = np.arange(WINDOW) < size[:, None]
-    windows = np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))], PAD)
+    found = data[np.minimum(at, max(len(data) - 1, 0))].astype(np.int16)
+    windows = np.where(inside, found, np.int16(PAD))
     return windows, text, size
 
 
