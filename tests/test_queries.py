@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
+from tractscope.oracle import ORACLE
+from tractscope.registry import QUERIES
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
 
@@ -16,13 +18,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", entry_module.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
-    result = entry_module.queries()[name](spark, SF_DIR)
-    assert compare(result, con, entry_module.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, SF_DIR)
+    assert compare(result, con, ORACLE[name]) is None
 
 
 def test_entry(spark):
