@@ -9,7 +9,12 @@ are joined back with the heavy coordinates kept out of the shuffle.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractscope.functions.tracts import tract_or_unknown
-from tractscope.operators.tract_index import TractIndex, cell_number, entry_encloses
+from tractscope.operators.tract_index import (
+    TractIndex,
+    cell_key,
+    cell_number,
+    entry_encloses,
+)
 from tractscope.session import write_once
 
 # A coordinate with more than 1/MAX_HEAVY of all rows is heavy; there are fewer than
@@ -18,8 +23,8 @@ MAX_HEAVY = 100_000
 
 SALTS = 16
 
-# A row number of the grid that no latitude reaches.
-_NO_CELL = -(2**31)
+# Fewer distinct coordinates than this in a cell are no load worth spreading.
+MIN_DENSE = 10_000
 
 
 def _degrees(value: Column) -> Column:
@@ -27,12 +32,28 @@ def _degrees(value: Column) -> Column:
     return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
-def _with_cell(df: DataFrame, index: TractIndex, x: str, y: str) -> DataFrame:
-    return df.withColumns({"_x": _degrees(F.col(x)), "_y": _degrees(F.col(y))}).withColumns(
-        {
-            "cell_x": cell_number(F.col("_x"), index.cell_size),
-            "cell_y": cell_number(F.col("_y"), index.cell_size),
-        }
+def _with_cell(df: DataFrame, index: TractIndex, x: str, y: str, broadcast: bool) -> DataFrame:
+    """``df`` with its numbers ``_x`` and ``_y`` and the key ``cell`` of its index cell.
+
+    The cell is the coarse one, or in a coarse cell that is cut, the finer one; finer
+    numbers are kept inside their coarse cell, whatever rounding does at its borders.
+    """
+    size = index.cell_size
+    levels = F.broadcast(index.levels) if broadcast else index.levels
+    column, row = cell_number(F.col("_x"), size), cell_number(F.col("_y"), size)
+    parts = F.call_function("shiftleft", F.lit(1), F.col("level"))
+
+    def finer(value, number):
+        sub = F.floor((value - number * F.lit(size)) / (F.lit(size) / parts))
+        return number * parts + F.greatest(F.lit(0), F.least(sub, parts - 1))
+
+    fine = cell_key(F.col("level"), finer(F.col("_x"), column), finer(F.col("_y"), row))
+    return (
+        df.withColumns({"_x": _degrees(F.col(x)), "_y": _degrees(F.col(y))})
+        .withColumn("coarse", cell_key(0, column, row))
+        .join(levels, "coarse", "left")
+        .withColumn("cell", F.when(F.col("level").isNull(), F.col("coarse")).otherwise(fine))
+        .drop("coarse", "level")
     )
 
 
@@ -50,9 +71,7 @@ def distinct_coordinates(df: DataFrame, x="longitude", y="latitude") -> DataFram
 def attach_tract(df: DataFrame, index: TractIndex, x="longitude", y="latitude") -> DataFrame:
     """All rows of ``df`` with the column ``tract``; ``n/a`` where no tract matches."""
     if index.fits_broadcast:
-        joined = _with_cell(df, index, x, y).join(
-            F.broadcast(index.cells), ["cell_x", "cell_y"], "left"
-        )
+        joined = _with_cell(df, index, x, y, True).join(F.broadcast(index.cells), "cell", "left")
         return joined.select(
             *(F.col(name) for name in df.columns),
             tract_or_unknown(_found_tract()).alias("tract"),
@@ -86,21 +105,32 @@ def count_by_tract(
 def _locate_points(points: DataFrame, index: TractIndex, x: str, y: str) -> DataFrame:
     """Tract per distinct coordinate by a shuffle join on cell and salt.
 
-    The points are distinct, so hashing them spreads a dense cell evenly over the
-    salts; coordinates without a cell get keys of their own that match nothing.
+    The points are distinct. Cells with more than 1/MAX_HEAVY of them are dense, and there
+    are fewer than MAX_HEAVY such cells; their points are spread over salts, and only their
+    index entries are copied for each salt. Coordinates without a cell get keys of their
+    own that match nothing.
     """
     spread = F.hash(x, y)
-    has_cell = F.col("cell_x").isNotNull() & F.col("cell_y").isNotNull()
-    salted_points = _with_cell(points, index, x, y).withColumns(
-        {
-            "salt": F.pmod(spread, F.lit(SALTS)).cast("int"),
-            "cell_x": F.when(has_cell, F.col("cell_x")).otherwise(spread),
-            "cell_y": F.when(has_cell, F.col("cell_y")).otherwise(F.lit(_NO_CELL)),
-        }
+    placed = write_once(_with_cell(points, index, x, y, False), "placed-points")
+    counts = placed.where(F.col("cell").isNotNull()).groupBy("cell").agg(F.count("*").alias("n"))
+    total = placed.count()
+    heavy = counts.where(F.col("n") > max(total / MAX_HEAVY, MIN_DENSE)).select("cell")
+    dense = write_once(heavy, "dense-cells").withColumn("dense", F.lit(True))
+    salt = F.when(F.col("dense"), F.pmod(spread, F.lit(SALTS))).otherwise(0).cast("int")
+    salted_points = (
+        placed.join(F.broadcast(dense), "cell", "left")
+        .withColumns({"salt": salt, "cell": F.coalesce("cell", -1 - F.abs(spread).cast("long"))})
+        .drop("dense")
+    )
+    salts = F.when(F.col("dense"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    salted_cells = (
+        index.cells.join(F.broadcast(dense), "cell", "left")
+        .withColumn("salt", F.explode(salts))
+        .drop("dense")
     )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted_cells = index.cells.withColumn("salt", salts)
-    joined = salted_points.join(salted_cells, ["cell_x", "cell_y", "salt"], "left")
+    joined = salted_points.join(salted_cells, ["cell", "salt"], "left")
     return joined.select(
         *(F.col(name) for name in points.columns),
         tract_or_unknown(_found_tract()).alias("tract"),
@@ -119,20 +149,34 @@ def attach_located(df: DataFrame, located: DataFrame, x="longitude", y="latitude
     """Left join of rows to their coordinate's tract, safe for heavy coordinates.
 
     ``located`` has ``copies``, the number of rows per coordinate. Coordinates with
-    more than 1/MAX_HEAVY of all rows number fewer than MAX_HEAVY and are broadcast;
-    rows without a coordinate need no join. All others go through the shuffle, where
-    no key can hold more than 1/MAX_HEAVY of the rows.
+    more than 1/MAX_HEAVY of all rows number fewer than MAX_HEAVY and are broadcast.
+    Their rows, and rows without a coordinate, already have their answer; they go through
+    the shuffle of the others under keys of their own, spread by a row number, that match
+    nothing. All other keys hold at most 1/MAX_HEAVY of the rows. ``df`` is read once.
     """
     total = located.agg(F.sum("copies")).first()[0] or 0
     heavy = located.where(F.col("copies") > total / MAX_HEAVY).select(
         x, y, F.col("tract").alias("_heavy_tract")
     )
-    marked = df.join(F.broadcast(heavy), [x, y], "left").withColumn(
-        "_direct", F.col("_heavy_tract").isNotNull() | F.col(x).isNull() | F.col(y).isNull()
+    done = F.col("_heavy_tract").isNotNull() | F.col(x).isNull() | F.col(y).isNull()
+    marked = df.join(F.broadcast(heavy), [x, y], "left").withColumns(
+        {
+            "_spread": F.when(done, F.monotonically_increasing_id()).otherwise(-1),
+            "_key_x": F.when(~done, F.col(x)),
+            "_key_y": F.when(~done, F.col(y)),
+        }
     )
-    columns = [F.col(name) for name in df.columns]
-    direct = marked.where("_direct").select(
-        *columns, tract_or_unknown(F.col("_heavy_tract")).alias("tract")
+    keys = located.select(
+        F.lit(-1).cast("long").alias("_spread"),
+        F.col(x).alias("_key_x"),
+        F.col(y).alias("_key_y"),
+        F.col("tract").alias("_tract"),
     )
-    rest = marked.where("not _direct").select(*columns)
-    return direct.unionByName(_join_points(rest, located, x, y))
+    same = [
+        marked["_spread"] == keys["_spread"],
+        marked["_key_x"].eqNullSafe(keys["_key_x"]),
+        marked["_key_y"].eqNullSafe(keys["_key_y"]),
+    ]
+    columns = [marked[name] for name in df.columns]
+    found = F.coalesce("_heavy_tract", "_tract")
+    return marked.join(keys, same, "left").select(*columns, tract_or_unknown(found).alias("tract"))
