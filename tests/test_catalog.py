@@ -1,4 +1,5 @@
 import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tractscope.catalog import DEFAULT_CATALOG, Catalog, Versions, default_catalog, dimension
 from tractscope.operators.columns import map_columns
+from tractscope.plans.incidents import with_day
+from tractscope.plans.loans import LOAN_FACTS, city_loans
 
 
 def test_listed_year_has_its_version_and_others_the_latest(spark):
@@ -28,11 +31,11 @@ def test_a_year_has_one_version():
         Versions({"v1": (2007, 2018), "v2": (2018, 2019)}, "v2")
 
 
-def test_catalog_file(tmp_path):
+def test_catalog_file(spark, tmp_path):
     path = tmp_path / "catalog.json"
-    path.write_text(json.dumps(DEFAULT_CATALOG))
-    assert Catalog.load(str(path)) == default_catalog()
-    assert list(Catalog.load(str(path)).only(["LA"]).cities) == ["LA"]
+    path.write_text(json.dumps(DEFAULT_CATALOG, indent=1))
+    assert Catalog.load(spark, str(path)) == default_catalog()
+    assert list(Catalog.load(spark, str(path)).only(["LA"]).cities) == ["LA"]
 
 
 def test_city_dim(spark):
@@ -50,11 +53,35 @@ def test_county_keys_must_be_unique(spark):
         replace(catalog, cities={**catalog.cities, "SF2": twin}).county_dim(spark)
 
 
-def test_a_dimension_is_bounded(spark):
+def test_a_dimension_has_rows(spark):
     with pytest.raises(ValueError):
         dimension(spark, ["a"], [])
 
 
+def test_thousands_of_cities_plan_in_seconds(spark):
+    catalog = default_catalog()
+    cities = {
+        f"C{i}": replace(
+            catalog.cities["SF"], key=f"C{i}", county_name=f"county {i}", county_code=f"{i:05d}"
+        )
+        for i in range(5000)
+    }
+    many = replace(catalog, cities=cities)
+    raw = spark.createDataFrame(
+        [("C7", "v2", "2018/3/4", "x", "1", "1"), ("C9", "v1", "3/4/2016", "x", "1", "1")],
+        "city string, version string, date string, category string, longitude string, latitude string",
+    )
+    started = time.perf_counter()
+    days = {r.city: str(r.day) for r in with_day(raw, many).select("city", "day").collect()}
+    loans = spark.createDataFrame(
+        [("v2", "00042", "2018", "1", "00042010100", "7", "1", "1", "1")],
+        ["layout", "county_key", *LOAN_FACTS],
+    )
+    assert [r.city for r in city_loans(loans, many).collect()] == ["C42"]
+    assert time.perf_counter() - started < 15
+    assert days == {"C7": "2018-03-04", "C9": "2016-03-04"}
+
+
 def test_map_columns(spark):
     frame = spark.createDataFrame([("d", "c", 1)], "`Incident Date` string, Category string, n int")
     mapped = map_columns(frame, {"date": "Incident Date", "category": "Category"}, keep=["n"])

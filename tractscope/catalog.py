@@ -6,12 +6,12 @@ becomes a dimension DataFrame where a plan joins it.
 
 import json
 from dataclasses import dataclass, replace
-from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# A catalog joined by broadcast may hold this many rows, checked on the driver.
-MAX_DIMENSION_ROWS = 100_000
+# A dimension of at most this many rows, counted on the driver, is broadcast.
+BROADCAST_ROWS = 100_000
 
 _NO_YEAR = -1
 
@@ -124,26 +124,28 @@ class Catalog:
         names += ["longitude_column", "latitude_column", "is_latest"]
         return dimension(spark, names, rows)
 
-    def incident_patterns(self) -> list[tuple[Column, str]]:
-        """(condition on city and version, date pattern) for a frame of mixed sources."""
-        return [
-            ((F.col("city") == city.key) & (F.col("version") == version), layout.date_format)
-            for city in self.cities.values()
-            for version, layout in city.incident_layouts.items()
-        ]
+    def date_formats(self) -> list[str]:
+        """The distinct date patterns of all incident files."""
+        layouts = [x for city in self.cities.values() for x in city.incident_layouts.values()]
+        return sorted({layout.date_format for layout in layouts})
 
     @staticmethod
-    def load(path: str) -> "Catalog":
-        """Read a catalog file (JSON, same shape as ``DEFAULT_CATALOG``)."""
-        return from_dict(json.loads(Path(path).read_text()))
+    def load(spark: SparkSession, path: str) -> "Catalog":
+        """Read a catalog file (JSON, same shape as ``DEFAULT_CATALOG``) from any storage."""
+        (row,) = spark.read.text(path, wholetext=True).collect()
+        return from_dict(json.loads(row.value))
 
 
 def dimension(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
-    """Rows of metadata as a DataFrame made inside the plan, without Python workers."""
-    if not 0 < len(rows) <= MAX_DIMENSION_ROWS:
-        raise ValueError(f"a dimension of {len(rows)} rows is not driver metadata")
-    structs = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+    """Rows of metadata as a table inside the plan, without Python workers.
+
+    A dimension that may be broadcast is marked so; a longer one is joined as its size asks.
+    """
+    if not rows:
+        raise ValueError("a dimension without rows")
+    columns = [pa.array(column) for column in zip(*rows, strict=True)]
+    table = spark.createDataFrame(pa.table(columns, names=names))
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
 def from_dict(data: dict) -> Catalog:

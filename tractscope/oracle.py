@@ -265,8 +265,13 @@ ORACLE = {
     "coordinate_tract": _sql(
         INCIDENT_TRACTS, "SELECT DISTINCT longitude, latitude, tract FROM incident_tracts"
     ),
+    "coordinate_tract_shuffled": _sql(
+        INCIDENT_TRACTS, "SELECT DISTINCT longitude, latitude, tract FROM incident_tracts"
+    ),
     "incident_tract_join": _sql(INCIDENT_TRACTS, "SELECT * FROM incident_tracts"),
+    "incident_tract_join_shuffled": _sql(INCIDENT_TRACTS, "SELECT * FROM incident_tracts"),
     "incident_tract_year": _sql(INCIDENT_TRACTS, "SELECT * FROM tract_years"),
+    "incident_tract_year_shuffled": _sql(INCIDENT_TRACTS, "SELECT * FROM tract_years"),
     "incident_tract_month": _sql(
         INCIDENT_TRACTS,
         """SELECT tract, city, year, month, count(*) AS total_count
@@ -338,7 +343,7 @@ ORACLE = {
         LEFT JOIN crime c ON a.tract = c.tract AND a.year = c.year
         LEFT JOIN popularity l ON a.tract = l.tract AND a.year = l.year
         LEFT JOIN tract_schools s ON a.tract = s.tract
-        WHERE a.tract IS NOT NULL AND a.tract <> 'n/a' AND a.year IS NOT NULL""",
+        WHERE regexp_full_match(a.tract, '[0-9]{11}') AND a.year IS NOT NULL""",
     ).replace("\n, crime", ", crime"),
     "src_csv_header": _sql(
         INCIDENTS,

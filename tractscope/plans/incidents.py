@@ -4,6 +4,8 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tractscope.catalog import Catalog
+from tractscope.functions.dates import parse_date_by
 from tractscope.operators.locate import count_by_tract
 from tractscope.operators.tract_index import TractIndex
 from tractscope.operators.trend import yearly_trend
@@ -11,10 +13,25 @@ from tractscope.operators.trend import yearly_trend
 INCIDENT_COLUMNS = ["city", "year", "month", "date", "category", "latitude", "longitude"]
 
 
-def _given(value) -> bool:
+def is_given(value) -> bool:
     return value is not None and value != ""
 
 
+def with_day(reports: DataFrame, catalog: Catalog, name: str = "day") -> DataFrame:
+    """Reports of mixed sources with the calendar day of their ``date``.
+
+    The pattern comes with the joined source row, so the plan grows with the number of
+    patterns and not of cities. Reports of no known source have no day.
+    """
+    sources = catalog.incident_source_dim(reports.sparkSession)
+    formats = [(F.col("date_format") == p, p) for p in catalog.date_formats()]
+    return (
+        reports.join(sources.select("city", "version", "date_format"), ["city", "version"], "left")
+        .withColumn(name, parse_date_by(F.col("date"), formats))
+        .drop("date_format")
+    )
+
+
 def clean_incidents(reports: DataFrame, date: Column, year=None, month=None) -> DataFrame:
     """Located reports with year and month of ``date``; an unreadable date leaves nulls.
 
@@ -23,9 +40,9 @@ def clean_incidents(reports: DataFrame, date: Column, year=None, month=None) ->
     """
     located = reports.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
     dated = located.withColumn("_day", date)
-    if _given(year):
-        unit = "month" if _given(month) else "year"
-        first = datetime.date(int(year), int(month) if _given(month) else 1, 1)
+    if is_given(year):
+        unit = "month" if is_given(month) else "year"
+        first = datetime.date(int(year), int(month) if is_given(month) else 1, 1)
         dated = dated.where(F.trunc("_day", unit) == F.lit(first))
     return dated.withColumns({"year": F.year("_day"), "month": F.month("_day")}).select(
         *INCIDENT_COLUMNS
@@ -37,10 +54,10 @@ def in_period(incidents: DataFrame, year=None, month=None) -> DataFrame:
 
     For tables that store year and month, where this picks partitions.
     """
-    if not _given(year):
+    if not is_given(year):
         return incidents
     period = F.col("year") == int(year)
-    if _given(month):
+    if is_given(month):
         period = period & (F.col("month") == int(month))
     return incidents.where(period)
 

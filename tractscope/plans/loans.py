@@ -55,11 +55,11 @@ def eligible_loans(raw: DataFrame) -> DataFrame:
 def city_loans(loans: DataFrame, catalog: Catalog, year: int | None = None) -> DataFrame:
     """Loans of the catalog's cities with full tract identifiers and typed columns.
 
-    The county dimension is driver metadata with a checked number of rows and unique
-    keys, so it is broadcast and no loan is doubled.
+    The county dimension has unique keys, so no loan is doubled; it is broadcast if it has
+    few rows.
     """
     counties = catalog.county_dim(loans.sparkSession)
-    typed = loans.join(F.broadcast(counties), ["layout", "county_key"]).select(
+    typed = loans.join(counties, ["layout", "county_key"]).select(
         "city",
         parse_int(F.col("activity_year")).alias("activity_year"),
         F.col("loan_amount").try_cast("double").alias("loan_amount"),

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from tractscope.functions.tracts import UNKNOWN_TRACT
+# State, county and tract digits; other texts ("06075NA", "n/a") name no area.
+AREA = "^[0-9]{11}$"
 
 
 def area_profile(
@@ -11,8 +12,8 @@ def area_profile(
     """One row per tract and year that any of the yearly tables knows.
 
     The inputs are aggregates of at most one row per tract and year (and level), so
-    these joins move dimension-sized data. Loans without tract and reports outside
-    all tracts belong to no area.
+    these joins move dimension-sized data. Loans without a readable tract and reports
+    outside all tracts belong to no area.
     """
     crime = incident_years.groupBy("tract", "year").agg(
         F.sum("total_count").alias("incident_count")
@@ -24,7 +25,7 @@ def area_profile(
         loans, ["tract", "year"], "full"
     )
     return (
-        areas.where(F.col("tract").isNotNull() & (F.col("tract") != UNKNOWN_TRACT))
+        areas.where(F.col("tract").rlike(AREA))
         .where(F.col("year").isNotNull())
         .join(schools, "tract", "left")
         .select(

@@ -1,15 +1,19 @@
 """The periodic job: sources of one period into tables, all cities in one pass.
 
-Files are read once into a clean Parquet table; every mart is computed from that
-table, so a lost executor or a rerun costs a small read, not the raw files again.
+Raw incident files are landed once, as clean Parquet by city, file version, year and month,
+and read again only when they change; a period is then a few partitions of what has
+landed. Every mart is computed from clean tables, so a lost executor or a rerun costs a
+small read, not the raw files again.
 """
 
 import argparse
+import json
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, SparkSession, functions as F
 
 from tractscope.catalog import Catalog, default_catalog
-from tractscope.operators.tract_index import TractIndex, build_tract_index
+from tractscope.operators.tract_index import TractIndex, stored_tract_index
 from tractscope.plans import incidents, loans, profile, schools
 from tractscope.sinks.jdbc import replace_table
 from tractscope.sinks.tables import (
@@ -20,7 +24,7 @@ from tractscope.sinks.tables import (
     write_incidents,
     write_loans,
 )
-from tractscope.sources.incidents import read_incidents
+from tractscope.sources.incidents import read_incident_version
 from tractscope.sources.loans import read_loans
 from tractscope.sources.schools import read_schools
 
@@ -28,6 +32,8 @@ INCIDENT_SCHEMA = (
     "city string, year int, month int, date string, category string, "
     "latitude string, longitude string"
 )
+LANDED_SCHEMA = INCIDENT_SCHEMA + ", version string"
+LANDED_PARTITIONS = ["city", "version", "year", "month"]
 LOAN_SCHEMA = (
     "city string, activity_year int, loan_amount double, census_tract string, income string, "
     "tract_population int, tract_owner_occupied_units int, tract_one_to_four_family_homes int"
@@ -72,26 +78,84 @@ def refresh_loans(spark: SparkSession, catalog: Catalog, root: str, out: str, ye
     some cities leaves the facts of the others in place.
     """
     applications = read_loans(spark, catalog, root + catalog.loan_folder, [year])
-    write_loans(loans.city_loans(applications, catalog, year), f"{out}/loans")
+    in_year = F.col("activity_year") == year
+    mine = in_year & F.col("city").isin(list(catalog.cities))
+    write_loans(loans.city_loans(applications, catalog, year), f"{out}/loans", owned=mine)
     fact = read_partitions(spark, f"{out}/loans", LOAN_SCHEMA, activity_year=year)
-    replace_partitions(loans.tract_info(fact), f"{out}/tract_info", ["activity_year"])
+    info, info_path = loans.tract_info(fact), f"{out}/tract_info"
+    replace_partitions(info, info_path, ["activity_year"], owned=in_year)
     detail = loans.loan_detail(fact)
-    replace_partitions(detail, f"{out}/loan_detail", LOAN_PARTITIONS)
+    replace_partitions(detail, f"{out}/loan_detail", LOAN_PARTITIONS, owned=in_year)
     ranks = loans.tract_ranks(loans.level_counts(detail))
-    replace_partitions(ranks, f"{out}/loan_ranks", LOAN_PARTITIONS)
+    replace_partitions(ranks, f"{out}/loan_ranks", LOAN_PARTITIONS, owned=in_year)
+
+
+def _state_of(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of a source's files; their content is not read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    return json.dumps(sorted([r.path, r.length, str(r.modificationTime)] for r in files.collect()))
+
+
+def _landed_state(spark: SparkSession, path: str) -> str | None:
+    try:
+        return spark.read.schema("state string").json(path).first().state
+    except AnalysisException:
+        return None
+
+
+def land_incidents(spark: SparkSession, catalog: Catalog, root: str, out: str) -> list[tuple]:
+    """Land the incident files that are new or have changed, whole; returns which.
+
+    What a source's files were when they landed is noted last, so that a run that fails
+    lands them again.
+    """
+    landed = []
+    for city in catalog.cities.values():
+        for version, layout in city.incident_layouts.items():
+            state = _state_of(spark, root + layout.file)
+            note = f"{out}/landed_files/city={city.key}/version={version}"
+            if state == _landed_state(spark, note):
+                continue
+            reports = read_incident_version(spark, city, version, root)
+            mine = (F.col("city") == city.key) & (F.col("version") == version)
+            replace_partitions(
+                reports.withColumn("version", F.lit(version)),
+                f"{out}/landed_incidents",
+                LANDED_PARTITIONS,
+                owned=mine,
+            )
+            noted = spark.range(1, numPartitions=1).select(F.lit(state).alias("state"))
+            noted.write.mode("overwrite").json(note)
+            landed.append((city.key, version))
+    return landed
+
+
+def _in_run(catalog: Catalog, year, month=None) -> Column:
+    """The partitions a run answers for: its cities and its period."""
+    mine = F.col("city").isin(list(catalog.cities))
+    if incidents.is_given(year):
+        mine = mine & (F.col("year") == int(year))
+        if incidents.is_given(month):
+            mine = mine & (F.col("month") == int(month))
+    return mine
 
 
 def refresh_incidents(
     spark: SparkSession, catalog: Catalog, index: TractIndex, root: str, out: str, year, month
 ) -> None:
     """Reports of a month (or year): clean table, month counts, and the year's totals."""
-    write_incidents(read_incidents(spark, catalog, root, year, month), f"{out}/incidents")
+    land_incidents(spark, catalog, root, out)
+    mine = _in_run(catalog, year, month)
+    landed = read_partitions(spark, f"{out}/landed_incidents", LANDED_SCHEMA).where(mine)
+    columns = incidents.INCIDENT_COLUMNS
+    write_incidents(landed.select(*columns), f"{out}/incidents", owned=mine)
     fact = read_partitions(spark, f"{out}/incidents", INCIDENT_SCHEMA)
-    months = incidents.tract_months(incidents.in_period(fact, year, month), index)
-    replace_partitions(months, f"{out}/incident_months", INCIDENT_PARTITIONS)
-    all_months = read_partitions(spark, f"{out}/incident_months", MONTH_SCHEMA, year=year)
-    totals = incidents.years_of_months(all_months)
-    replace_partitions(totals, f"{out}/incident_years", ["city", "year"])
+    months = incidents.tract_months(fact.where(mine), index)
+    replace_partitions(months, f"{out}/incident_months", INCIDENT_PARTITIONS, owned=mine)
+    whole_years = _in_run(catalog, year)
+    all_months = read_partitions(spark, f"{out}/incident_months", MONTH_SCHEMA).where(whole_years)
+    totals, totals_path = incidents.years_of_months(all_months), f"{out}/incident_years"
+    replace_partitions(totals, totals_path, ["city", "year"], owned=whole_years)
 
 
 def refresh_schools(
@@ -99,7 +163,8 @@ def refresh_schools(
 ) -> None:
     """All schools of the cities anew."""
     table = schools.school_tracts(read_schools(spark, catalog, root), index)
-    replace_partitions(table, f"{out}/schools", ["city"])
+    mine = F.col("city").isin(list(catalog.cities))
+    replace_partitions(table, f"{out}/schools", ["city"], owned=mine)
 
 
 def refresh_profile(spark: SparkSession, out: str) -> None:
@@ -131,7 +196,7 @@ def refresh(spark, catalog, root, out, year, month, with_loans: bool) -> None:
     """One period of all cities; loans come out yearly, so not every run has them."""
     if with_loans:
         refresh_loans(spark, catalog, root, out, year)
-    index = build_tract_index(spark.read.parquet(f"{root}tracts"))
+    index = stored_tract_index(spark.read.parquet(f"{root}tracts"))
     refresh_incidents(spark, catalog, index, root, out, year, month)
     refresh_schools(spark, catalog, index, root, out)
 
@@ -147,14 +212,20 @@ def main(arguments=None) -> None:
     parser.add_argument("--with-loans", action="store_true", help="also outside January")
     parser.add_argument("--profile", action="store_true", help="also build the area profile")
     parser.add_argument("--jdbc-url", help="publish the marts to this database")
+    parser.add_argument("--jdbc-properties", help="JSON file of user, password, driver, ...")
     given = parser.parse_args(arguments)
-    catalog = Catalog.load(given.catalog) if given.catalog else default_catalog()
+    spark = SparkSession.builder.appName("tractscope").getOrCreate()
+    catalog = Catalog.load(spark, given.catalog) if given.catalog else default_catalog()
     if given.cities:
         catalog = catalog.only(given.cities.split(","))
-    spark = SparkSession.builder.appName("tractscope").getOrCreate()
     with_loans = given.with_loans or given.month == 1
     refresh(spark, catalog, given.source, given.target, given.year, given.month, with_loans)
     if given.profile:
         refresh_profile(spark, given.target)
     if given.jdbc_url:
-        publish(spark, given.target, published_tables(with_loans, given.profile), given.jdbc_url)
+        properties = None
+        if given.jdbc_properties:
+            with open(given.jdbc_properties) as file:
+                properties = json.load(file)
+        tables = published_tables(with_loans, given.profile)
+        publish(spark, given.target, tables, given.jdbc_url, properties)

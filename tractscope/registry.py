@@ -3,14 +3,13 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tractscope import fixtures as fx
-from tractscope.functions.dates import parse_date_by
 from tractscope.functions.income import has_income, income_level as level_of
 from tractscope.functions.numbers import parse_int
 from tractscope.functions.tracts import normalize_tract
 from tractscope.operators.columns import map_columns
 from tractscope.operators.locate import attach_tract, distinct_coordinates as distinct_points
 from tractscope.operators.lookup import lookup_counties
-from tractscope.operators.tract_index import build_tract_index
+from tractscope.operators.tract_index import BROADCAST_BYTES, stored_tract_index
 from tractscope.plans import incidents, loans, profile, schools
 from tractscope.plans.refresh import INCIDENT_SCHEMA, LOAN_SCHEMA
 from tractscope.session import new_table_path, write_once
@@ -53,12 +52,12 @@ def _population(city_loans):
 
 
 def _clean(spark, sf_dir, year=None, month=None):
-    date = parse_date_by(F.col("date"), CATALOG.incident_patterns())
-    return incidents.clean_incidents(fx.incidents_raw(spark, sf_dir), date, year, month)
+    dated = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG)
+    return incidents.clean_incidents(dated, F.col("day"), year, month)
 
 
-def _index(spark, sf_dir):
-    return build_tract_index(fx.tracts(spark, sf_dir))
+def _index(spark, sf_dir, broadcast_bytes=BROADCAST_BYTES):
+    return stored_tract_index(fx.tracts(spark, sf_dir), broadcast_bytes=broadcast_bytes)
 
 
 def _tract_years(spark, sf_dir):
@@ -168,12 +167,8 @@ def tract_normalize(spark, sf_dir):
 
 @query
 def incident_date_parts(spark, sf_dir):
-    day = parse_date_by(F.col("date"), CATALOG.incident_patterns())
-    return (
-        fx.incidents_raw(spark, sf_dir)
-        .withColumn("day", day)
-        .select("city", "date", F.year("day").alias("year"), F.month("day").alias("month"))
-    )
+    dated = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG)
+    return dated.select("city", "date", F.year("day").alias("year"), F.month("day").alias("month"))
 
 
 @query
@@ -234,6 +229,23 @@ def incident_tract_year(spark, sf_dir):
     return _tract_years(spark, sf_dir)
 
 
+@query
+def coordinate_tract_shuffled(spark, sf_dir):
+    """The plan for an index too large to broadcast."""
+    points = distinct_points(_clean(spark, sf_dir))
+    return attach_tract(points, _index(spark, sf_dir, broadcast_bytes=0))
+
+
+@query
+def incident_tract_join_shuffled(spark, sf_dir):
+    return attach_tract(_clean(spark, sf_dir), _index(spark, sf_dir, broadcast_bytes=0))
+
+
+@query
+def incident_tract_year_shuffled(spark, sf_dir):
+    return incidents.tract_years(_clean(spark, sf_dir), _index(spark, sf_dir, broadcast_bytes=0))
+
+
 @query
 def incident_tract_month(spark, sf_dir):
     return incidents.tract_months(_clean(spark, sf_dir), _index(spark, sf_dir))
@@ -333,8 +345,8 @@ def src_year_glob(spark, sf_dir):
 def src_versioned_union(spark, sf_dir):
     """Reports from one file set per city and version; versions overlap by a year."""
     root = new_table_path(spark, "versions") + "/"
-    day = parse_date_by(F.col("date"), CATALOG.incident_patterns())
-    raw = fx.incidents_raw(spark, sf_dir).withColumn("y", F.year(day))
+    day = F.col("day")
+    raw = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG).withColumn("y", F.year(day))
     for city in CATALOG.cities.values():
         for version, layout in city.incident_layouts.items():
             rows = raw.where(F.col("city") == city.key)

@@ -1,18 +1,27 @@
 """Partitioned Parquet tables, rewritten per period."""
 
-from pyspark.sql import DataFrame, functions as F
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, functions as F
 
 INCIDENT_PARTITIONS = ["city", "year", "month"]
 LOAN_PARTITIONS = ["city", "activity_year"]
 
 
-def replace_partitions(df: DataFrame, path: str, partitions: list[str], sort=()) -> None:
-    """Write ``df``, replacing exactly the partitions it has rows for.
+def replace_partitions(
+    df: DataFrame, path: str, partitions: list[str], sort=(), owned: Column | None = None
+) -> None:
+    """Write ``df``, replacing the partitions it has rows for.
 
-    A rerun of a period leaves one copy of it, and a failed run leaves the old one.
-    The rebalance splits a period with very many rows over several tasks and gathers
-    small ones, so files come out of a useful size.
+    ``owned`` is a condition on partition columns: the partitions this run answers for.
+    Those of them that have no rows any more are emptied, so a corrected source leaves
+    nothing behind. A rerun of a period leaves one copy of it; a run that fails leaves old or
+    new partitions, and the next run puts them right. The rebalance splits a period with
+    very many rows over several tasks and gathers small ones, so files come out of a useful
+    size.
     """
+    before = _files(df, path, owned)
     balanced = df.hint("rebalance", *partitions)
     if sort:
         balanced = balanced.sortWithinPartitions(*partitions, *sort)
@@ -22,22 +31,48 @@ def replace_partitions(df: DataFrame, path: str, partitions: list[str], sort=())
         .partitionBy(*partitions)
         .parquet(path)
     )
+    # A partition that was replaced has new files; one that was not still has its old ones.
+    stale = {file.rpartition("/")[0] for file in before & _files(df, path, owned)}
+    nothing = df.drop(*partitions).limit(0)
+    for folder in sorted(stale):
+        nothing.write.mode("overwrite").parquet(folder)
+
 
+def _files(df: DataFrame, path: str, owned: Column | None) -> set[str]:
+    """Files of the owned partitions that hold rows; only partitions that meet the condition
+    are listed."""
+    if owned is None:
+        return set()
+    try:
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+    except AnalysisException:
+        return set()
+    names = table.where(owned).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return {unquote(row.file) for row in names.collect()}
 
-def write_incidents(incidents: DataFrame, path: str) -> None:
-    replace_partitions(incidents, path, INCIDENT_PARTITIONS, sort=["longitude", "latitude"])
+
+def write_incidents(incidents: DataFrame, path: str, owned: Column | None = None) -> None:
+    replace_partitions(
+        incidents, path, INCIDENT_PARTITIONS, sort=["longitude", "latitude"], owned=owned
+    )
 
 
-def write_loans(loans: DataFrame, path: str) -> None:
-    replace_partitions(loans, path, LOAN_PARTITIONS)
+def write_loans(loans: DataFrame, path: str, owned: Column | None = None) -> None:
+    replace_partitions(loans, path, LOAN_PARTITIONS, owned=owned)
 
 
 def read_partitions(spark, path: str, schema, **equal) -> DataFrame:
     """The table, or the partitions with the given values; only those are listed.
 
-    Partition values are taken by the declared schema, never guessed from folder names.
+    Partition values are taken by the declared schema, never guessed from folder names. A
+    table that was never written is empty.
     """
-    table = spark.read.schema(schema).parquet(path)
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
     for name, value in equal.items():
         table = table.where(F.col(name) == value)
     return table

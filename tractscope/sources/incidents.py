@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tractscope.catalog import Catalog, City
 from tractscope.operators.columns import map_columns
-from tractscope.plans.incidents import clean_incidents
+from tractscope.plans.incidents import clean_incidents, is_given
 from tractscope.functions.dates import parse_date
 from tractscope.sources.files import read_csv_header
 
@@ -24,7 +24,7 @@ def read_incident_version(
     raw = map_columns(read_csv_header(spark, root + layout.file), layout.columns)
     named = raw.withColumns({"city": F.lit(city.key), "version": F.lit(version)})
     clean = clean_incidents(named, parse_date(F.col("date"), layout.date_format), year, month)
-    if year is not None:
+    if is_given(year):
         return clean
     return clean.where(city.incident_versions.is_source(version, F.col("year")))
 
@@ -35,7 +35,7 @@ def read_incidents(
     """Clean reports of all cities; with a year, only the version of that year is read."""
     parts = []
     for city in catalog.cities.values():
-        versions = city.incident_layouts if year is None else [city.incident_version(year)]
+        versions = [city.incident_version(year)] if is_given(year) else city.incident_layouts
         parts += [
             read_incident_version(spark, city, version, root, year, month)
             for version in versions
