@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tractscope.operators import locate
+from tractscope.operators import locate, tract_index
 from tractscope.operators.locate import attach_tract, count_by_tract
 from tractscope.operators.tract_index import build_tract_index
 
@@ -171,3 +171,88 @@ def test_most_cells_need_no_geometry(spark):
 def test_index_size_is_measured(spark):
     assert build_tract_index(boundaries(spark), 1.0, broadcast_bytes=10_000_000).fits_broadcast
     assert not build_tract_index(boundaries(spark), 1.0, broadcast_bytes=1000).fits_broadcast
+
+
+def wheel(corners, radius=1.0):
+    angles = [2 * math.pi * i / corners for i in range(corners)]
+    return [[(radius * math.cos(a) * (1 + 0.05 * math.sin(9 * a)), radius * math.sin(a)) for a in angles]]
+
+
+def test_index_follows_the_border(spark):
+    """Twice the size is twice the border cells; inside, only coarse cells count."""
+    rows = {}
+    for radius in (0.5, 1.0):
+        index = build_tract_index(boundaries(spark, {"w": wheel(600, radius)}), 0.04)
+        whole = index.cells.where("sole_tract is not null").count()
+        rows[radius] = index.cells.count() - whole, whole
+    assert rows[1.0][0] < 2.6 * rows[0.5][0]
+    assert rows[1.0][1] < 2500 + 6 * rows[1.0][0]
+
+
+def test_dense_cells_are_cut_and_exact(spark):
+    """Thousands of corners in one coarse cell: finer cells hold some, answers stay exact."""
+    shapes = {"w": wheel(3000, 0.9), "v": [[(x + 1.2, y) for x, y in ring] for ring in wheel(900, 0.5)]}
+    index = build_tract_index(boundaries(spark, shapes), 4.0)
+    assert index.levels.count() > 0
+    sides = index.cells.select(F.inline("candidates")).agg(F.avg(F.size("edges"))).first()[0]
+    assert sides < 80
+    pick = random.Random(5)
+    rows = [(pick.uniform(-1, 2), pick.uniform(-1, 1)) for _ in range(1500)]
+    rows += [(x, y) for rings in shapes.values() for x, y in rings[0][::9]]
+    rows += [(i / 16, j / 16) for i in range(-16, 30) for j in range(-16, 17)]
+    frame = spark.createDataFrame(rows, "x double, y double")
+    for row in attach_tract(frame, index, "x", "y").collect():
+        matches = [n for n, rings in shapes.items() if inside(rings, row.x, row.y)]
+        assert row.tract == min(matches, default="n/a")
+
+
+def test_unusable_boundaries_are_rejected(spark):
+    kind = "tract string, rings array<array<struct<x:double,y:double>>>"
+    good = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]]
+    bad = [
+        ("null corner", [[(0.0, 0.0), None, (1.0, 1.0)]]),
+        ("null number", [[(0.0, 0.0), (None, 1.0), (1.0, 1.0)]]),
+        ("nan", [[(0.0, 0.0), (float("nan"), 1.0), (1.0, 1.0)]]),
+        ("far", [[(0.0, 0.0), (1e300, 1.0), (1.0, 1.0)]]),
+        ("null ring", [None]),
+        ("no rings", []),
+        ("null", None),
+        (None, good),
+    ]
+    frame = spark.createDataFrame([("good", good), *bad], kind)
+    with pytest.warns(UserWarning, match="8 tracts"):
+        index = build_tract_index(frame, 0.5)
+    assert index.rejected == 8
+    points = spark.createDataFrame([(0.5, 0.5), (2.0, 2.0)], "x double, y double")
+    assert [r.tract for r in attach_tract(points, index, "x", "y").collect()] == ["good", "n/a"]
+
+
+def test_stored_index_is_built_once(spark, monkeypatch):
+    built = []
+    real = tract_index.build_tract_index
+    monkeypatch.setattr(
+        tract_index, "build_tract_index", lambda *given: built.append(1) or real(*given)
+    )
+    square = {"s": [[(0.1, 0.1), (4.7, 0), (4, 4), (0, 4)]]}
+    for _ in range(2):
+        index = tract_index.stored_tract_index(boundaries(spark, square).repartition(2), 0.5)
+        points = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+        assert attach_tract(points, index, "x", "y").first().tract == "s"
+    assert len(built) == 1
+    tract_index.stored_tract_index(boundaries(spark, {"s": [[(0, 0), (4, 0), (4, 4)]]}), 0.5)
+    assert len(built) == 2
+
+
+def test_shuffle_plan_reads_its_input_once(spark, points, tmp_path):
+    points.write.parquet(f"{tmp_path}/points")
+    stored = spark.read.parquet(f"{tmp_path}/points")
+    index = build_tract_index(boundaries(spark), 1.0, 0)
+    plan = attach_tract(stored, index)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("k#") and plan.count("Relation [id#") == 1
+
+
+def test_dense_cells_of_the_shuffle_plan(spark, points, monkeypatch):
+    monkeypatch.setattr(locate, "MIN_DENSE", 5)
+    index = build_tract_index(boundaries(spark), 3.0, 0)
+    for row in attach_tract(points, index).collect():
+        assert row.tract == expected_tract(row.longitude, row.latitude)

@@ -112,3 +112,60 @@ def test_command_line(spark, raw, tmp_path):
               "--cities", "SF", "--profile"])
     assert {row.city for row in spark.read.parquet(f"{out}/incidents").collect()} == {"SF"}
     assert spark.read.parquet(f"{out}/area_profile").count() == 2
+
+
+def _reports(spark, out, name="incident_years"):
+    schema = {"incident_years": job.YEAR_SCHEMA, "incidents": job.INCIDENT_SCHEMA,
+              "incident_months": job.MONTH_SCHEMA}[name]
+    return job.read_partitions(spark, f"{out}/{name}", schema).collect()
+
+
+def test_a_period_that_loses_its_rows_leaves_none(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    job.refresh(spark, default_catalog(), raw, out, 2018, None, with_loans=True)
+    assert {r.city for r in _reports(spark, out)} == {"SF", "LA"}
+    files = {path: path.read_text() for path in (tmp_path / "incidents").glob("*.csv")}
+    for path, text in files.items():  # only header lines are left
+        path.write_text(text.splitlines()[0] + "\n")
+    put(tmp_path, "schools/SF.xml", "<schools></schools>")
+    put(tmp_path, "loans/2018/a.txt", V2)
+    job.refresh(spark, default_catalog().only(["SF"]), raw, out, 2018, None, with_loans=True)
+    for name in ("incidents", "incident_months", "incident_years"):
+        assert {r.city for r in _reports(spark, out, name)} == {"LA"}
+    left = job.read_partitions(spark, f"{out}/schools", job.SCHOOL_TABLE_SCHEMA).collect()
+    assert {r.city for r in left} == {"LA"}
+    loans = job.read_partitions(spark, f"{out}/loans", job.LOAN_SCHEMA).collect()
+    assert {r.city for r in loans} == {"LA"}
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
+    assert _reports(spark, out) == [] or {r.year for r in _reports(spark, out)} != {2018}
+
+
+def test_raw_files_are_landed_once(spark, raw, tmp_path, monkeypatch):
+    out, read = str(tmp_path / "out"), []
+    real = job.read_incident_version
+    monkeypatch.setattr(
+        job, "read_incident_version", lambda *given: read.append(given[1].key) or real(*given)
+    )
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=False)
+    assert sorted(read) == ["LA", "SF", "SF"]
+    job.refresh(spark, default_catalog(), raw, out, 2018, 2, with_loans=False)
+    assert len(read) == 3
+    path = next((tmp_path / "incidents").glob("LA*"))
+    path.write_text(path.read_text() + "\n")
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=False)
+    assert sorted(read) == ["LA", "LA", "SF", "SF"]
+
+
+def test_profile_without_loans(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    job.main(["--source", raw, "--target", out, "--year", "2018", "--month", "2", "--profile"])
+    assert spark.read.parquet(f"{out}/area_profile").where("loan_count is not null").count() == 0
+
+
+def test_database_properties_come_from_a_file(spark, raw, tmp_path, monkeypatch):
+    given = []
+    monkeypatch.setattr(job, "replace_table", lambda *found: given.append(found[3]))
+    put(tmp_path, "db.json", '{"user": "u", "password": "p"}')
+    job.main(["--source", raw, "--target", str(tmp_path / "out"), "--year", "2018", "--month", "2",
+              "--jdbc-url", "jdbc:x", "--jdbc-properties", f"{tmp_path}/db.json"])
+    assert given and all(found == {"user": "u", "password": "p"} for found in given)

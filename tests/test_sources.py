@@ -209,3 +209,23 @@ def test_fixture_layouts(spark):
     for version, layout in fx.fixture_catalog().loan_layouts.items():
         frame = fx.loans_in_layout(spark, "/root/testdata/sf0.001", version)
         assert set(layout.columns.values()) <= set(frame.columns)
+
+
+def test_files_with_columns_in_another_order(spark, tmp_path):
+    put(tmp_path, "y/2017/a.csv", "a,b,c\n1,2,3\n")
+    put(tmp_path, "y/2017/b x.csv", "c,a,b\n30,10,20\n")
+    put(tmp_path, "y/2018/empty.csv", "")
+    put(tmp_path, "y/2018/c.csv", "a,b,c\n100,200,300\n")
+    frame = read_csv_header(spark, year_paths(f"{tmp_path}/y/", [2017, 2018]))
+    rows = sorted((int(r.a), int(r.b), int(r.c)) for r in frame.collect())
+    assert rows == [(1, 2, 3), (10, 20, 30), (100, 200, 300)]
+    put(tmp_path, "y/2018/d.csv", "a,b,other\n1,2,3\n")
+    with pytest.raises(ValueError, match="d.csv has other columns"):
+        read_csv_header(spark, year_paths(f"{tmp_path}/y/", [2018]))
+
+
+def test_blank_year_is_no_year(spark, tmp_path):
+    write_reports(tmp_path)
+    every = read_incidents(spark, default_catalog(), f"{tmp_path}/")
+    blank = read_incidents(spark, default_catalog(), f"{tmp_path}/", "", "")
+    assert sorted(map(tuple, blank.collect()), key=str) == sorted(map(tuple, every.collect()), key=str)

@@ -184,6 +184,30 @@ def _sql(tables: str, select: str) -> str:
     return f"WITH {tables.strip()}\n{select.strip()}"
 
 
+PROFILE = """, crime AS (
+          SELECT tract, year, CAST(sum(total_count) AS BIGINT) AS incident_count
+          FROM tract_years GROUP BY ALL
+        ),
+        popularity AS (
+          SELECT census_tract AS tract, activity_year AS year,
+                 CAST(sum("count") AS BIGINT) AS loan_count, min("rank") AS best_rank
+          FROM loan_ranks GROUP BY ALL
+        ),
+        areas AS (
+          SELECT tract, year FROM populations
+          UNION SELECT tract, year FROM crime
+          UNION SELECT tract, year FROM popularity
+        )
+        SELECT a.tract, a.year, population, owner_occupied_units, one_to_four_family_homes,
+               incident_count, CAST(incident_count AS DOUBLE) / population AS crime_rate,
+               loan_count, best_rank, school_count, average_rating
+        FROM areas a
+        LEFT JOIN populations p ON a.tract = p.tract AND a.year = p.year
+        LEFT JOIN crime c ON a.tract = c.tract AND a.year = c.year
+        LEFT JOIN popularity l ON a.tract = l.tract AND a.year = l.year
+        LEFT JOIN tract_schools s ON a.tract = s.tract
+        WHERE regexp_full_match(a.tract, '[0-9]{11}') AND a.year IS NOT NULL"""
+
 ORACLE = {
     "loan_tract_rank": _sql(LOANS, "SELECT * FROM loan_ranks"),
     "top_tracts_per_level": _sql(LOANS, f'SELECT * FROM loan_ranks WHERE "rank" <= {TOP_K}'),
@@ -320,31 +344,23 @@ ORACLE = {
                coalesce(countycode, '') AS county_code
         FROM matches WHERE n = 1""",
     "area_profile": _sql(
+        f"{LOANS}, {INCIDENT_TRACTS}, {SCHOOLS}, {SCHOOL_TRACTS}", PROFILE
+    ).replace("\n, crime", ", crime"),
+    # The job has seen the year before, and two months of the year, with all its loans.
+    "refresh_tables": _sql(
         f"{LOANS}, {INCIDENT_TRACTS}, {SCHOOLS}, {SCHOOL_TRACTS}",
-        """, crime AS (
-          SELECT tract, year, CAST(sum(total_count) AS BIGINT) AS incident_count
-          FROM tract_years GROUP BY ALL
-        ),
-        popularity AS (
-          SELECT census_tract AS tract, activity_year AS year,
-                 CAST(sum("count") AS BIGINT) AS loan_count, min("rank") AS best_rank
-          FROM loan_ranks GROUP BY ALL
+        PROFILE.replace("FROM tract_years GROUP", "FROM months_seen GROUP").replace(
+            ", crime AS",
+            f""", months_seen AS (
+          SELECT tract, city, year, count(*) AS total_count FROM incident_tracts
+          WHERE year = {YEAR - 1} OR year = {YEAR} AND month IN ({MONTH}, {MONTH + 1})
+          GROUP BY ALL
         ),
-        areas AS (
-          SELECT tract, year FROM populations
-          UNION SELECT tract, year FROM crime
-          UNION SELECT tract, year FROM popularity
+        crime AS""",
+            1,
         )
-        SELECT a.tract, a.year, population, owner_occupied_units, one_to_four_family_homes,
-               incident_count, CAST(incident_count AS DOUBLE) / population AS crime_rate,
-               loan_count, best_rank, school_count, average_rating
-        FROM areas a
-        LEFT JOIN populations p ON a.tract = p.tract AND a.year = p.year
-        LEFT JOIN crime c ON a.tract = c.tract AND a.year = c.year
-        LEFT JOIN popularity l ON a.tract = l.tract AND a.year = l.year
-        LEFT JOIN tract_schools s ON a.tract = s.tract
-        WHERE regexp_full_match(a.tract, '[0-9]{11}') AND a.year IS NOT NULL""",
-    ).replace("\n, crime", ", crime"),
+        + f" AND a.year IN ({YEAR - 1}, {YEAR})",
+    ).replace("\n, months_seen", ", months_seen"),
     "src_csv_header": _sql(
         INCIDENTS,
         "SELECT city, version, date, category, longitude, latitude FROM incidents_all",
@@ -368,6 +384,11 @@ ORACLE = {
         f"""SELECT action_taken, loan_purpose, property_type, county_name, {V1_COLUMNS}
         FROM loan_texts WHERE activity_year IN ('1995', '1996', '1997')""",
     ),
+    "loan_files": _sql(
+        LOANS,
+        f"""SELECT {CITY_LOAN_COLUMNS} FROM loans_eligible
+        WHERE activity_year IN (1996, 1997, 1998)""",
+    ),
     "src_versioned_union": _sql(INCIDENTS, "SELECT * FROM incidents_clean"),
     "src_catalog_dim": _sql(
         INCIDENTS,
@@ -387,5 +408,10 @@ ORACLE = {
         FROM sources s LEFT JOIN found f ON s.city = f.city AND s.version = f.version""",
     ).replace("\n, sources", ", sources"),
     "sink_incident_partitions": _sql(INCIDENTS, "SELECT * FROM incidents_clean"),
+    "sink_incident_correction": _sql(
+        INCIDENTS,
+        f"""SELECT * FROM incidents_clean
+        WHERE year IS DISTINCT FROM {YEAR} OR month <> {MONTH}""",
+    ),
     "sink_loan_partitions": _sql(LOANS, f"SELECT {CITY_LOAN_COLUMNS} FROM loans_eligible"),
 }

@@ -11,7 +11,8 @@ from tractscope.operators.locate import attach_tract, distinct_coordinates as di
 from tractscope.operators.lookup import lookup_counties
 from tractscope.operators.tract_index import BROADCAST_BYTES, stored_tract_index
 from tractscope.plans import incidents, loans, profile, schools
-from tractscope.plans.refresh import INCIDENT_SCHEMA, LOAN_SCHEMA
+from tractscope.plans.refresh import INCIDENT_SCHEMA, LOAN_SCHEMA, PROFILE_SCHEMA
+from tractscope.plans import refresh as job
 from tractscope.session import new_table_path, write_once
 from tractscope.sinks.tables import read_partitions, write_incidents, write_loans
 from tractscope.sources.files import (
@@ -21,7 +22,7 @@ from tractscope.sources.files import (
     year_paths,
 )
 from tractscope.sources.incidents import read_incidents
-from tractscope.sources.loans import standard_loans
+from tractscope.sources.loans import read_loans, standard_loans
 from tractscope.sources.schools import read_school_file
 
 CATALOG = fx.fixture_catalog()
@@ -333,18 +334,44 @@ def src_delimited_text(spark, sf_dir):
 
 @query
 def src_year_glob(spark, sf_dir):
-    """Three of the year folders, each of many files with a header line."""
+    """Three of the year folders, each of files with a header line, in two column orders."""
     path = new_table_path(spark, "years")
-    raw = fx.loans_in_layout(spark, sf_dir, "v1")
-    folders = raw.withColumn("y", F.col("as_of_year"))
-    folders.write.partitionBy("y").csv(path, header=True)
-    return read_csv_header(spark, year_paths(f"{path}/y=", [1995, 1996, 1997]), raw.columns)
+    _write_year_folders(fx.loans_in_layout(spark, sf_dir, "v1"), "as_of_year", f"{path}/y=", ",")
+    return read_csv_header(spark, year_paths(f"{path}/y=", [1995, 1996, 1997]))
+
+
+def _write_year_folders(rows, year, prefix, separator):
+    """Folders ``<prefix><year>``; a part of each folder's files has its columns reversed."""
+    odd = F.col("action_taken") == "1"
+    folder, _, name = prefix.rpartition("/")
+    for some, columns in ((odd, rows.columns), (~odd, rows.columns[::-1])):
+        part = rows.where(some).withColumn("folder", F.concat(F.lit(name), F.col(year)))
+        for found in sorted(r.folder for r in part.select("folder").distinct().collect()):
+            files = part.where(F.col("folder") == found).select(*columns)
+            files.write.mode("append").csv(f"{folder}/{found}", sep=separator, header=True)
+
+
+@query
+def loan_files(spark, sf_dir):
+    """Eligible loans of all cities, read from the year folders of both file layouts."""
+    root = new_table_path(spark, "loan-files") + "/"
+    for version, separator in (("v1", ","), ("v2", "|")):
+        rows = fx.loans_in_layout(spark, sf_dir, version)
+        year = CATALOG.loan_layouts[version].columns["activity_year"]
+        _write_year_folders(rows, year, root, separator)
+    applications = read_loans(spark, CATALOG, root, [1996, 1997, 1998])
+    return loans.city_loans(applications, CATALOG)
 
 
 @query
 def src_versioned_union(spark, sf_dir):
     """Reports from one file set per city and version; versions overlap by a year."""
     root = new_table_path(spark, "versions") + "/"
+    _write_incident_files(spark, sf_dir, root)
+    return read_incidents(spark, CATALOG, root)
+
+
+def _write_incident_files(spark, sf_dir, root):
     day = F.col("day")
     raw = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG).withColumn("y", F.year(day))
     for city in CATALOG.cities.values():
@@ -358,7 +385,6 @@ def src_versioned_union(spark, sf_dir):
                 *(F.col(target).alias(source) for target, source in layout.columns.items())
             )
             named.write.csv(root + layout.file, header=True)
-    return read_incidents(spark, CATALOG, root)
 
 
 @query
@@ -387,3 +413,39 @@ def sink_loan_partitions(spark, sf_dir):
     write_loans(fact, path)
     write_loans(fact.where(F.col("activity_year") == PERIOD[0]), path)
     return read_partitions(spark, path, LOAN_SCHEMA)
+
+
+@query
+def sink_incident_correction(spark, sf_dir):
+    """A year written, and again from a source that has lost one of its months."""
+    path = new_table_path(spark, "corrected")
+    year, month = PERIOD
+    write_incidents(_clean(spark, sf_dir), path)
+    corrected = _clean(spark, sf_dir, year).where(F.col("month") != month)
+    write_incidents(corrected, path, owned=F.col("year") == year)
+    return read_partitions(spark, path, INCIDENT_SCHEMA)
+
+
+@query
+def refresh_tables(spark, sf_dir):
+    """The periodic job over raw files: one year by months and one at once, then the profile."""
+    root = new_table_path(spark, "raw") + "/"
+    out = new_table_path(spark, "tables")
+    _write_incident_files(spark, sf_dir, root)
+    for version, separator in (("v1", ","), ("v2", "|")):
+        rows = fx.loans_in_layout(spark, sf_dir, version)
+        year = CATALOG.loan_layouts[version].columns["activity_year"]
+        _write_year_folders(rows, year, root + CATALOG.loan_folder, separator)
+    schools_of = fx.schools_raw(spark, sf_dir)
+    odd = F.col("gsRating") % 2 == 1
+    for city, some in (("SF", odd), ("LA", ~odd)):
+        tags = {"rootTag": "schools", "rowTag": "school"}
+        path = root + CATALOG.cities[city].school_file
+        schools_of.where(some).write.format("xml").options(**tags).save(path)
+    fx.tracts(spark, sf_dir).write.parquet(root + "tracts")
+    year, month = PERIOD
+    job.refresh(spark, CATALOG, root, out, year - 1, None, with_loans=True)
+    for number in (month, month + 1):
+        job.refresh(spark, CATALOG, root, out, year, number, with_loans=number == month)
+    job.refresh_profile(spark, out)
+    return read_partitions(spark, f"{out}/area_profile", PROFILE_SCHEMA)
