@@ -331,13 +331,15 @@ def extract_text(
     fields = [StructField("text", StringType()), StructField("n_chars", LongType())]
     schema = StructType([*pages.select(*keep).schema.fields, *fields])
 
+    def extracted(batch):
+        texts = [extract(page.as_py()) for page in batch.columns[-1]]
+        counts = pa.array([len(text) for text in texts], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(texts, pa.string()), counts], names=schema.names
+        )
+
     def run(batches):
-        for batch in batches:
-            texts = [extract(page.as_py()) for page in batch.columns[-1]]
-            counts = pa.array([len(text) for text in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(texts, pa.string()), counts], names=schema.names
-            )
+        return map(extracted, batches)
 
     source = pages.select(*keep, F.col(html_col).cast("string").alias("html_to_extract"))
     return source.mapInArrow(run, schema)

@@ -15,17 +15,18 @@ between components is missed.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from tractscope.llm.components import connected_components
+from tractscope.llm.tables import join_small
 from tractscope.llm.words import Powers, Slice, mixed, text_bytes, slices
 from tractscope.session import write_once
 
 PERCENT = 75
-# Shingles are counted in so many buckets to put frequent ones last (4 MB, broadcast). More
+# Shingles are counted in so many buckets to put frequent ones last (16 MB, broadcast). More
 # would tell more shingles apart; any number gives the same links.
-BUCKET_BITS, CHUNK_BITS = 20, 10
+BUCKET_BITS, CHUNK_BITS = 22, 10
 # Bits of the broadcast filters (16 MB and 8 MB). A full filter lets more through, no less.
 SHARED_BITS, CHOSEN_BITS = 27, 26
 # Prefix shingles of one part when shared ones are looked for, and of one task's buffer.
@@ -86,6 +87,19 @@ def _by_text(batch_texts, powers):
         yield at, to - at, *shingle_sets(s)
 
 
+def _packed(h) -> bytes:
+    """The upper 48 bits of each hash, six bytes each; enough to tell shingles apart."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(data) -> np.ndarray:
+    """Hashes with the lower 16 bits gone."""
+    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    h = np.zeros((len(six), 8), np.uint8)
+    h[:, 2:] = six
+    return h.view(np.uint64).ravel()
+
+
 # --- passes over the texts -----------------------------------------------------------
 
 
@@ -94,45 +108,70 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
 
     Each task sends its counts in chunks, which are added up chunk by chunk as they come in.
     """
-    schema = StructType([StructField("chunk", IntegerType()), StructField("counts", BinaryType())])
+    schema = StructType(
+        [
+            StructField("chunk", IntegerType()),
+            StructField("width", IntegerType()),
+            StructField("counts", BinaryType()),
+        ]
+    )
     size = 1 << (BUCKET_BITS - CHUNK_BITS)
 
-    def rows(counts):
-        chunks = [counts[i : i + size].tobytes() for i in range(0, len(counts), size)]
-        numbers = pa.array(range(len(chunks)), pa.int32())
-        return pa.RecordBatch.from_arrays([numbers, pa.array(chunks, pa.binary())], schema.names)
+    def packed(chunks):
+        """Counts of chunks in the fewest bytes that hold them."""
+        rows = []
+        for chunk, counts in chunks:
+            width = next(w for w in (1, 2, 4, 8) if counts.max() < 1 << (8 * w - 1))
+            rows.append((chunk, width, counts.astype(f"i{width}").tobytes()))
+        columns = zip(*rows, strict=True)
+        kinds = (pa.int32(), pa.int32(), pa.binary())
+        arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema.names)
 
     def count(batches):
-        powers, counts = Powers(), np.zeros(1 << BUCKET_BITS, np.int64)
+        powers, counts = Powers(), np.zeros(1 << BUCKET_BITS, np.uint32)
+        found, waiting = [], 0
+
+        def flush():
+            if found:
+                counts[:] += np.bincount(np.concatenate(found), minlength=len(counts)).astype(
+                    np.uint32
+                )
+                found.clear()
+
         for batch in batches:
             for _, _, _, h in _by_text(batch.column(0), powers):
-                bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-                counts += np.bincount(bucket, minlength=len(counts))
-        yield rows(counts)
+                found.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+                waiting += len(h)
+                if waiting >= len(counts):
+                    flush()
+                    waiting = 0
+            del batch
+        flush()
+        yield packed(enumerate(counts.reshape(-1, size)))
 
     def add(batches):
         sums = {}
         for batch in batches:
-            for chunk, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(part, np.int64)
+            for chunk, width, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(part, f"i{width}").astype(np.int64)
                 sums[chunk] = sums[chunk] + part if chunk in sums else part
         if sums:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(sums), pa.int32()),
-                    pa.array([part.tobytes() for part in sums.values()], pa.binary()),
-                ],
-                schema.names,
-            )
+            yield packed(sums.items())
 
-    total = np.zeros((1 << CHUNK_BITS, size), np.int64)
-    for row in texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).collect():
-        total[row.chunk] = np.frombuffer(row.counts, np.int64)
+    total = np.zeros((1 << CHUNK_BITS, size), np.uint32)
+    summed = texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    for row in summed.collect():
+        part = np.frombuffer(row.counts, f"i{row.width}")
+        total[row.chunk] = np.minimum(part.astype(np.int64), 0xFFFFFFFF)
     return total.ravel()
 
 
-def _prefixes(texts: DataFrame, id_type, counts: np.ndarray) -> DataFrame:
-    """One row for each text: its set's size and fingerprint, its prefix and the prefix's."""
+def _prefixes(texts: DataFrame, id_type, shared) -> DataFrame:
+    """One row for each text: its set's size and fingerprint, its prefix and the prefix's.
+
+    ``shared`` is the broadcast of the bucket counts.
+    """
     schema = StructType(
         [
             StructField("id", id_type),
@@ -142,8 +181,6 @@ def _prefixes(texts: DataFrame, id_type, counts: np.ndarray) -> DataFrame:
             StructField("prefix", BinaryType()),
         ]
     )
-    shared = texts.sparkSession.sparkContext.broadcast(counts.astype(np.uint32))
-
     def run(batches):
         powers = Powers()
         for batch in batches:
@@ -159,8 +196,9 @@ def _prefixes(texts: DataFrame, id_type, counts: np.ndarray) -> DataFrame:
                 first = ordered[place < np.repeat(taken, n)]
                 ends = np.r_[0, np.cumsum(taken)]
                 prefix_keys += _fingerprints(first, ends)
+                packed = memoryview(_packed(first))
                 prefixes += [
-                    first[i:j].tobytes() for i, j in zip(ends, ends[1:], strict=False)
+                    bytes(packed[6 * i : 6 * j]) for i, j in zip(ends, ends[1:], strict=False)
                 ]
                 sizes.append(n)
             columns = [
@@ -174,29 +212,33 @@ def _prefixes(texts: DataFrame, id_type, counts: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _sets_of(texts: DataFrame, chosen: np.ndarray) -> DataFrame:
-    """(set_key, n, shingles) of the texts whose ``id_hash`` passes the filter ``chosen``."""
+def _sets_of(texts: DataFrame, shared) -> DataFrame:
+    """(set_key, shingles) of the texts whose ``id_hash`` passes the broadcast filter
+    ``shared``; a set that a task meets again, it leaves out."""
     schema = StructType(
         [
             StructField("set_key", BinaryType()),
             StructField("shingles", BinaryType()),
         ]
     )
-    shared = texts.sparkSession.sparkContext.broadcast(chosen)
 
     def run(batches):
-        powers = Powers()
+        powers, seen = Powers(), set()
         for batch in batches:
             hashes = np.asarray(batch.column(0), np.int64).view(np.uint64)
             some = batch.column(1).filter(pa.array(_passes(shared.value, hashes)))
             for _, texts_here, owner, h in _by_text(some, powers):
                 bounds = np.searchsorted(owner, np.arange(texts_here + 1))
-                full = np.flatnonzero(np.diff(bounds))
                 keys = _fingerprints(h, bounds)
+                full = []
+                for i in np.flatnonzero(np.diff(bounds)):
+                    if keys[i] not in seen:
+                        seen.add(keys[i])
+                        full.append(i)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([keys[i] for i in full], pa.binary()),
-                        pa.array([h[bounds[i] : bounds[i + 1]].tobytes() for i in full], pa.binary()),
+                        pa.array([_packed(h[bounds[i] : bounds[i + 1]]) for i in full], pa.binary()),
                     ],
                     names=schema.names,
                 )
@@ -277,23 +319,23 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
             StructField("twice", BinaryType()),
         ]
     )
-    shift = np.uint64(64 - (parts.bit_length() - 1))
-
-    def part_of(h):
-        return (h >> shift).astype(np.int64) if parts > 1 else np.zeros(len(h), np.int64)
+    # A part gets the 32 bits that follow its own.
+    own_bits = parts.bit_length() - 1
 
     def send(buffer):
-        h, counts = np.unique(np.concatenate(buffer), return_counts=True)
+        h, counts = np.unique(_unpacked(b"".join(buffer)), return_counts=True)
         again = counts > 1
-        once, twice = h[~again], h[again]
-        cuts = np.arange(parts + 1)
-        a, b = np.searchsorted(part_of(once), cuts), np.searchsorted(part_of(twice), cuts)
-        used = np.flatnonzero((np.diff(a) > 0) | (np.diff(b) > 0))
+        cuts = np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - own_bits) if own_bits else []
+        pieces = []
+        for some in (h[~again], h[again]):
+            bounds = np.r_[0, np.searchsorted(some, cuts), len(some)]
+            small = (some >> np.uint64(32 - own_bits)).astype(np.uint32)
+            pieces.append([small[i:j] for i, j in zip(bounds, bounds[1:], strict=False)])
+        used = [i for i in range(parts) if len(pieces[0][i]) or len(pieces[1][i])]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(used, pa.int64()),
-                pa.array([once[a[i] : a[i + 1]].tobytes() for i in used], pa.binary()),
-                pa.array([twice[b[i] : b[i + 1]].tobytes() for i in used], pa.binary()),
+                *(pa.array([p[i].tobytes() for i in used], pa.binary()) for p in pieces),
             ],
             names=schema.names,
         )
@@ -302,9 +344,8 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
         buffer, size = [], 0
         for batch in batches:
             for prefix in batch.column(0):
-                h = np.frombuffer(prefix.as_py(), np.uint64)
-                buffer.append(h)
-                size += len(h)
+                buffer.append(prefix.as_py())
+                size += len(buffer[-1]) // 6
                 if size >= BUFFER_TOKENS:
                     yield send(buffer)
                     buffer, size = [], 0
@@ -317,6 +358,9 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
         def result():
             h = np.sort(np.concatenate(once))
             again = np.unique(np.concatenate([*twice, h[1:][h[1:] == h[:-1]]]))
+            again = again.astype(np.uint64) << np.uint64(32 - own_bits)
+            if own_bits:
+                again |= np.uint64(part) << np.uint64(64 - own_bits)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int64()),
@@ -332,9 +376,8 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
                         yield result()
                     part, once, twice = number, [], []
                 # A shingle marked by one task is sent as met once, too, for the others.
-                once.append(np.frombuffer(a, np.uint64))
-                twice.append(np.frombuffer(b, np.uint64))
-                once.append(twice[-1])
+                twice.append(np.frombuffer(b, np.uint32))
+                once += [np.frombuffer(a, np.uint32), twice[-1]]
         if part is not None:
             yield result()
 
@@ -342,22 +385,22 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
     return _gathered(dealt.mapInArrow(find, _SLICE), SHARED_BITS, parts)
 
 
-def _postings(rows: DataFrame, shared: np.ndarray) -> DataFrame:
-    """(row, n, tokens, places): the prefix shingles of each row that pass the filter."""
+def _postings(rows: DataFrame, shared) -> DataFrame:
+    """(row, n, tokens, places): the prefix shingles of each row that pass the broadcast filter
+    ``shared``."""
     schema = "row long, n long, tokens array<long>, places array<int>"
-    sent = rows.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches):
         for batch in batches:
-            lengths = np.asarray(pa.compute.binary_length(batch.column(2)), np.int64) // 8
-            offsets = np.r_[0, np.cumsum(lengths)]
-            joined = b"".join(batch.column(2).to_pylist())
-            h = np.frombuffer(joined, np.uint64)
-            kept = np.flatnonzero(_passes(sent.value, h))
+            prefixes = batch.column(2).to_pylist()
+            offsets = np.r_[0, np.cumsum([len(prefix) // 6 for prefix in prefixes])]
+            h = _unpacked(b"".join(prefixes))
+            kept = np.flatnonzero(_passes(shared.value, h))
             owner = np.searchsorted(offsets, kept, "right") - 1
             place = (kept - offsets[owner]).astype(np.int32)
-            starts = np.searchsorted(owner, np.arange(len(lengths) + 1)).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(starts), pa.array(h[kept].view(np.int64)))
+            starts = np.searchsorted(owner, np.arange(len(prefixes) + 1)).astype(np.int32)
+            numbers = (h[kept] >> np.uint64(16)).astype(np.int64)
+            tokens = pa.ListArray.from_arrays(pa.array(starts), pa.array(numbers))
             places = pa.ListArray.from_arrays(pa.array(starts), pa.array(place))
             full = pa.array(np.diff(starts) > 0)
             yield pa.RecordBatch.from_arrays(
@@ -371,13 +414,27 @@ def _postings(rows: DataFrame, shared: np.ndarray) -> DataFrame:
 # --- verification -------------------------------------------------------------------
 
 
+def _least_overlap(na, nb):
+    return F.ceil((na + nb) * F.lit(PERCENT) / F.lit(100 + PERCENT) - F.lit(1e-6))
+
+
 def _possible(na, nb, place_a, place_b):
-    """Whether two sets can reach the threshold: their sizes, and what lies behind a shingle
-    that is their first common one."""
+    """Whether two sets whose first common shingle is at these places can reach the threshold:
+    by their sizes, and by all that lies behind it."""
     smaller, larger = F.least(na, nb), F.greatest(na, nb)
-    rest = F.least(na - place_a, nb - place_b)
-    least_overlap = F.ceil((na + nb) * F.lit(PERCENT) / F.lit(100 + PERCENT) - F.lit(1e-6))
-    return (smaller * 100 >= larger * PERCENT) & (rest >= least_overlap)
+    behind = F.least(na - place_a, nb - place_b)
+    return (smaller * 100 >= larger * PERCENT) & (behind >= _least_overlap(na, nb))
+
+
+def _enough(na, nb, common):
+    """Whether two sets with ``common`` shingles in both prefixes can reach the threshold.
+
+    Of the prefix that ends first in the order of shingles, everything shared up to its end
+    is in both prefixes; what is left of that set is all that can still be shared.
+    """
+    behind = F.ceil(F.greatest(na, nb) * F.lit(PERCENT) / F.lit(100) - F.lit(1e-6)) - 1
+    in_size = F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT
+    return in_size & (common + behind >= _least_overlap(na, nb))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -393,28 +450,29 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
         classes.join(nodes, "class", "left_semi").select("class", "set_key", "first_hash"),
         "jaccard-chosen",
     )
-    passing = _hash_filter(chosen.select("first_hash"), CHOSEN_BITS)
+    context = texts.sparkSession.sparkContext
+    passing = context.broadcast(_hash_filter(chosen.select("first_hash"), CHOSEN_BITS))
     sets = _sets_of(texts.select("id_hash", "text"), passing)
-    # Texts that only passed by chance, or are copies, go: one set for each chosen class.
-    sets = (
-        sets.join(chosen.select("class", "set_key"), "set_key")
-        .select("class", "shingles")
-        .dropDuplicates(["class"])
-    )
-    sets = write_once(sets, "jaccard-sets")
+    # Texts that only passed by chance go. Rows that repeat an id may leave a class's set
+    # once for each task, which repeats links and no more.
+    sets = join_small(sets, chosen.select("class", "set_key"), "set_key")
+    sets = sets.select("class", "shingles")
+    # Both joins deal the same sets out by class, which Spark does once.
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
 
     def run(batches):
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
                 common = _overlap(x, y)
                 linked.append(100 * common >= PERCENT * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
     links = both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
-    return write_once(links, "jaccard-links")
+    links = write_once(links, "jaccard-links")
+    passing.destroy()
+    return links
 
 
 def _overlap(x, y):
@@ -447,9 +505,11 @@ def link_components(
         F.xxhash64(F.col(id_col)).alias("id_hash"),
         F.col(text_col).cast("string").alias("text"),
     )
-    counts = bucket_counts(texts.select("text"))
+    context = docs.sparkSession.sparkContext
+    counts = context.broadcast(bucket_counts(texts.select("text")))
     rows = _prefixes(texts.select("id", "text"), texts.schema["id"].dataType, counts)
     rows = write_once(rows.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows")
+    counts.destroy()
     full = rows.where(F.col("n") > 0)
 
     # Classes of equal sets, and groups of classes with equal prefixes and sizes.
@@ -465,28 +525,45 @@ def link_components(
     classes = write_once(classes.drop("prefix_key"), "jaccard-groups")
 
     # Prefix shingles that at least two groups share.
-    tokens = full.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
-    shared = _shared_filter(full.select("prefix"), int(tokens))
+    tokens = full.agg(F.sum(F.octet_length("prefix") / 6)).first()[0] or 0
+    shared = context.broadcast(_shared_filter(full.select("prefix"), int(tokens)))
     leaders = classes.where(F.col("class") == F.col("group")).select("row", "group")
     postings = _postings(full, shared).join(leaders, "row")
     postings = postings.select(
-        "group", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t")
-    ).select("group", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
+        "group",
+        "n",
+        F.size("tokens").alias("weight"),
+        F.explode(F.arrays_zip("tokens", "places")).alias("t"),
+    )
+    token, place = F.col("t.tokens").alias("token"), F.col("t.places").alias("place")
+    postings = postings.select("group", "n", "weight", token, place)
     postings = write_once(postings, "jaccard-postings")
+    shared.destroy()
+    # A shingle's centre is the set most of whose prefix is shared: of texts changed from a
+    # common source, the one changed least. Sets with as much are ordered by a hash.
+    by_hash = F.pmod(F.xxhash64("group"), F.lit(1 << 20))
+    most_shared = F.col("weight").cast("long") * (1 << 20) + by_hash
     centres = (
         postings.groupBy("token")
-        .agg(F.count("*").alias("sets"), F.min(F.struct("group", "n", "place")).alias("centre"))
+        .agg(F.count("*").alias("sets"), F.max_by("group", most_shared).alias("centre"))
         .where(F.col("sets") > 1)
         .drop("sets")
     )
-    postings = write_once(postings.join(centres, "token"), "jaccard-shared")
-
-    # First round: every set against one centre of each of its shingles.
+    postings = write_once(postings.drop("weight").join(centres, "token"), "jaccard-shared")
+
+    # First round: every set against one centre of its shingles, the one it shares most with.
+    # Only the shingles that have this centre are counted, so half of what is needed will do.
+    counted = (
+        postings.where(F.col("group") != F.col("centre"))
+        .groupBy(F.col("group").alias("a"), F.col("centre").alias("b"))
+        .agg(F.count("*").alias("common"), F.first("n").alias("na"))
+    )
+    centre_sizes = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
     stars = (
-        postings.where(F.col("group") != F.col("centre.group"))
-        .where(_possible(F.col("n"), F.col("centre.n"), F.col("place"), F.col("centre.place")))
-        .select(F.col("group").alias("a"), F.col("centre.group").alias("b"))
-        .distinct()
+        counted.join(centre_sizes, "b")
+        .where(_enough(F.col("na"), F.col("nb"), F.col("common") * 2))
+        .groupBy("a")
+        .agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
     )
     members = classes.where(F.col("class") != F.col("group"))
     members = members.select(F.col("class").alias("a"), F.col("group").alias("b"))
@@ -507,21 +584,38 @@ def link_components(
         .where(F.col("low") != F.col("high"))
         .select("token")
     )
+    in_order = Window.partitionBy("group").orderBy("place")
     open_postings = (
-        postings.drop("centre", "n").join(mixed_tokens, "token").join(placed, "group")
-    )
-    open_postings = write_once(
-        open_postings.select("token", "class", "root", "n", "place"), "jaccard-open"
+        postings.drop("centre", "n")
+        .join(mixed_tokens, "token")
+        .withColumn("before", F.lag("token").over(in_order))
+        .join(placed, "group")
     )
+    names = ("class", "root", "n", "place", "before")
+    open_postings = write_once(open_postings.select("token", *names), "jaccard-open")
     left, right = (
-        open_postings.toDF("token", *(f"{name}_{side}" for name in ("class", "root", "n", "place")))
-        for side in ("a", "b")
+        open_postings.toDF("token", *(f"{name}_{side}" for name in names)) for side in ("a", "b")
+    )
+    # Two sets meet only where a run of shingles that follow each other in both begins, as
+    # it does at their first common one.
+    begins = ~F.col("before_a").eqNullSafe(F.col("before_b")) | F.col("before_a").isNull()
+    sides = (F.col(f"{name}_{side}") for name in ("n", "place") for side in ("a", "b"))
+    met = (
+        left.join(right, "token")
+        .where((F.col("root_a") < F.col("root_b")) & begins & _possible(*sides))
+        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+        .distinct()
+    )
+    lists = open_postings.groupBy("class").agg(
+        F.collect_list("token").alias("tokens"), F.first("n").alias("n")
     )
-    met = left.join(right, "token").where(
-        (F.col("root_a") < F.col("root_b"))
-        & _possible(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"))
+    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    across = (
+        met.join(lists.toDF("a", "tokens_a", "na"), "a")
+        .join(lists.toDF("b", "tokens_b", "nb"), "b")
+        .where(_enough(F.col("na"), F.col("nb"), common))
+        .select("a", "b")
     )
-    across = met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
     # Classes of one group that share no other group's shingle meet here.
     inside = placed.join(spans.where(F.col("low") != F.col("high")), "group")
     left, right = (
@@ -529,7 +623,7 @@ def link_components(
         for side in ("a", "b")
     )
     inner = left.join(right, ["group", "n"]).where(F.col("root_a") < F.col("root_b"))
-    more = _verified(across.union(inner.select("a", "b")).distinct(), classes, texts)
+    more = _verified(across.union(inner.select("a", "b")), classes, texts)
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 

@@ -256,15 +256,17 @@ def identify(
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     schema = StructType([*docs.select(*keep).schema.fields, *added])
 
+    def identified(batch):
+        texts = batch.columns[-1]
+        if net is None:
+            found = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        else:
+            found = predict_batch(net, texts)
+        columns = [pa.array(found[0], pa.string()), pa.array(found[1], pa.float64())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
+
     def run(batches):
-        for batch in batches:
-            texts = batch.columns[-1]
-            if net is None:
-                found = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            else:
-                found = predict_batch(net, texts)
-            columns = [pa.array(found[0], pa.string()), pa.array(found[1], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
+        return map(identified, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_identify"))
     return source.mapInArrow(run, schema)

@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 MARK = "▁"
 # Size of the table at which a task starts it anew, and characters looked up at once; both
 # bound memory and change no result.
-TABLE_BYTES = 160 << 20
-GROUP_CHARS = 2 << 20
+TABLE_BYTES = 128 << 20
+GROUP_CHARS = 1 << 20
 
 
 def default_model() -> str:
@@ -118,7 +118,8 @@ def _map_texts(docs, text_col, keep, model, fields, row_of):
 
     def run(batches):
         table = PieceTable(shared.value)
-        for batch in batches:
+
+        def encoded(batch):
             rows = []
             for texts in groups(batch.columns[-1]):
                 rows += map(row_of, table.entries(texts))
@@ -127,7 +128,9 @@ def _map_texts(docs, text_col, keep, model, fields, row_of):
                 pa.array(list(column), _arrow_type(field))
                 for column, field in zip(columns, fields, strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], names=schema.names)
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], names=schema.names)
+
+        return map(encoded, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_encode"))
     return source.mapInArrow(run, schema)

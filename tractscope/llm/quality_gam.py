@@ -239,11 +239,14 @@ def featurized(docs: DataFrame, text_col: str, keep: tuple[str, ...]) -> DataFra
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
+
+        def featured(batch):
             values = text_features(batch.columns[-1], powers)
             offsets = np.arange(0, values.size + 1, len(FEATURES), dtype=np.int32)
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=schema.names)
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=schema.names)
+
+        return map(featured, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_measure"))
     return source.mapInArrow(run, schema)
@@ -302,12 +305,15 @@ def classify(
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
+
+        def scored(batch):
             scores = model.score(text_features(batch.columns[-1], powers))
             predicted = (scores >= threshold).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores), pa.array(predicted)], names=schema.names
             )
 
+        return map(scored, batches)
+
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_score"))
     return source.mapInArrow(run, schema)

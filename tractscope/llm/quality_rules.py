@@ -90,17 +90,20 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ())
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
-            rows = batch.num_rows
-            columns = {name: np.zeros(rows, np.int64) for name in MEASURES}
+
+        def measured(batch):
+            columns = {name: np.zeros(batch.num_rows, np.int64) for name in MEASURES}
             for at, s in text_slices(batch.column(batch.num_columns - 1), powers):
                 for name, values in measure_slice(s).items():
                     columns[name][at : at + len(values)] = values
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(columns[name]) for name in MEASURES)],
                 names=schema.names,
             )
 
+        # Unlike a loop, this keeps no batch while the next one is read.
+        return map(measured, batches)
+
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_measure"))
     return source.mapInArrow(run, schema)
 

@@ -1,8 +1,9 @@
 """Words, lines and word windows of many texts at once, as arrays of 64-bit hashes.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. All bytes of a character beyond ASCII are 128 or more, so
-words can be found byte by byte. Work goes in slices of about a megabyte of text (a longer
-text is a slice of its own), which bounds memory whatever the size of an Arrow batch.
+words can be found byte by byte. Work goes in slices of about a quarter of a megabyte of text
+(a longer text is a slice of its own), which bounds memory whatever the size of an Arrow
+batch.
 
 Hashes are sums of a byte's random value times a power of a base, taken from running sums,
 and then mixed; equal byte strings have equal hashes, and different ones of one text or of
@@ -12,7 +13,7 @@ two compared texts share one with a chance of about 1 in 2^64 for each pair.
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 WINDOW = 5
 
 _SPACE = np.zeros(256, bool)
