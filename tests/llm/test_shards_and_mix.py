@@ -92,7 +92,7 @@ def test_mix_comes_near_its_targets(spark):
     for r in found.groupBy("source").agg(
         F.sum(F.col("size") * F.col("repeats")).alias("taken"), F.first("target").alias("target")
     ).collect():
-        assert abs(r.taken - r.target) <= 20
+        assert abs(r.taken - r.target) <= 210  # half of the longest
     again = source_mix.mix(spark.createDataFrame(rows, SCHEMA).repartition(7), seed=5)
     assert sorted(found.collect()) == sorted(again.collect())
 

@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 MARK = "▁"
 # Size of the table at which a task starts it anew, and characters looked up at once; both
 # bound memory and change no result.
-TABLE_BYTES = 128 << 20
-GROUP_CHARS = 1 << 20
+TABLE_BYTES = 48 << 20
+GROUP_CHARS = 1 << 19
 
 
 def default_model() -> str:
@@ -54,13 +54,14 @@ def words_are_independent(model: bytes) -> bool:
 
 
 class PieceTable:
-    """Marked words already segmented."""
+    """Marked words already segmented: ids as text, and decoded texts that differ from the
+    word."""
 
-    def __init__(self, model: bytes, limit=TABLE_BYTES):
+    def __init__(self, model: bytes, limit=None):
         self.processor = load(model)
         self.mark_id = self.processor.piece_to_id(MARK)
-        self.limit = limit
-        self.words, self.bytes = {}, 0
+        self.limit = TABLE_BYTES if limit is None else limit
+        self.ids, self.decoded, self.bytes = {}, {}, 0
 
     def learn(self, words: list[str]) -> None:
         """Segment marked words, each given without its first marker, in one library call.
@@ -68,22 +69,31 @@ class PieceTable:
         The library puts that marker back. It gives no ids to an empty text, so a lone
         marker is its own piece. Decoding drops one marker at the front, as of a text.
         """
-        ids = self.processor.encode(words, num_threads=1)
-        ids = [found or [self.mark_id] for found in ids]
-        decoded = self.processor.decode(ids, num_threads=1)
-        for word, found, text in zip(words, ids, decoded, strict=True):
-            entry = ",".join(map(str, found)), len(found), word if text == word else text
-            self.words[word] = entry
-            self.bytes += 300 + 8 * len(word)
-
-    def entries(self, texts: list[str]) -> list[list[tuple[str, int, str]]]:
-        """For each text, (ids, number of ids, decoded text) of its marked words in order."""
+        found = self.processor.encode(words, num_threads=1)
+        found = [ids or [self.mark_id] for ids in found]
+        decoded = self.processor.decode(found, num_threads=1)
+        for word, ids, text in zip(words, found, decoded, strict=True):
+            self.ids[word] = ",".join(map(str, ids))
+            if text != word:
+                self.decoded[word] = text
+            self.bytes += 200 + 6 * len(word)
+
+    def joined(self, texts: list[str]) -> list[tuple[str, str]]:
+        """For each text, its ids as text, joined by commas, and its decoded text."""
         split = [marked_words(text) for text in texts]
         distinct = set().union(*split)
         if self.bytes > self.limit:
-            self.words, self.bytes = {}, 0
-        self.learn([word for word in distinct if word not in self.words])
-        return [[self.words[word] for word in words] for words in split]
+            self.ids, self.decoded, self.bytes = {}, {}, 0
+        self.learn([word for word in distinct if word not in self.ids])
+        ids_of, decoded = self.ids.__getitem__, self.decoded
+        # Each marked word but the first gets the space back that decoding dropped.
+        return [
+            (
+                ",".join(map(ids_of, words)),
+                " ".join([decoded.get(word, word) for word in words] if decoded else words),
+            )
+            for words in split
+        ]
 
 
 def marked_words(text: str) -> list[str]:
@@ -122,7 +132,7 @@ def _map_texts(docs, text_col, keep, model, fields, row_of):
         def encoded(batch):
             rows = []
             for texts in groups(batch.columns[-1]):
-                rows += map(row_of, table.entries(texts))
+                rows += map(row_of, table.joined(texts))
             columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
             values = [
                 pa.array(list(column), _arrow_type(field))
@@ -165,8 +175,8 @@ def encode(
     """
     fields = [StructField("ids", ArrayType(IntegerType(), False))]
 
-    def row_of(entries):
-        return ([int(i) for entry in entries for i in entry[0].split(",")],)
+    def row_of(found):
+        return ([int(i) for i in found[0].split(",")] if found[0] else [],)
 
     return _map_texts(docs, text_col, keep, model, fields, row_of)
 
@@ -207,12 +217,10 @@ def round_trip(
         StructField("decoded_sha256", StringType()),
     ]
 
-    def row_of(entries):
-        ids = ",".join([entry[0] for entry in entries])
-        # Each marked word but the first gets the space back that decoding dropped.
-        text = " ".join([entry[2] for entry in entries])
+    def row_of(found):
+        ids, text = found
         return (
-            sum([entry[1] for entry in entries]),
+            ids.count(",") + 1 if ids else 0,
             hashlib.sha256(ids.encode()).hexdigest(),
             hashlib.sha256(text.encode()).hexdigest(),
         )

@@ -110,7 +110,7 @@ def plan_mix(
     edge = (
         placed.where(number == F.col("last_range"))
         .withColumn("end", F.col("start") + F.sum("size").over(order))
-        .where(F.col("end") <= F.col("open"))
+        .where((F.col("end") <= F.col("open")) & (F.col("size") > 0))
     )
     edge = write_once(edge.select("source_no", "row", "size"), "mix-edge")
     below = write_once(
