@@ -27,6 +27,7 @@ NAMES = [
     "loan_tract_rank", "loan_detail", "tract_info", "incident_tract_join", "incident_tract_month",
     "incident_trend", "incident_rate", "incident_sorted", "period_exists_semi",
     "distinct_coordinates", "city_county_lookup", "area_profile", "sink_incident_partitions",
+    "coordinate_tract_shuffled", "incident_tract_join_shuffled",
 ]
 
 
