@@ -68,6 +68,7 @@ def test_buckets_and_filters_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(jaccard_join, name, value)
     monkeypatch.setattr(jaccard_join, "PART_TOKENS", 500)
     monkeypatch.setattr(jaccard_join, "BUFFER_TOKENS", 300)
+    monkeypatch.setattr(jaccard_join, "ROWS", 7)
     check(spark, corpus(9))
 
 

@@ -20,17 +20,18 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from tractscope.llm.components import connected_components
 from tractscope.llm.tables import join_small
-from tractscope.llm.words import Powers, Slice, mixed, text_bytes, slices
+from tractscope.llm.words import Powers, Slice, mixed, slices, text_bytes, tidy
 from tractscope.session import write_once
 
 PERCENT = 75
-# Shingles are counted in so many buckets to put frequent ones last (16 MB, broadcast). More
+# Shingles are counted in so many buckets to put frequent ones last (8 MB, broadcast). More
 # would tell more shingles apart; any number gives the same links.
-BUCKET_BITS, CHUNK_BITS = 22, 10
-# Bits of the broadcast filters (16 MB and 8 MB). A full filter lets more through, no less.
-SHARED_BITS, CHOSEN_BITS = 27, 26
-# Prefix shingles of one part when shared ones are looked for, and of one task's buffer.
-PART_TOKENS, BUFFER_TOKENS = 4 << 20, 1 << 20
+BUCKET_BITS, CHUNK_BITS = 21, 10
+# Bits of the broadcast filters (8 MB and 4 MB). A full filter lets more through, no less.
+SHARED_BITS, CHOSEN_BITS = 26, 25
+# Prefix shingles of one part when shared ones are looked for, and of one task's buffer; and
+# rows looked at together. They bound memory only.
+PART_TOKENS, BUFFER_TOKENS, ROWS = 1 << 20, 1 << 18, 500
 
 
 def need(total):
@@ -143,7 +144,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
             for _, _, _, h in _by_text(batch.column(0), powers):
                 found.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
                 waiting += len(h)
-                if waiting >= len(counts):
+                if waiting >= BUFFER_TOKENS:
                     flush()
                     waiting = 0
             del batch
@@ -160,7 +161,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
             yield packed(sums.items())
 
     total = np.zeros((1 << CHUNK_BITS, size), np.uint32)
-    summed = texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    summed = texts.mapInArrow(tidy(count), schema).repartition("chunk").mapInArrow(tidy(add), schema)
     for row in summed.collect():
         part = np.frombuffer(row.counts, f"i{row.width}")
         total[row.chunk] = np.minimum(part.astype(np.int64), 0xFFFFFFFF)
@@ -209,7 +210,7 @@ def _prefixes(texts: DataFrame, id_type, shared) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(tidy(run), schema)
 
 
 def _sets_of(texts: DataFrame, shared) -> DataFrame:
@@ -243,7 +244,7 @@ def _sets_of(texts: DataFrame, shared) -> DataFrame:
                     names=schema.names,
                 )
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(tidy(run), schema)
 
 
 # --- filters of bits, by the upper bits of 64-bit hashes --------------------------------
@@ -299,7 +300,7 @@ def _hash_filter(hashes: DataFrame, bits: int) -> np.ndarray:
             names=_SLICE.names,
         )
 
-    return _gathered(dealt.mapInArrow(run, _SLICE), bits, parts)
+    return _gathered(dealt.mapInArrow(tidy(run), _SLICE), bits, parts)
 
 
 def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
@@ -381,8 +382,8 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
         if part is not None:
             yield result()
 
-    dealt = prefixes.mapInArrow(deal, schema).repartition("part").sortWithinPartitions("part")
-    return _gathered(dealt.mapInArrow(find, _SLICE), SHARED_BITS, parts)
+    dealt = prefixes.mapInArrow(tidy(deal), schema).repartition("part").sortWithinPartitions("part")
+    return _gathered(dealt.mapInArrow(tidy(find), _SLICE), SHARED_BITS, parts)
 
 
 def _postings(rows: DataFrame, shared) -> DataFrame:
@@ -391,7 +392,7 @@ def _postings(rows: DataFrame, shared) -> DataFrame:
     schema = "row long, n long, tokens array<long>, places array<int>"
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             prefixes = batch.column(2).to_pylist()
             offsets = np.r_[0, np.cumsum([len(prefix) // 6 for prefix in prefixes])]
             h = _unpacked(b"".join(prefixes))
@@ -408,7 +409,7 @@ def _postings(rows: DataFrame, shared) -> DataFrame:
                 names=["row", "n", "tokens", "places"],
             ).filter(full)
 
-    return rows.select("row", "n", "prefix").mapInArrow(run, schema)
+    return rows.select("row", "n", "prefix").mapInArrow(tidy(run), schema)
 
 
 # --- verification -------------------------------------------------------------------
@@ -469,7 +470,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
                 linked.append(100 * common >= PERCENT * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    links = both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    links = both.select("a", "b", "set_a", "set_b").mapInArrow(tidy(run), "a long, b long")
     links = write_once(links, "jaccard-links")
     passing.destroy()
     return links

@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tractscope.llm.folds import held_out, sample_ids
 from tractscope.llm.tables import seeded_hash
-from tractscope.llm.words import text_bytes
+from tractscope.llm.words import text_bytes, tidy
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 24, 8
 WIDEST = max(WIDTHS)
@@ -269,4 +269,4 @@ def identify(
         return map(identified, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_identify"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -16,6 +16,8 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from tractscope.llm.words import tidy
+
 MARK = "▁"
 # Size of the table at which a task starts it anew, and characters looked up at once; both
 # bound memory and change no result.
@@ -143,7 +145,7 @@ def _map_texts(docs, text_col, keep, model, fields, row_of):
         return map(encoded, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_encode"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def groups(texts: pa.Array):
@@ -200,7 +202,7 @@ def decode(
                 [*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names
             )
 
-    return encoded.select(*keep, F.col(ids_col).alias("ids_to_decode")).mapInArrow(run, schema)
+    return encoded.select(*keep, F.col(ids_col).alias("ids_to_decode")).mapInArrow(tidy(run), schema)
 
 
 def round_trip(

@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from tractscope.llm.folds import held_out
 from tractscope.llm.quality_rules import measure_slice
 from tractscope.llm.tables import seeded_hash
-from tractscope.llm.words import Powers, mixed, text_slices
+from tractscope.llm.words import Powers, mixed, text_slices, tidy
 
 # The training sample: labelled documents, chosen by a seeded hash.
 MAX_LABELLED = 20_000
@@ -249,7 +249,7 @@ def featurized(docs: DataFrame, text_col: str, keep: tuple[str, ...]) -> DataFra
         return map(featured, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_measure"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def train(
@@ -316,4 +316,4 @@ def classify(
         return map(scored, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_score"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tractscope.llm.words import Powers, mixed, text_slices
+from tractscope.llm.words import Powers, mixed, text_slices, tidy
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = [
@@ -105,7 +105,7 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ())
         return map(measured, batches)
 
     source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_measure"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ and then mixed; equal byte strings have equal hashes, and different ones of one
 two compared texts share one with a chance of about 1 in 2^64 for each pair.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -20,6 +22,24 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def tidy(run):
+    """``run`` over batches, giving freed memory back to the system when a task ends.
+
+    Workers are used again by later tasks, and would hold the largest task's memory.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def _constants(count, seed):
     return np.random.default_rng(seed).integers(1, 1 << 63, count, dtype=np.uint64) | np.uint64(1)
 
