@@ -132,6 +132,28 @@ def test_extracted_text(page):
     assert extract(page) == PAGES[page]
 
 
+@pytest.mark.parametrize(
+    "tag",
+    ["p class=\"a\"\"", "p class=it's", "p it's", "p class='a''", "p class=\"a\" \" id=b", "p =\"", "p \"a=b",
+     "p title='a>b' x\"", "p class=a\"b'c/", "p class =\n\"a>\"\"b\""],
+)
+def test_stray_quotes_in_a_tag(tag):
+    """In the middle of a page, once and in two tags, before tags whose quotes are paired."""
+    rest = f'<p class="b">{PROSE}</p><p title=\'x > "y"\'>Third.</p>'
+    kept = f"{PROSE.strip()}\nThird."
+    assert extract(f"<article><{tag}>First.</p>{rest}</article>") == f"First.\n{kept}"
+    twice = f"<article><{tag}>First.</p>{rest}<{tag}>Fourth.</p>{rest}</article>"
+    assert extract(twice) == f"First.\n{kept}\nFourth.\n{kept}"
+    assert extract(f"<article><p>{PROSE}</p{tag[1:]}>{rest}") == f"{PROSE.strip()}\n{kept}"
+
+
+def test_tags_cut_off_in_a_quoted_value():
+    for cut in ('<a title="', "<a title='a > b", '<a title = "<p>no</p>', "<a class=it's title='"):
+        assert extract(f"<article><p>{PROSE}</p>{cut}") == PROSE.strip()
+    long = "<p " + "a = 'b' \" " * 50_000
+    assert extract(long) == "" and extract(long + ">x") == "x"
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 20_000 + f"<p>{PROSE}</p>"
     assert extract(deep) == PROSE.strip()

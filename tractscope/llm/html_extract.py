@@ -63,14 +63,20 @@ LEVELS = 5
 SIBLING_POINTS, SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 10.0, 0.2, 80, 0.25
 LIST_LINKS, LIST_COUNT = 0.8, 3
 
+# A quote opens a quoted value only where a value begins; elsewhere it is a character like any
+# other, and the tag ends at the next '>'.
+_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_EQUALS = r"[ \t\n\f\r]*+=[ \t\n\f\r]*+"
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^ \t\n\f\r>]*+)"
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+    rf"((?:[ \t\n\f\r/]++|{_NAME}(?:{_EQUALS}{_VALUE}|(?!{_EQUALS})))*+)>"
     r"|<[!?/](?:[^>]*+>|[^>]*\Z)"
     r"|<[a-zA-Z].*\Z",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_EQUALS}({_VALUE}))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LAYOUT = re.compile(r"(has|no|with|without|is)[-_]", re.I)
 _COMMAS = re.compile("[,،，、;]")
@@ -92,8 +98,8 @@ def _is_wanted(tag, attributes, in_article):
     if not attributes or tag in ("html", "body"):
         return True
     found = {}
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        found.setdefault(name.lower(), a or b or c)
+    for name, value in _ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
     if "hidden" in found or found.get("aria-hidden") == "true":
         return False
     if re.search(r"display\s*:\s*none", found.get("style", "")):
@@ -300,8 +306,8 @@ def extract(source: str | None) -> str:
     """Main text of a page: its blocks in page order, joined by line breaks.
 
     White space inside a block is one space. Null, empty and text-free pages give an empty
-    text. A page that ends early is read as far as it goes; a tag cut off at the end is
-    dropped. If nothing earned points, all wanted blocks are the text.
+    text. A page that ends early is read as far as it goes; a tag cut off at the end, also
+    inside a quoted value that is never closed, is dropped. If nothing earned points, all wanted blocks are the text.
     """
     if not source:
         return ""
