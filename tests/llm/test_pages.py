@@ -154,6 +154,40 @@ def test_tags_cut_off_in_a_quoted_value():
     assert extract(long) == "" and extract(long + ">x") == "x"
 
 
+SHORT = "Well, a text, told in brief; it has its say, and is done before the clock strikes six."
+WRAPPED = {
+    f"<div class='content-sidebar-wrap'><article><p>{PROSE}</p></article><div class='sidebar'><p>{SHORT}</p></div>"
+    "</div><p>Imprint</p>": PROSE.strip(),
+    "<div id=page>" + f"<div class='elementor-widget elementor-widget-text-editor'><div class='elementor-widget-container'>"
+    f"<p>{PROSE}</p></div></div>" * 3 + f"<div class='elementor-widget elementor-widget-sidebar'><p>{SHORT}</p></div></div>":
+        "\n".join([PROSE.strip()] * 3),
+    "<main>" + f"<div class=widget><p>{PROSE}</p></div>" * 2 + "</main>": "\n".join([PROSE.strip()] * 2),
+    f"<body><form action=a.aspx><input type=hidden><div id=a><p>{PROSE}</p><p>{PROSE}</p></div></form></body>":
+        "\n".join([PROSE.strip()] * 2),
+    f"<form><div class='header-fixed'><main><p>{PROSE}</p></main></div></form>": PROSE.strip(),
+    f"<div class='paywall'><div class='comments-open'><p>{PROSE}</p></div></div><div id=end>Imprint</div>": PROSE.strip(),
+    "<form>Bare text</form>": "Bare text",
+}
+BESIDE = [
+    "<ol class='comment-list'>{}</ol>", f"<form><p>{SHORT}</p></form>", f"<div class='sidebar'><p>{SHORT}</p></div>",
+    f"<section id=comments>{'<article class=comment-body><p>' + PROSE * 5 + '</p></article>'}</section>",
+    "".join(f"<div class=comment><p>{PROSE * 3}</p></div>" for _ in range(3)),
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED, ids=range(len(WRAPPED)))
+def test_wrappers_named_like_page_furniture(page):
+    assert extract(page) == WRAPPED[page]
+
+
+@pytest.mark.parametrize("part", BESIDE, ids=range(len(BESIDE)))
+def test_furniture_beside_the_text(part):
+    part = part.format(f"<li class=comment><p>{PROSE}</p></li>" * 9) if "{}" in part else part
+    assert extract(f"<article><p>{PROSE}</p></article>{part}") == PROSE.strip()
+    assert extract(f"<div id=c><p>{PROSE}</p>{part}</div>") == PROSE.strip()
+    assert extract(f"<div class='content-sidebar-wrap'><main><p>{PROSE}</p>{part}</main></div>") == PROSE.strip()
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 20_000 + f"<p>{PROSE}</p>"
     assert extract(deep) == PROSE.strip()

@@ -5,6 +5,8 @@ the farther up. A container's points are discounted by the share of its text tha
 links. The container with most points is the article; siblings that look like parts of it
 are kept with it. Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are recognised by element, role or the words of class and id, and take no part.
+Words and forms are only a suspicion: a suspect that holds the page's article element, or most
+of the page's points, is the page and not a part beside it.
 """
 
 import html
@@ -36,15 +38,16 @@ ENDS = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-# What is never part of an article.
+# What is never part of an article, and what is so if the page lies outside it.
 UNWANTED = frozenset(
-    "head nav footer aside form button select fieldset dialog menu noscript template svg object "
+    "head nav footer aside button select fieldset dialog menu noscript template svg object "
     "canvas video audio search".split()
 )
 UNWANTED_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form alert alertdialog dialog menu "
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu "
     "menubar toolbar".split()
 )
+FORM = frozenset({"form"})
 # Words of class and id names. Names are split at everything but letters and where an
 # upper-case letter follows a lower-case one.
 UNWANTED_WORDS = frozenset(
@@ -56,12 +59,17 @@ UNWANTED_WORDS = frozenset(
     "topbar toolbar widget login paywall copyright skip".split()
 )
 HEADER_WORDS = frozenset({"header"})
+# Reader comments are often longer than the article, so most points do not tell them from it.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 ARTICLE_TAGS = frozenset({"article", "main"})
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article main".split())
 TAG_POINTS = {"article": 10.0, "main": 10.0, "section": 2.0, "div": 2.0}
 LEVELS = 5
 SIBLING_POINTS, SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 10.0, 0.2, 80, 0.25
 LIST_LINKS, LIST_COUNT = 0.8, 3
+# Shares of the page's points for an article element, and of the largest such for others of
+# its kind, to be more than a teaser.
+ARTICLE_SHARE, PEER_SHARE = 0.2, 0.5
 
 # A quote opens a quoted value only where a value begins; elsewhere it is a character like any
 # other, and the tag ends at the next '>'.
@@ -83,36 +91,48 @@ _COMMAS = re.compile("[,،，、;]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "wanted", "links", "chars", "link_chars", "points")
+    __slots__ = (
+        "tag", "parent", "children", "wanted", "blame", "links", "chars", "link_chars", "points",
+        "own", "own_links", "own_points", "held", "solid", "pool",
+    )
 
-    def __init__(self, tag, parent, wanted):
-        self.tag, self.parent, self.wanted = tag, parent, wanted
+    def __init__(self, tag, parent, wanted, blame=frozenset()):
+        self.tag, self.parent, self.wanted, self.blame = tag, parent, wanted, blame
         self.children, self.links = [], 0
         self.chars = self.link_chars = 0
         self.points = 0.0
 
+    @property
+    def suspect(self):
+        return bool(self.blame) and self.tag not in ARTICLE_TAGS
 
-def _is_wanted(tag, attributes, in_article):
+
+def _judge(tag, attributes, in_article):
+    """Whether a node can be wanted, and the words (or ``form``) that speak against it."""
+    nothing = frozenset()
     if tag in UNWANTED or tag == "header" and not in_article:
-        return False
+        return False, nothing
+    blame = FORM if tag == "form" else nothing
     if not attributes or tag in ("html", "body"):
-        return True
+        return True, blame
     found = {}
     for name, value in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return False
+        return False, nothing
     if re.search(r"display\s*:\s*none", found.get("style", "")):
-        return False
-    if found.get("role", "").lower() in UNWANTED_ROLES:
-        return False
-    if tag in ARTICLE_TAGS:
-        return True
+        return False, nothing
+    role = found.get("role", "").lower()
+    if role in UNWANTED_ROLES:
+        return False, nothing
     names = (found.get("class", "") + " " + found.get("id", "")).split()
     # "has-sidebar" and "no-comments" tell of a page's layout, not of this element.
     names = [name for name in names if not _LAYOUT.match(name)]
     words = {word.lower() for name in names for word in _WORDS.findall(name)}
-    return not words & UNWANTED_WORDS and (in_article or not words & HEADER_WORDS)
+    blame |= words & UNWANTED_WORDS
+    if role == "form":
+        blame |= FORM
+    return True, blame if in_article else blame | words & HEADER_WORDS
 
 
 def parse(source: str) -> Node:
@@ -208,7 +228,8 @@ def parse(source: str) -> Node:
                         break
             parent = stack[-1]
             in_article = any(node.tag in ARTICLE_TAGS for node in stack)
-            node = Node(tag, parent, parent.wanted and _is_wanted(tag, token[3], in_article))
+            wanted, blame = _judge(tag, token[3], in_article)
+            node = Node(tag, parent, parent.wanted and wanted, blame)
             parent.children.append(node)
             if not token[3].endswith("/") or tag != "svg":
                 stack.append(node)
@@ -230,32 +251,128 @@ def _density(node):
     return node.link_chars / node.chars if node.chars else 0.0
 
 
-def _score(root):
-    """Sum texts up and hand points out; returns the wanted nodes."""
-    nodes = _in_order(root)
-    for node in reversed(nodes):
-        own = commas = own_links = 0
+def _weigh(nodes):
+    """The texts right inside each node, and the points they earn."""
+    for node in nodes:
+        own = own_links = commas = 0
         for child in node.children:
-            if isinstance(child, Node):
-                if child.wanted:
-                    node.chars += child.chars
-                    node.link_chars += child.link_chars
-                    node.links += child.links
-            else:
+            if not isinstance(child, Node):
                 own += len(child[0])
                 own_links += child[1]
                 commas += len(_COMMAS.findall(child[0]))
-        node.chars += own
-        node.link_chars += own_links
+        node.own, node.own_links, node.own_points = own, own_links, 0.0
         if own and node.tag in PARAGRAPHS:
-            points = (1.0 + commas + min(own / 100.0, 3.0)) * (1.0 - own_links / own)
+            points = 1.0 + commas + min(own / 100.0, 3.0)
+            node.own_points = points * (1.0 - own_links / own)
+
+
+def _prune(root):
+    """Settle which suspects are unwanted, by what the nodes hold.
+
+    A suspect is kept if it holds the page's article element, or more than half of the points
+    of the page (inside an article element, of that element). Suspects of one word that lie
+    side by side count together, as the text blocks of a page builder do. Comments hold the
+    page only if all longer texts lie in them. Without points, characters count.
+    """
+    nodes = _in_order(root)
+    _weigh(nodes)
+    suspects = [node for node in nodes if node.suspect]
+    if not suspects:
+        return
+    earned = any(node.own_points for node in nodes)
+    for node in nodes:
+        free = node.own - node.own_links
+        node.held, node.solid = node.own_points if earned else free, int(free > SIBLING_CHARS)
+    for node in reversed(nodes[1:]):
+        node.parent.held += node.held
+        node.parent.solid += node.solid
+
+    main, peers = _article_elements(nodes)
+    holders, main_holders = set(), set()
+    _add_above(main_holders, main)
+    for peer in peers:
+        _add_above(holders, peer)
+    for node in nodes:
+        if node in peers:
+            node.pool = node
+        elif node is root:
+            node.pool = None if peers else root
+        else:
+            node.pool = node.parent.pool
+
+    def is_most(pool, held, solid, comments):
+        return pool and 2 * held > pool.held and (not comments or solid == pool.solid)
+
+    excused = set()
+    for node in suspects:
+        comments = bool(node.blame & COMMENT_WORDS)
+        holds = node in (main_holders if comments else holders)
+        if holds or is_most(node.pool, node.held, node.solid, comments):
+            excused.add(node)
+    words, before = set(), -1
+    while len(excused) > before:
+        before = len(excused)
+        sums, inside = {}, set()
+        for node in nodes:
+            if node.parent in inside:
+                inside.add(node)
+            elif node.suspect and node not in excused:
+                inside.add(node)
+                for word in node.blame:
+                    sums.setdefault((node.pool, word), []).append(node)
+        for (pool, word), some in sums.items():
+            held, solid = sum(node.held for node in some), sum(node.solid for node in some)
+            if is_most(pool, held, solid, word in COMMENT_WORDS):
+                words.add((pool, word))
+        excused.update(n for n in suspects if all((n.pool, word) in words for word in n.blame))
+    for node in suspects:
+        node.wanted = node in excused
+
+
+def _article_elements(nodes):
+    """The article or main element with most points, if it is more than a teaser, and all
+    like it. One below a suspect counts half, one named like a suspect is none."""
+    below, best, most = set(), None, 0.0
+    found = []
+    for node in nodes:
+        if node.parent in below or node.parent is not None and node.parent.suspect:
+            below.add(node)
+        if node.tag == "main" or node.tag == "article" and not node.blame:
+            found.append(node)
+            points = node.held / 2 if node in below else node.held
+            if points > most:
+                best, most = node, points
+    if best is None or best.held < ARTICLE_SHARE * nodes[0].held:
+        return None, set()
+    return best, {node for node in found if node.held >= PEER_SHARE * best.held}
+
+
+def _add_above(nodes, node):
+    """Put all that ``node`` lies in into ``nodes``."""
+    while node is not None and node.parent is not None and node.parent not in nodes:
+        node = node.parent
+        nodes.add(node)
+
+
+def _score(root):
+    """Sum texts up and hand points out; returns the wanted nodes."""
+    nodes = _in_order(root)
+    for node in reversed(nodes):
+        for child in node.children:
+            if isinstance(child, Node) and child.wanted:
+                node.chars += child.chars
+                node.link_chars += child.link_chars
+                node.links += child.links
+        node.chars += node.own
+        node.link_chars += node.own_links
+        if node.own_points:
             # A text right inside a container counts for the container itself.
             up = node if node.tag not in ("p", "pre", "blockquote", "li", "td", "dd") else None
             up, share = (up or node.parent), 1.0
             for level in range(LEVELS):
                 if up is None:
                     break
-                up.points += points * share
+                up.points += node.own_points * share
                 up, share = up.parent, share / 2 if level == 0 else share * 2 / 3
     return nodes
 
@@ -312,6 +429,7 @@ def extract(source: str | None) -> str:
     if not source:
         return ""
     root = parse(source)
+    _prune(root)
     best, points = _article(_score(root))
     out: list[str] = []
     if best is None:
