@@ -188,6 +188,45 @@ def test_furniture_beside_the_text(part):
     assert extract(f"<div class='content-sidebar-wrap'><main><p>{PROSE}</p>{part}</main></div>") == PROSE.strip()
 
 
+LINKS = "<ul><li><a href=1>First source</a><li><a href=2>Second source</a><li><a href=3>Third</a></ul>"
+LINK_TEXTS = "First source\nSecond source\nThird"
+LONG = f"<p>{PROSE}</p>" * 3
+LONG_TEXT = "\n".join([PROSE.strip()] * 3)
+NEXT_TO = {
+    f"<div id=c><h1>T</h1><div class=text>{LONG}</div><p>Short end.</p></div>": f"T\n{LONG_TEXT}\nShort end.",
+    f"<div id=c><h1><a href=x>T</a></h1><div>By A.</div><div class=text>{LONG}</div></div>": f"T\nBy A.\n{LONG_TEXT}",
+    f"<div id=c><div><h1>T</h1></div><div><div class=text>{LONG}</div></div></div>": f"T\n{LONG_TEXT}",
+    f"<div id=c><div>{LONG}</div><div><p>One, two, three, four, five, six, seven, eight.</p></div></div>":
+        f"{LONG_TEXT}\nOne, two, three, four, five, six, seven, eight.",
+    f"<div id=c>Bare text before.<div>{LONG}</div>Bare text behind.</div>": f"Bare text before.\n{LONG_TEXT}\nBare text behind.",
+    f"<div id=c><div>{LONG}</div><h2>U</h2><p>Short.</p>Bare.<div>Note</div><div>{LONG}</div></div>":
+        f"{LONG_TEXT}\nU\nShort.\nBare.\nNote\n{LONG_TEXT}",
+    f"<div id=c><div>{LONG}</div><div class=ad>Buy</div><ul><li>one<li>two</ul></div>": f"{LONG_TEXT}\none\ntwo",
+    f"<div id=c><div>{LONG}{LINKS}{LONG}{LINKS}</div></div>": f"{LONG_TEXT}\n{LINK_TEXTS}\n{LONG_TEXT}\n{LINK_TEXTS}",
+    f"<article>{LONG}<section>{LINKS}</section></article>": f"{LONG_TEXT}\n{LINK_TEXTS}",
+    f"<body>{LONG}{LINKS}{LONG}</body>": f"{LONG_TEXT}\n{LINK_TEXTS}\n{LONG_TEXT}",
+}
+NOT_PARTS = [
+    LINKS, f"<div>{LINKS}</div>", "<p><a href=1>Read on</a></p>", "<a href=1>Read on, please</a>", "<div>Imprint</div>",
+    f"<div class=related><h3>More</h3><p>{SHORT}</p></div>", f"<section><p>Links, many:</p>{LINKS}</section>",
+]
+
+
+@pytest.mark.parametrize("page", NEXT_TO, ids=range(len(NEXT_TO)))
+def test_parts_beside_the_container(page):
+    assert extract(page) == NEXT_TO[page]
+
+
+@pytest.mark.parametrize("part", NOT_PARTS, ids=range(len(NOT_PARTS)))
+def test_what_is_no_part(part):
+    assert extract(f"<div id=c>{part}<div class=text>{LONG}</div>{part}</div>") == LONG_TEXT
+    menu = f"<h1>Site</h1>{LINKS}" if "Read" not in part else ""
+    assert extract(f"<div id=c>{menu}<div class=text>{LONG}</div>{part}<p>Imprint</p></div>") in (
+        LONG_TEXT, f"{LONG_TEXT}\nImprint"
+    )
+    assert extract(f"<body>{LINKS}{LONG}</body>") == LONG_TEXT
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 20_000 + f"<p>{PROSE}</p>"
     assert extract(deep) == PROSE.strip()

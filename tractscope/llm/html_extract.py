@@ -3,7 +3,7 @@
 Each paragraph earns points for its length and commas and passes them to its ancestors, less
 the farther up. A container's points are discounted by the share of its text that lies in
 links. The container with most points is the article; siblings that look like parts of it
-are kept with it. Menus, headers, footers, sidebars, notices, adverts, forms and reader
+are kept with it, and so are headings, short texts and lists between and next to them. Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are recognised by element, role or the words of class and id, and take no part.
 Words and forms are only a suspicion: a suspect that holds the page's article element, or most
 of the page's points, is the page and not a part beside it.
@@ -63,6 +63,10 @@ HEADER_WORDS = frozenset({"header"})
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 ARTICLE_TAGS = frozenset({"article", "main"})
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# What belongs to a text it stands next to, however short it is.
+ADJOINING = HEADINGS | frozenset("p pre blockquote ul ol dl table figure".split())
+WHOLE_PAGE = frozenset("#root html body".split())
 TAG_POINTS = {"article": 10.0, "main": 10.0, "section": 2.0, "div": 2.0}
 LEVELS = 5
 SIBLING_POINTS, SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 10.0, 0.2, 80, 0.25
@@ -393,30 +397,124 @@ def _article(nodes):
     return best, most
 
 
-def _blocks(node, out):
-    """Texts of the wanted blocks in page order, without lists that are all links."""
-    todo = [node]
+def _blocks(node):
+    """(text, whether in a list that is all links, whether it earned points) of the wanted
+    blocks in page order."""
+    todo, out = [(node, False, None)], []
     while todo:
-        item = todo.pop()
+        item, in_list, parent = todo.pop()
         if not isinstance(item, Node):
-            out.append(item[0])
-        elif item.wanted and not (
-            item is not node
-            and item.tag in ("ul", "ol", "div", "section", "table")
-            and item.links >= LIST_COUNT
-            and _density(item) > LIST_LINKS
-        ):
-            todo.extend(reversed(item.children))
-
-
-def _is_part(node, best_points):
-    """Whether a sibling of the article looks like a part of it."""
-    if not node.wanted or _density(node) > SIBLING_LINKS:
+            out.append((item[0], in_list, parent.own_points > 0))
+        elif item.wanted:
+            in_list = in_list or (
+                item is not node
+                and item.tag in ("ul", "ol", "div", "section", "table")
+                and item.links >= LIST_COUNT
+                and _density(item) > LIST_LINKS
+            )
+            todo.extend((child, in_list, item) for child in reversed(item.children))
+    return out
+
+
+def _inside(best):
+    """Texts of the article. If it is the whole page, lists of links before its first text are
+    menus."""
+    blocks = _blocks(best)
+    first = 0
+    if best.tag in WHOLE_PAGE:
+        texts = (i for i, (_, in_list, earned) in enumerate(blocks) if earned and not in_list)
+        first = next(texts, len(blocks))
+    return [text for i, (text, in_list, _) in enumerate(blocks) if i >= first or not in_list]
+
+
+def _beside(part):
+    """Texts of a part outside the article, without lists that are all links."""
+    if not isinstance(part, Node):
+        return [part[0]]
+    return [text for text, in_list, _ in _blocks(part) if not in_list]
+
+
+def _is_part(node, best, best_points):
+    """Whether a sibling of the article looks like a part of it by itself."""
+    if not isinstance(node, Node) or not node.wanted or _density(node) > SIBLING_LINKS:
         return False
     if node.tag == "p":
         return node.chars > SIBLING_CHARS
     points = node.points * (1.0 - _density(node))
-    return points >= max(SIBLING_POINTS, SIBLING_SHARE * best_points)
+    share = SIBLING_SHARE * best_points
+    # Beside an article element a part must have both, else either is enough.
+    least = max if best.tag in ARTICLE_TAGS else min
+    return points > 0 and points >= least(SIBLING_POINTS, share)
+
+
+def _has_few_links(part):
+    if not isinstance(part, Node):
+        return part[1] <= SIBLING_LINKS * len(part[0])
+    return _density(part) <= SIBLING_LINKS
+
+
+def _is_heading(part):
+    """Whether all text of a node is headings."""
+    if not isinstance(part, Node):
+        return False
+    todo = [part]
+    while todo:
+        node = todo.pop()
+        if node.tag not in HEADINGS:
+            if node.own:
+                return False
+            todo.extend(c for c in node.children if isinstance(c, Node) and c.wanted and c.chars)
+    return True
+
+
+def _parts(best, best_points):
+    """The article and its siblings that belong to it, in page order.
+
+    Parts by themselves, then what lies between parts. Beside an article element that is all.
+    Else also the texts that adjoin the first and the last part, and headings before the
+    first, with what follows them, as far as no links come between. Headings may be links.
+    """
+    items = [
+        item
+        for item in best.parent.children
+        if not isinstance(item, Node) or item.wanted and item.chars
+    ]
+    chosen = {
+        i for i, item in enumerate(items) if item is best or _is_part(item, best, best_points)
+    }
+    first, last = min(chosen), max(chosen)
+    if best.tag not in ARTICLE_TAGS:
+
+        def adjoins(item):
+            if isinstance(item, Node) and item.tag not in ADJOINING:
+                return _is_heading(item)
+            return _has_few_links(item) or isinstance(item, Node) and item.tag in HEADINGS
+
+        while last + 1 < len(items) and adjoins(items[last + 1]) and _has_few_links(items[last + 1]):
+            last += 1
+        while first and adjoins(items[first - 1]):
+            first -= 1
+        for i in range(first - 1, -1, -1):
+            if _is_heading(items[i]):
+                first = i
+            elif not _has_few_links(items[i]):
+                break
+    return [
+        item
+        for i, item in enumerate(items)
+        if i in chosen or first <= i <= last and (_has_few_links(item) or _is_heading(item))
+    ]
+
+
+def _widened(best):
+    """The outermost node that holds no other text than ``best``."""
+    while (
+        best.parent is not None
+        and best.parent.tag not in WHOLE_PAGE
+        and best.parent.chars == best.chars
+    ):
+        best = best.parent
+    return best
 
 
 def extract(source: str | None) -> str:
@@ -424,23 +522,23 @@ def extract(source: str | None) -> str:
 
     White space inside a block is one space. Null, empty and text-free pages give an empty
     text. A page that ends early is read as far as it goes; a tag cut off at the end, also
-    inside a quoted value that is never closed, is dropped. If nothing earned points, all wanted blocks are the text.
+    inside a quoted value that is never closed, is dropped. If nothing earned points, all wanted blocks but
+    lists of links are the text.
     """
     if not source:
         return ""
     root = parse(source)
     _prune(root)
     best, points = _article(_score(root))
-    out: list[str] = []
     if best is None:
-        _blocks(root, out)
-        return "\n".join(out)
-    if best.parent is None or best.tag in ("body", "html"):
-        _blocks(best, out)
-        return "\n".join(out)
-    for sibling in best.parent.children:
-        if sibling is best or isinstance(sibling, Node) and _is_part(sibling, points):
-            _blocks(sibling, out)
+        return "\n".join(_beside(root))
+    if best.tag not in ARTICLE_TAGS:
+        best = _widened(best)
+    if best.parent is None or best.tag in WHOLE_PAGE:
+        return "\n".join(_inside(best))
+    out: list[str] = []
+    for part in _parts(best, points):
+        out += _inside(best) if part is best else _beside(part)
     return "\n".join(out)
 
 
