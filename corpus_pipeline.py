@@ -11,9 +11,6 @@ from tractscope.llm import jaccard_join, language_id, piece_encode, quality_rule
 from tractscope.llm.tables import join_small
 from tractscope.session import write_once
 
-# Texts without a letter are rejected, and those in which no language is likely. A text in
-# two of the four languages scores about a half and stays.
-LEAST_LANGUAGE_SCORE = 0.4
 MIX_SEED = 7
 
 
@@ -24,12 +21,18 @@ def renamed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known, learnt from those that are not held out."""
+    """Documents whose language is known, learnt from those that are not held out.
+
+    Texts without a letter are rejected. No least score is asked for: a text in several of the
+    learnt languages, or in one of several close ones, may score little more than one divided
+    by their number. If no document can be learnt from, nothing is known of any, and all pass.
+    """
     net = language_id.train(docs)
+    if net is None:
+        return docs
     plain, inner = renamed(docs)
     found = language_id.identify(plain, net, inner[docs.columns.index("text")], tuple(inner))
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(known).select(*inner).toDF(*docs.columns)
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*inner).toDF(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,23 @@ def test_language_stage(spark, documents):
     assert len(wanted) == 63
 
 
+def test_language_stage_with_many_close_languages(spark, documents):
+    """No language of six stands out, in all of one kind of text."""
+    english = documents.where("lang = 'en'").limit(120)
+    docs = english.withColumn("lang", F.concat(F.lit("en-"), (F.col("doc_id") % 6).cast("string")))
+    net = language_id.train(docs)
+    found = language_id.identify(docs, net, keep=("doc_id",))
+    assert found.where((F.col("score") < 0.4) & (F.col("lang_pred") != "und")).count() > 0
+    letters = docs.where(F.col("text").rlike(r"\p{L}"))
+    assert rows(pipeline.known_language(spark, docs, SF_DIR)) == rows(letters)
+
+
+def test_language_stage_without_labels(spark, documents):
+    docs = documents.limit(30).withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.train(docs) is None
+    assert rows(pipeline.known_language(spark, docs, SF_DIR)) == rows(docs)
+
+
 def test_rule_stage(spark, documents):
     docs = odd(spark, documents)
 
