@@ -97,6 +97,36 @@ def test_mix_comes_near_its_targets(spark):
     assert sorted(found.collect()) == sorted(again.collect())
 
 
+def window_inputs(spark, frame):
+    """Rows that come into each window of a frame's plan."""
+    todo, found = [frame._jdf.queryExecution().optimizedPlan()], []
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Window":
+            rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+            found.append(rows(spark._jsparkSession, children[0]).count())
+        todo += children
+    return found
+
+
+@pytest.mark.parametrize("shared", [None, 77], ids=["no id", "one id"])
+def test_rows_that_share_an_id_are_not_ordered_as_one_group(spark, monkeypatch, shared):
+    rows = [(shared if i % 4 else i, "a" if i % 3 else "b", 5 + i % 11) for i in range(4000)]
+    counts, written = [], source_mix.write_once
+
+    def watched(frame, label):
+        counts.extend(window_inputs(spark, frame))
+        return written(frame, label)
+
+    monkeypatch.setattr(source_mix, "write_once", watched)
+    monkeypatch.setattr(source_mix, "ROW_BITS", 4, raising=False)
+    found = source_mix.mix(spark.createDataFrame(rows, SCHEMA), seed=3).collect()
+    got = sorted(((r.doc_id, r.source, r["size"], r.target, r.repeats) for r in found), key=repr)
+    assert got == sorted(plain_mix(rows, 3), key=repr)
+    assert max(counts) <= 600  # ranges, kinds and blocks, of 4,000 rows
+
+
 def test_given_weights_and_caps(spark):
     sources = {"a": 100, "b": 10, "c": 1000}
     weights = {"a": 5.0, "b": 5.0, "c": 1.0}

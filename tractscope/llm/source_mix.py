@@ -11,6 +11,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
 WEIGHT_CYCLE = 3
 RANGE_BITS, HASH_BITS = 8, 31
+# Rows alike are taken by blocks of so many bits of row numbers, and one by one in one block.
+ROW_BITS = 16
 
 
 def word_count(text: Column) -> Column:
@@ -73,8 +75,11 @@ def plan_mix(
     once more: its rows in the order of a seeded hash of the id, as long as the whole fits
     what is still open, then the one other row whose size comes nearest to the rest, if that
     brings the source nearer to its target. For this, sizes are summed by hash ranges, 256
-    of them and then 256 inside the one in which the open part ends; only the rows of that
-    inner range are ordered one by one. So no source is gathered or sorted as one group.
+    of them and then 256 inside the one in which the open part ends. In that inner range they
+    are summed by hash, id and size, so rows that share an id, or have none, count as one row
+    for each size; among rows alike in all three, those with the smallest numbers are taken,
+    summed by blocks of row numbers. So no source, and no id, is gathered or sorted as one
+    group.
     """
     rows = rows.withColumn("at", seeded_hash(F.col("id"), seed))
     sizes = write_once(
@@ -106,13 +111,8 @@ def plan_mix(
     placed = join_small(planned.drop("open"), last, "source_no", "left").withColumn(
         "open", F.coalesce("open", F.lit(0.0))
     )
-    order = Window.partitionBy("source_no").orderBy("at", "id", "size", "row")
-    edge = (
-        placed.where(number == F.col("last_range"))
-        .withColumn("end", F.col("start") + F.sum("size").over(order))
-        .where((F.col("end") <= F.col("open")) & (F.col("size") > 0))
-    )
-    edge = write_once(edge.select("source_no", "row", "size"), "mix-edge")
+    inner = placed.where((number == F.col("last_range")) & (F.col("size") > 0))
+    edge = write_once(_up_to_open(write_once(inner, "mix-inner")), "mix-edge")
     below = write_once(
         placed.where(number < F.col("last_range"))
         .groupBy("source_no")
@@ -169,6 +169,47 @@ def _range_of_end(rows, number, starts, name):
     return write_once(found, f"mix-{name}")
 
 
+def _up_to_open(rows):
+    """(source_no, row, size) of the ``rows`` of each source that, in the order of at, id, size
+    and row, end within its open part."""
+    some, before = F.col("size") * F.col("n"), F.col("end") - F.col("size") * F.col("n")
+    order = Window.partitionBy("source_no").orderBy("at", "id", "size")
+    kinds = rows.groupBy("source_no", "open", "start", "at", "id", "size").agg(F.count("*").alias("n"))
+    kinds = kinds.withColumn("end", F.col("start") + F.sum(some).over(order))
+    still = F.floor((F.col("open") - before) / F.col("size")).alias("still")
+    cut = (
+        kinds.where(F.col("end") > F.col("open"))
+        .groupBy("source_no")
+        .agg(F.min(F.struct(F.struct("at", "id", "size").alias("kind"), still)).alias("cut"))
+        .select("source_no", "cut.kind", "cut.still")
+    )
+    rows = join_small(rows, write_once(cut, "mix-cut"), "source_no", "left")
+    kind = F.struct("at", "id", "size")
+    ahead = rows.where(F.col("kind").isNull() | (kind < F.col("kind")))
+
+    alike = rows.where(kind.eqNullSafe(F.col("kind"))).withColumn(
+        "block", F.shiftright("row", ROW_BITS)
+    )
+    blocks = alike.groupBy("source_no", "still", "block").agg(F.count("*").alias("n"))
+    up_to = Window.partitionBy("source_no").orderBy("block")
+    blocks = blocks.withColumn("end", F.sum("n").over(up_to)).where(F.col("end") > F.col("still"))
+    left = (F.col("still") - F.col("end") + F.col("n")).alias("left")
+    last = blocks.groupBy("source_no").agg(F.min(F.struct("block", left)).alias("last"))
+    last = write_once(last.select("source_no", "last.block", "last.left"), "mix-block")
+    alike = join_small(alike, last.withColumnRenamed("block", "last_block"), "source_no")
+    in_block = Window.partitionBy("source_no").orderBy("row")
+    singly = (
+        alike.where(F.col("block") == F.col("last_block"))
+        .withColumn("place", F.row_number().over(in_block))
+        .where(F.col("place") <= F.col("left"))
+    )
+    taken = [ahead, alike.where(F.col("block") < F.col("last_block")), singly]
+    first, *others = (part.select("source_no", "row", "size") for part in taken)
+    for part in others:
+        first = first.union(part)
+    return first
+
+
 def apply_mix(rows: DataFrame, plan: MixPlan) -> DataFrame:
     """``rows`` (id, source, size, row and any others) with source_size, target, repeats.
 
