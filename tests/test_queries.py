@@ -32,3 +32,9 @@ def test_entry(spark):
     result = entry_module.entry(spark)
     assert result.columns == ["city", "activity_year", "level", "census_tract", "count", "rank"]
     assert result.count() == 35
+
+
+def test_loan_files_of_every_year(spark, con):
+    found = QUERIES["loan_files_every_year"](spark, SF_DIR).select("activity_year").distinct()
+    wanted = con.execute("SELECT DISTINCT year(o_orderdate) FROM orders").fetchall()
+    assert len(wanted) > 3 and {r.activity_year for r in found.collect()} == {y for (y,) in wanted}

@@ -389,6 +389,7 @@ ORACLE = {
         f"""SELECT {CITY_LOAN_COLUMNS} FROM loans_eligible
         WHERE activity_year IN (1996, 1997, 1998)""",
     ),
+    "loan_files_every_year": _sql(LOANS, f"SELECT {CITY_LOAN_COLUMNS} FROM loans_eligible"),
     "src_versioned_union": _sql(INCIDENTS, "SELECT * FROM incidents_clean"),
     "src_catalog_dim": _sql(
         INCIDENTS,

@@ -341,7 +341,9 @@ def src_year_glob(spark, sf_dir):
 
 
 def _write_year_folders(rows, year, prefix, separator):
-    """Folders ``<prefix><year>``; a part of each folder's files has its columns reversed."""
+    """Folders ``<prefix><year>``; a part of each folder's files has its columns reversed.
+    Returns the years."""
+    years = set()
     odd = F.col("action_taken") == "1"
     folder, _, name = prefix.rpartition("/")
     for some, columns in ((odd, rows.columns), (~odd, rows.columns[::-1])):
@@ -349,18 +351,35 @@ def _write_year_folders(rows, year, prefix, separator):
         for found in sorted(r.folder for r in part.select("folder").distinct().collect()):
             files = part.where(F.col("folder") == found).select(*columns)
             files.write.mode("append").csv(f"{folder}/{found}", sep=separator, header=True)
+            years.add(int(found.removeprefix(name)))
+    return sorted(years)
 
 
 @query
 def loan_files(spark, sf_dir):
-    """Eligible loans of all cities, read from the year folders of both file layouts."""
+    """Eligible loans of all cities of 1996, 1997 and 1998, read from the year folders of both
+    file layouts."""
+    root, _ = _write_loan_files(spark, sf_dir)
+    applications = read_loans(spark, CATALOG, root, [1996, 1997, 1998])
+    return loans.city_loans(applications, CATALOG)
+
+
+@query
+def loan_files_every_year(spark, sf_dir):
+    """Eligible loans of all cities and years, read from the year folders of both layouts."""
+    root, years = _write_loan_files(spark, sf_dir)
+    return loans.city_loans(read_loans(spark, CATALOG, root, years), CATALOG)
+
+
+def _write_loan_files(spark, sf_dir):
+    """The folder of the year folders of both layouts, and its years."""
     root = new_table_path(spark, "loan-files") + "/"
+    years = set()
     for version, separator in (("v1", ","), ("v2", "|")):
         rows = fx.loans_in_layout(spark, sf_dir, version)
         year = CATALOG.loan_layouts[version].columns["activity_year"]
-        _write_year_folders(rows, year, root, separator)
-    applications = read_loans(spark, CATALOG, root, [1996, 1997, 1998])
-    return loans.city_loans(applications, CATALOG)
+        years.update(_write_year_folders(rows, year, root, separator))
+    return root, sorted(years)
 
 
 @query
@@ -428,7 +447,8 @@ def sink_incident_correction(spark, sf_dir):
 
 @query
 def refresh_tables(spark, sf_dir):
-    """The periodic job over raw files: one year by months and one at once, then the profile."""
+    """The periodic job over raw files: the year before ``PERIOD`` at once, the month of
+    ``PERIOD`` and the next one, loans of both years, then the profile of these periods."""
     root = new_table_path(spark, "raw") + "/"
     out = new_table_path(spark, "tables")
     _write_incident_files(spark, sf_dir, root)
