@@ -7,6 +7,7 @@ from tractscope.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    merkle_manifest,
     piece_encode,
     quality_gam,
     quality_rules,
@@ -301,3 +302,87 @@ reached(doc_id, other) AS (
 SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
 FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Every document's leaf, proof and folded root in a manifest of all documents."""
+    return merkle_manifest.document_proofs(table(spark, sf_dir, "documents"))
+
+
+# The table of crc32 follows from its polynomial; a path step is the side of a sibling and it.
+ORACLE["op11_merkle_manifest"] = """
+WITH RECURSIVE crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+),
+crcs AS (
+    SELECT doc_id, xor(4294967295, list_reduce(
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents), crc_table
+),
+fields AS (
+    SELECT doc_id, lang,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS front,
+           n_chars, coalesce(strlen(text) || ':' || text, '-') AS back
+    FROM documents
+),
+leaves AS (
+    SELECT row_number() OVER () AS id, f.doc_id, lang,
+           sha256(front || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || back) AS leaf,
+           CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN sha256(
+               front || strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1)
+               || back) END AS changed
+    FROM fields f LEFT JOIN crcs USING (doc_id)
+),
+placed AS (
+    SELECT *, coalesce('=' || lang, '-') AS tree,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS pos,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM leaves
+),
+nodes(tree, level, pos, h, n) AS (
+    SELECT tree, 0, pos, leaf, n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2)
+    FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2
+),
+subroots AS (
+    SELECT tree, level AS height, h, row_number() OVER (ORDER BY tree) - 1 AS pos,
+           count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+tops(level, pos, h, n) AS (
+    SELECT 0, pos, h, n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2)
+    FROM tops WHERE n > 1 GROUP BY level, pos // 2
+),
+steps AS (
+    SELECT p.id, n.level, (p.pos >> n.level) & 1 AS bit, s.h AS sibling
+    FROM placed p JOIN nodes n ON n.tree = p.tree AND n.pos = p.pos >> n.level AND n.n > 1
+    LEFT JOIN nodes s ON s.tree = n.tree AND s.level = n.level AND s.pos = xor(n.pos, 1)
+    UNION ALL
+    SELECT p.id, r.height + t.level, (r.pos >> t.level) & 1, s.h
+    FROM placed p JOIN subroots r ON r.tree = p.tree
+    JOIN tops t ON t.pos = r.pos >> t.level AND t.n > 1
+    LEFT JOIN tops s ON s.level = t.level AND s.pos = xor(t.pos, 1)
+),
+paths AS (
+    SELECT id, list(coalesce(bit || sibling, '-') ORDER BY level) AS path,
+           sha256(string_agg(coalesce(sibling, ''), '' ORDER BY level)) AS proof
+    FROM steps GROUP BY id
+),
+folded AS (
+    SELECT p.doc_id, p.leaf, r.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+           coalesce(proof, sha256('')) AS proof_sha256,
+           list_reduce(coalesce(path, []), lambda node, step: CASE step[1]
+               WHEN '0' THEN sha256(node || step[2:]) WHEN '1' THEN sha256(step[2:] || node)
+               ELSE sha256(node) END, coalesce(changed, leaf)) AS folded_root
+    FROM placed p JOIN subroots r ON r.tree = p.tree LEFT JOIN paths USING (id)
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
