@@ -221,10 +221,17 @@ def build(rows: DataFrame, group: Column, order: Column, leaf: Column, keep: dic
     trees = build_trees(leaves, sizes.select("group_key", "leaves"), "manifest")
     # The subroots are the leaves of one more tree.
     subroots = numbered(trees.tops.select("group_key", "digest"), ["group_key"], "rank")
-    subroots = subroots.select(F.lit("").alias("group_key"), "rank", "digest", F.col("group_key").alias("of"))
+    # Written, so that the one key of this tree is a column to join on and not a constant.
+    subroots = write_once(
+        subroots.select(
+            F.lit("").alias("group_key"), "rank", "digest", F.col("group_key").alias("of")
+        ),
+        "manifest-subroots",
+    )
     size = subroots.groupBy("group_key").agg(F.count("*").alias("leaves"))
     above = build_trees(subroots, size, "manifest-root")
-    found = descend(above, subroots, above.tops.select("group_key", F.array().cast(f"array<array<{STEP}>>").alias("path")))
+    empty = F.array().cast(f"array<array<{STEP}>>")
+    found = descend(above, subroots, above.tops.select("group_key", empty.alias("path")))
     root = above.tops.select("group_key", F.col("digest").alias("root"))
     paths = _at_leaves(subroots, found).join(F.broadcast(root), "group_key")
     paths = write_once(paths.select(F.col("of").alias("group_key"), "path", "root"), "manifest-paths")
