@@ -8,6 +8,7 @@ from tractscope.llm import (
     jaccard_join,
     language_id,
     merkle_manifest,
+    phrase_mining,
     piece_encode,
     quality_gam,
     quality_rules,
@@ -386,3 +387,48 @@ folded AS (
 )
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    """The best collocations of each language, of all documents."""
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, m, array_to_string(w[k : k + m - 1], ' ') AS phrase
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k
+          FROM words, (SELECT unnest(range(1, 6)) AS m))
+),
+counts AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING f >= 100),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+           ((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+    JOIN totals USING (lang)
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[: k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 :], ' ')
+),
+weakest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts
+),
+kept AS (
+    SELECT * FROM weakest s WHERE nth = 1 AND NOT EXISTS (
+        FROM candidates c WHERE c.lang = s.lang AND c.a >= s.a AND c.phrase <> s.phrase
+        AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM kept) WHERE rank <= 2000
+"""

@@ -86,11 +86,11 @@ def text_bytes(texts: pa.Array):
     return bytes_, offsets
 
 
-def slices(offsets):
-    """Ranges of texts of about SLICE_BYTES each."""
+def slices(offsets, size=SLICE_BYTES):
+    """Ranges of texts of about ``size`` bytes each."""
     at, count = 0, len(offsets) - 1
     while at < count:
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         to = min(max(to, at + 1), count)
         yield at, to
         at = to
