@@ -86,23 +86,34 @@ def test_full_bit_tables_change_no_count(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 3, 100))
 
 
-def test_equal_fingerprints_of_different_phrases(spark, monkeypatch):
-    """All fingerprints of a size collide; the phrases are still told apart."""
+@pytest.mark.parametrize("bits", [0, 3])
+def test_equal_fingerprints_of_different_phrases(spark, monkeypatch, bits):
+    """Fingerprints of the same size collide; the phrases are still told apart."""
     rows = made(150, 10)
+    whole = pm._both
 
-    def same(word_hash, size, powers):
-        return np.full(max(len(word_hash) - size + 1, 0), size, np.uint64)
+    def poor(hashes, size, at, powers):
+        found, second = whole(hashes, size, at, powers)
+        return found >> np.uint64(64 - bits) if bits else found * np.uint64(0), second
 
-    monkeypatch.setattr(pm, "fingerprints", same)
+    monkeypatch.setattr(pm, "_both", poor)
+    monkeypatch.setattr(pm, "frequent_bits", lambda hashes: (3, b"\xff" * 4096))
     found = pm.mine(spark.createDataFrame(rows, SCHEMA), 3, 100)
     assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 3, 100))
 
 
-def test_pointers(spark):
-    rows = [(4, "en", "a b c"), (3, "en", "x, a b"), (None, "en", "a b")]
+def test_pointers_by_shuffle(spark, monkeypatch):
+    rows = made(150, 11)
+    monkeypatch.setattr(pm, "BROADCAST_POINTERS", 0)
+    found = pm.mine(spark.createDataFrame(rows, SCHEMA), 3, 100)
+    assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 3, 100))
+
+
+def test_pointers_name_a_document(spark):
+    rows = [(4, "en", "a b c"), (3, "en", "x, a b"), (None, "en", "a b"), (2, "de", "a b")]
     phrases, _ = pm.frequent_phrases(spark.createDataFrame(rows, SCHEMA), 3)
-    found = phrases.where("n_words = 2").select("phrase", "f").collect()
-    assert [tuple(r) for r in found] == [("a b", 3)]
+    found = phrases.where("n_words = 2").select("lang", "phrase", "f", "doc_key").collect()
+    assert [tuple(r)[:3] for r in found] == [("en", "a b", 3)] and found[0].doc_key <= 3
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "en", "alone")]])
@@ -118,4 +129,4 @@ def test_fingerprints_depend_on_words_only():
     w = pm.PieceWords(data, offsets, 0, 2, text_words.Powers())
     found = pm.fingerprints(w.hash, 3, text_words.Powers())
     assert found[0] == found[5] and len(set(found.tolist())) == len(found) - 1
-    assert w.text.tolist() == [0] * 3 + [1] * 6 and w.place.tolist() == [0, 1, 2, *range(6)]
+    assert w.text.tolist() == [0] * 3 + [1] * 6

@@ -2,14 +2,18 @@
 
 Texts fall into pieces at punctuation and line ends, pieces into words. Prefix polynomials
 over the words' hashes give the fingerprint of every n-gram by one subtraction and one
-product. Fingerprints are counted by a shuffle, each with a pointer to its first occurrence;
-those found often enough are verified against the words themselves, and only these phrases
-are written out as text. All counts of the result are counts of texts, not of fingerprints.
+product. Fingerprints are counted by a shuffle, each with a pointer to a document that holds
+it. Only of those found often enough is the text looked up, by a join of the pointers with
+the documents, and checked: the words there must give the fingerprint again.
+
+A second polynomial gives every n-gram 32 bits more. Two phrases that share a fingerprint
+differ in these, are counted apart, and each gets the text at its own pointer. Phrases of one
+language that share all 96 bits would be counted as one.
 
 A phrase is found at least as often as the phrases around it, so an n-gram is sent to the
 shuffle only if the words, and for more than two words the pairs, that it consists of may be
-frequent. What is frequent is a table of bits by hash, at most ``MOST_BITS``: a bit that two
-share lets more through, and changes no count.
+frequent. What is frequent is a table of bits by hash, at most ``MOST_BITS``: hashes that
+share their bits let more through, and change no count.
 """
 
 import math
@@ -29,9 +33,13 @@ UNKNOWN = "und"
 # Bytes of text worked on at once, and rows after which a task's counts are merged; both
 # bound memory and change no result.
 SLICE_BYTES = 1 << 20
-MERGE_ROWS = 1 << 20
-# Bits of a table of frequent hashes: so many for each, and at most (32 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 15, 28
+MERGE_ROWS = 3 << 19
+# Bits of a table of frequent hashes: so many for each, at most 2^28 (32 MB) in all, and how
+# many of them a hash sets.
+BITS_EACH, LEAST_BITS, MOST_BITS, PROBES = 24, 15, 28, 3
+# Up to so many frequent phrases, the pointers (about 20 bytes each) go to the documents;
+# beyond, both are shuffled.
+BROADCAST_POINTERS = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09]] = True
@@ -44,8 +52,8 @@ _LOWER[65:91] += 32
 class PieceWords:
     """Words of a slice of texts, A-Z lower-cased.
 
-    ``piece`` numbers the pieces (equal for words of one piece only), ``text`` the texts,
-    ``place`` the words of a text, from 0; ``hash`` is of the word alone.
+    ``piece`` numbers the pieces (equal for words of one piece only), ``text`` the texts;
+    ``hash`` is of the word alone.
     """
 
     def __init__(self, data, offsets, at, to, powers):
@@ -65,7 +73,6 @@ class PieceWords:
         self.hash = mixed((sums[self.end] - sums[self.begin]) * down[self.begin])
         first = np.searchsorted(self.begin, np.r_[start, n])
         self.text = np.repeat(np.arange(to - at), np.diff(first))
-        self.place = np.arange(len(self.begin)) - np.repeat(first[:-1], np.diff(first))
         self.piece = np.cumsum(ends)[self.begin] + self.text if n else self.text
 
     def words(self) -> pa.DictionaryArray:
@@ -99,12 +106,21 @@ class Bits:
     """A table of bits: whether a hash may be among those put in."""
 
     def __init__(self, exponent, data: bytes):
-        self.shift, self.data = np.uint64(64 - exponent), data
+        self.exponent, self.data = exponent, np.frombuffer(data, np.uint8)
 
     def holds(self, hashes):
-        at = hashes >> self.shift
-        byte = np.frombuffer(self.data, np.uint8)[(at >> np.uint64(3)).astype(np.int64)]
-        return (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        out = np.ones(len(hashes), bool)
+        mask = np.uint64((1 << self.exponent) - 1)
+        for shift in _shifts(self.exponent):
+            at = (hashes >> np.uint64(shift)) & mask
+            byte = self.data[(at >> np.uint64(3)).astype(np.int64)]
+            out &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def _shifts(exponent):
+    """Where the parts of a hash begin that name its bits."""
+    return [(64 - exponent) * i // (PROBES - 1) for i in range(PROBES)]
 
 
 def frequent_bits(hashes: DataFrame) -> tuple[int, bytes]:
@@ -116,9 +132,11 @@ def frequent_bits(hashes: DataFrame) -> tuple[int, bytes]:
     count = hashes.count()
     exponent = math.ceil(math.log2(max(1, count * BITS_EACH)))
     exponent = min(max(exponent, LEAST_BITS), MOST_BITS)
-    at = F.shiftrightunsigned("fingerprint", 64 - exponent) + 1
-    found = hashes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    mask = F.lit((1 << exponent) - 1).cast("long")
+    parts = [F.shiftrightunsigned("fingerprint", s).bitwiseAND(mask) + 1 for s in _shifts(exponent)]
+    at = hashes.select(F.explode(F.array(*parts)).alias("at"))
+    found = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
     )
     table = bytearray(max(1 << exponent, 1 << 15) // 8)
     for row in found.collect():
@@ -127,52 +145,49 @@ def frequent_bits(hashes: DataFrame) -> tuple[int, bytes]:
     return exponent, bytes(table)
 
 
-def _merged(tables, keys, sums, firsts=()):
-    """Rows with equal keys as one: sums added, ``firsts`` taken from the first row."""
+def _merged(tables, keys, merges):
+    """Rows with equal keys as one; ``merges`` (column, how) of the others."""
     table = pa.concat_tables(tables)
-    wanted = [(c, "sum") for c in sums] + [(c, "first") for c in firsts]
-    # The first of a group is defined when one thread reads the rows in order.
-    out = table.group_by(keys, use_threads=False).aggregate(wanted)
-    names = {f"{c}_{how}": c for c, how in wanted}
-    return out.rename_columns([names.get(c, c) for c in out.column_names]).select(
-        table.column_names
-    )
+    out = table.group_by(keys).aggregate(merges)
+    names = {f"{c}_{how}": c for c, how in merges}
+    out = out.rename_columns([names.get(c, c) for c in out.column_names])
+    return out.select(table.column_names)
 
 
-def _map_slices(docs, schema, rows_of, keys, sums, firsts=()):
-    """``rows_of(words, langs, ids, powers)`` over all slices of the documents, merged by
-    ``keys`` in each task. ``langs`` are the texts' languages, ``ids`` their documents."""
+def _map_slices(docs, schema, rows_of, keys, merges):
+    """``rows_of(words, batch, powers)`` over all slices of the documents, merged by ``keys``
+    in each task. ``batch`` holds the columns of the slice's documents, the text last."""
 
     def run(batches):
         powers, held, size = Powers(), [], 0
-        names = None
         for batch in batches:
-            ids, langs, texts = batch.columns
-            langs = langs.cast(pa.string()).fill_null(UNKNOWN)
-            data, offsets = text_bytes(texts)
+            data, offsets = text_bytes(batch.columns[-1])
             for at, to in slices(offsets, SLICE_BYTES):
                 words = PieceWords(data, offsets, at, to, powers)
-                for table in rows_of(words, langs[at:to], ids[at:to], powers):
-                    names = table.schema
+                for table in rows_of(words, batch.slice(at, to - at), powers):
                     held.append(table)
                     size += len(table)
                 if size > MERGE_ROWS:
-                    held = [_merged(held, keys, sums, firsts)]
+                    held = [_merged(held, keys, merges)]
                     size = len(held[0])
-                    if size > MERGE_ROWS // 2:
-                        yield from held[0].cast(names).to_batches()
+                    if size > MERGE_ROWS * 3 // 4:
+                        yield from held[0].to_batches()
                         held, size = [], 0
         if held:
-            yield from _merged(held, keys, sums, firsts).cast(names).to_batches()
+            yield from _merged(held, keys, merges).to_batches()
 
     return docs.mapInArrow(tidy(run), schema)
 
 
+def _langs(batch):
+    return batch.column("lang").cast(pa.string()).fill_null(UNKNOWN)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
-    """(lang, word, f) over (doc_id, lang, text)."""
+    """(lang, word, f) over (doc_key, lang, text)."""
 
-    def rows_of(words, langs, ids, powers):
-        encoded, lang_code = words.words(), langs.dictionary_encode()
+    def rows_of(words, batch, powers):
+        encoded, lang_code = words.words(), _langs(batch).dictionary_encode()
         n_langs = max(len(lang_code.dictionary), 1)
         lang = lang_code.indices.to_numpy(zero_copy_only=False)[words.text]
         keys = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n_langs + lang
@@ -185,7 +200,8 @@ def count_words(docs: DataFrame) -> DataFrame:
             }
         )
 
-    partial = _map_slices(docs, "lang string, word string, f long", rows_of, ["lang", "word"], ["f"])
+    schema, keys = "lang string, word string, f long", ["lang", "word"]
+    partial = _map_slices(docs, schema, rows_of, keys, [("f", "sum")])
     return partial.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
@@ -216,136 +232,117 @@ def word_hashes(words: DataFrame) -> DataFrame:
     return words.select("lang", "word").mapInArrow(run, "fingerprint long")
 
 
+def _both(hashes, size, at, powers):
+    """Fingerprints and second polynomials of the n-grams whose first words are ``at``."""
+    second = fingerprints(mixed(hashes, 2), size, powers)[at] >> np.uint64(32)
+    return fingerprints(hashes, size, powers)[at], second.astype(np.uint32).view(np.int32)
+
+
 def _hopeful(words, lang_hash, word_bits, pair_bits, powers):
-    """(size, first words, fingerprints) of the n-grams that may be frequent.
+    """(size, first words) of the n-grams that may be frequent.
 
     Without ``pair_bits`` these are pairs of frequent words; with them, longer n-grams of
     frequent pairs.
     """
     sound = word_bits.holds(_word_keys(words.hash, lang_hash))
-    pair = (words.piece[:-1] == words.piece[1:]) & sound[:-1] & sound[1:]
-    hashes = words.hash + lang_hash
-    if pair_bits is None:
-        at = np.flatnonzero(pair)
-        yield 2, at, fingerprints(hashes, 2, powers)[at] if len(at) else hashes[:0]
-        return
+    run = pair = (words.piece[:-1] == words.piece[1:]) & sound[:-1] & sound[1:]
     at = np.flatnonzero(pair)
-    if not len(at):
+    if pair_bits is None or not len(at):
+        yield 2, at
         return
-    pair[at] = pair_bits.holds(fingerprints(hashes, 2, powers)[at])
-    run = pair
+    pair[at] = pair_bits.holds(fingerprints(words.hash + lang_hash, 2, powers)[at])
     for size in range(3, MOST_WORDS + 1):
         run = run[:-1] & pair[size - 2 :]
-        at = np.flatnonzero(run)
-        if not len(at):
-            return
-        yield size, at, fingerprints(hashes, size, powers)[at]
+        yield size, np.flatnonzero(run)
 
 
 def count_fingerprints(docs: DataFrame, word_table, pair_table=None) -> DataFrame:
-    """(fingerprint, f, doc_id, place): count and an occurrence of each n-gram that may be
-    frequent, by language. ``place`` is the number of its first word in the text."""
-    context = docs.sparkSession.sparkContext
-    tables = context.broadcast((word_table, pair_table))
+    """(fingerprint, second, f, doc_key): count of each n-gram that may be frequent, by
+    language, and a document that holds it; of (doc_key, lang, text)."""
+    tables = docs.sparkSession.sparkContext.broadcast((word_table, pair_table))
 
-    def rows_of(words, langs, ids, powers):
+    def rows_of(words, batch, powers):
         word_bits, pair_bits = (t and Bits(*t) for t in tables.value)
-        lang_hash = _lang_hashes(words, langs)
-        for _, at, found in _hopeful(words, lang_hash, word_bits, pair_bits, powers):
-            found, first, f = np.unique(found, return_index=True, return_counts=True)
-            at = at[first]
+        lang_hash = _lang_hashes(words, _langs(batch))
+        for size, at in _hopeful(words, lang_hash, word_bits, pair_bits, powers):
+            if not len(at):
+                continue
+            found, second = _both(words.hash + lang_hash, size, at, powers)
             yield pa.table(
                 {
                     "fingerprint": pa.array(found.view(np.int64)),
-                    "f": pa.array(f, pa.int64()),
-                    "doc_id": ids.take(pa.array(words.text[at])).cast(pa.int64()),
-                    "place": pa.array(words.place[at], pa.int64()),
+                    "second": pa.array(second),
+                    "f": pa.array(np.ones(len(at), np.int64)),
+                    "doc_key": batch.column("doc_key").take(pa.array(words.text[at])),
                 }
-            )
+            ).combine_chunks()
 
-    schema = "fingerprint long, f long, doc_id long, place long"
-    partial = _map_slices(
-        docs, schema, rows_of, ["fingerprint"], ["f"], ["doc_id", "place"]
-    )
-    pointer = F.min(F.struct("doc_id", "place"))
-    counted = partial.groupBy("fingerprint").agg(F.sum("f").alias("f"), pointer.alias("at"))
-    return counted.select("fingerprint", "f", "at.doc_id", "at.place")
+    schema = "fingerprint long, second int, f long, doc_key long"
+    keys = ["fingerprint", "second"]
+    partial = _map_slices(docs, schema, rows_of, keys, [("f", "sum"), ("doc_key", "min")])
+    return partial.groupBy(*keys).agg(F.sum("f").alias("f"), F.min("doc_key").alias("doc_key"))
 
 
-def _exact_groups(codes, first_guess):
-    """Index of a representative for each row of ``codes`` (word numbers of an n-gram).
+def materialise(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(lang, phrase, n_words, f, doc_key) of rows (fingerprint, second, f, doc_key).
 
-    Rows of one guess (a fingerprint's group) that differ from its first row are grouped
-    among themselves, so a collision becomes two groups.
+    The words of the documents pointed to must give both numbers again. A document is asked
+    for no more phrases than it holds, so no row of the join is without bound.
     """
-    _, first, group = np.unique(first_guess, return_index=True, return_inverse=True)
-    leader = first[group]
-    other = np.flatnonzero((codes != codes[leader]).any(axis=1))
-    if len(other):
-        _, own, which = np.unique(codes[other], axis=0, return_index=True, return_inverse=True)
-        leader[other] = other[own[which.ravel()]]
-    return leader
-
-
-def verify(docs: DataFrame, word_table, pair_table, table) -> DataFrame:
-    """(lang, phrase, n_words, f, doc_id, place) of all n-grams whose fingerprint is in
-    ``table``, counted by their words."""
-    tables = docs.sparkSession.sparkContext.broadcast((word_table, pair_table, table))
-
-    def rows_of(words, langs, ids, powers):
-        word_bits, pair_bits, bits = (Bits(*t) for t in tables.value)
-        lang_hash = _lang_hashes(words, langs)
-        grams = [
-            *_hopeful(words, lang_hash, word_bits, None, powers),
-            *_hopeful(words, lang_hash, word_bits, pair_bits, powers),
-        ]
-        encoded = lang = None
-        for size, at, found in grams:
-            keep = np.flatnonzero(bits.holds(found)) if len(at) else at
+    asked = found.groupBy("doc_key").agg(F.collect_list("fingerprint").alias("asked"))
+    if found.count() <= BROADCAST_POINTERS:
+        asked = F.broadcast(asked)
+    pointed = docs.join(asked, "doc_key").select("asked", "lang", "text")
+
+    def rows_of(words, batch, powers):
+        wanted = np.unique(batch.column("asked").flatten().to_numpy(zero_copy_only=False))
+        wanted = np.sort(wanted.view(np.uint64))
+        langs = _langs(batch)
+        hashes = words.hash + _lang_hashes(words, langs)
+        encoded = words.words()
+        code = encoded.indices.to_numpy(zero_copy_only=False)
+        for size in range(2, MOST_WORDS + 1):
+            at = np.flatnonzero(words.piece[: 1 - size] == words.piece[size - 1 :])
+            if not len(at):
+                return
+            numbers, second = _both(hashes, size, at, powers)
+            place = np.searchsorted(wanted, numbers).clip(max=len(wanted) - 1)
+            keep = np.flatnonzero(wanted[place] == numbers)
             if not len(keep):
                 continue
-            if encoded is None:
-                encoded = words.words()
-                code = encoded.indices.to_numpy(zero_copy_only=False)
-                lang_code = langs.dictionary_encode()
-                lang = lang_code.indices.to_numpy(zero_copy_only=False)[words.text]
-            at, found = at[keep], found[keep]
-            codes = np.column_stack([lang[at], *(code[at + k] for k in range(size))])
-            leaders, f = np.unique(_exact_groups(codes, found), return_counts=True)
-            parts = [encoded.dictionary.take(pa.array(codes[leaders, k + 1])) for k in range(size)]
+            at = at[keep]
+            parts = [encoded.dictionary.take(pa.array(code[at + k])) for k in range(size)]
             phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-            at = at[leaders]
             yield pa.table(
                 {
-                    "lang": lang_code.dictionary.take(pa.array(codes[leaders, 0])),
+                    "fingerprint": pa.array(numbers[keep].view(np.int64)),
+                    "second": pa.array(second[keep]),
+                    "lang": langs.take(pa.array(words.text[at])),
                     "phrase": phrase.cast(pa.string()),
                     "n_words": pa.array(np.full(len(at), size), pa.int64()),
-                    "f": pa.array(f, pa.int64()),
-                    "doc_id": ids.take(pa.array(words.text[at])).cast(pa.int64()),
-                    "place": pa.array(words.place[at], pa.int64()),
                 }
             )
 
-    schema = "lang string, phrase string, n_words long, f long, doc_id long, place long"
-    keys = ["lang", "phrase", "n_words"]
-    partial = _map_slices(docs, schema, rows_of, keys, ["f"], ["doc_id", "place"])
-    counted = partial.groupBy(*keys).agg(
-        F.sum("f").alias("f"), F.min(F.struct("doc_id", "place")).alias("at")
-    )
-    return counted.select(*keys, "f", "at.doc_id", "at.place")
+    keys = ["fingerprint", "second"]
+    schema = "fingerprint long, second int, lang string, phrase string, n_words long"
+    rest = ["lang", "phrase", "n_words"]
+    merges = [(c, "min") for c in rest]
+    texts = _map_slices(pointed, schema, rows_of, keys, merges)
+    texts = texts.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest])
+    return found.join(texts, keys).select(*rest, "f", "doc_key")
 
 
 def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to 5 words found ``least`` times or more, and the words of each language.
 
-    The first table is (lang, phrase, n_words, f, doc_id, place), the second (lang, n). Null
-    texts are empty, a null language is ``und``. A null id takes part; pointers to texts with
-    an id come after it. Tables that are read again are written, so a lost executor costs
-    only its own tasks.
+    The first table is (lang, phrase, n_words, f, doc_key), the second (lang, n). ``doc_key``
+    points to a document: its id, or a hash of the text where that is null; words have none.
+    Null texts are empty, a null language is ``und``; repeated rows and ids count as often as
+    they occur. Tables that are read again are written, so a lost executor costs only its own
+    tasks.
     """
-    plain = docs.select(
-        F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")
-    )
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    plain = docs.select(key.alias("doc_key"), F.col("lang").cast("string"), F.col("text").cast("string"))
     words = write_once(count_words(plain), "phrase-words")
     often = words.where(F.col("f") >= least)
     word_table = frequent_bits(word_hashes(often))
@@ -355,17 +352,14 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
         return write_once(found, label)
 
     pairs = counted("phrase-pairs", word_table)
-    pair_table = frequent_bits(pairs)
-    longer = counted("phrase-longer", word_table, pair_table)
-    table = frequent_bits(pairs.select("fingerprint").union(longer.select("fingerprint")))
-    phrases = verify(plain, word_table, pair_table, table).where(F.col("f") >= least)
+    longer = counted("phrase-longer", word_table, frequent_bits(pairs))
+    phrases = materialise(plain, pairs.union(longer))
     single = often.select(
         "lang",
         F.col("word").alias("phrase"),
         F.lit(1).cast("long").alias("n_words"),
         "f",
-        F.lit(None).cast("long").alias("doc_id"),
-        F.lit(None).cast("long").alias("place"),
+        F.lit(None).cast("long").alias("doc_key"),
     )
     phrases = write_once(phrases.unionByName(single), "phrases")
     return phrases, words.groupBy("lang").agg(F.sum("f").alias("n"))
