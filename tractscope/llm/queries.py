@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tractscope.llm import (
+    class_lm,
     feistel_shards,
     html_extract,
     jaccard_join,
@@ -432,3 +433,9 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
     SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
     FROM kept) WHERE rank <= 2000
 """
+
+
+@query
+def op13_class_lm(spark, sf_dir):
+    """Every document scored by a class model learnt from those that are not held out."""
+    return class_lm.document_scores(table(spark, sf_dir, "documents"))
