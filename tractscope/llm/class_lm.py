@@ -28,12 +28,12 @@ from tractscope.session import write_once
 # Units that words may be of their own, and units of endings. Classes that units move between.
 MOST_UNITS, ENDINGS, CLASSES = 6_000, 1_024, 128
 # Words whose counts go to the tasks (about 40 bytes each); the rest is joined.
-MOST_SENT = 200_000
+MOST_SENT = 100_000
 ROUNDS = 14
 # Weight of a class's overall share among the classes that follow another.
 SHARE = 2.0
-SLICE_BYTES = 1 << 20
-MERGE_ROWS = 1 << 20
+SLICE_BYTES = 1 << 19
+MERGE_ROWS = 3 << 18
 SCORES = "n_tokens long, n_known long, base_score double, score double"
 
 
@@ -84,7 +84,8 @@ def _slices(texts, powers):
 
 
 def _summed(tables, keys, value):
-    found = pa.concat_tables(tables).group_by(keys).aggregate([(value, "sum")])
+    # One thread: each further one would hold a table of groups of its own.
+    found = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(value, "sum")])
     return found.rename_columns([*keys, value])
 
 
@@ -244,7 +245,7 @@ def class_pairs(near: DataFrame, unit_class: np.ndarray) -> np.ndarray:
             [pa.array(at), pa.array(found.ravel()[at].astype(np.int64))], ["pair", "n"]
         )
 
-    rows = near.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = near.mapInArrow(tidy(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     out = np.zeros(n_classes * n_classes)
     for row in rows.collect():
         out[row.pair] = row.n
@@ -334,7 +335,7 @@ def exchange(near: DataFrame, n_units: int, rounds: int = ROUNDS, classes: int =
                 )
 
         unit_class = unit_class.copy()
-        for row in near.mapInArrow(run, "unit int, to int").collect():
+        for row in near.mapInArrow(tidy(run), "unit int, to int").collect():
             unit_class[row.unit] = row.to
     return best[1]
 
@@ -387,7 +388,7 @@ def class_sizes(words: DataFrame, own: list[str], unit_class) -> np.ndarray:
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["class", "n"])
 
-    rows = words.mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    rows = words.mapInArrow(tidy(run), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
     out = np.ones(int(unit_class.max()) + 1)
     for row in rows.collect():
         out[row["class"]] += row.n
