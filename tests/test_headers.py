@@ -1,0 +1,113 @@
+"""Header lines as Spark's own reader takes them, and lines that do not parse."""
+
+import time
+
+import pytest
+
+from test_sources import put
+from tractscope.catalog import default_catalog
+from tractscope.sources import headers
+from tractscope.sources.files import read_csv_header, read_delimited, read_delimited_checked
+from tractscope.sources.loans import read_loans
+
+
+def rows(frame):
+    return [tuple(row) for row in frame.collect()]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a,b,\n1,2,\n3,4,5\n",
+        "a,a,b\n1,2,3\n",
+        "Date,date\n1,2\n",
+        ",,\n1,2,3\n",
+        "﻿a,b\n1,2\n",
+        "\n  \na,b\r\n1,2\r\n",
+        '"a,x","b ""q"""\n1,2\n',
+        "a.b,`c`,d e\n1,2,3\n",
+        "a\n1\n2\n",
+        "a,b\n",
+        "a,b\n1\n1,2,3\n",
+    ],
+    ids=["trailing", "repeated", "case", "empty", "mark", "blank lines", "quoted", "odd", "one",
+         "no rows", "ragged"],
+)
+def test_as_sparks_reader(spark, tmp_path, text):
+    path = put(tmp_path, "a.csv", text)
+    plain = spark.read.option("header", True).csv(path)
+    found = read_csv_header(spark, path)
+    assert found.columns == plain.columns
+    assert rows(found) == rows(plain)
+
+
+def test_repeated_names_in_another_order(spark, tmp_path):
+    put(tmp_path, "a.csv", "x,a,y,A,\n1,2,3,4,\n")
+    put(tmp_path, "b c.csv", "y,a,x,A,\n30,20,10,40,50\n")
+    found = read_csv_header(spark, str(tmp_path))
+    got = sorted((r.x, r.y, r.a1, r.A3, r._c4) for r in found.collect())
+    assert got == [("1", "3", "2", "4", None), ("10", "30", "20", "40", "50")]
+
+
+def test_two_thousand_files(spark, tmp_path):
+    """Planning takes no job per file; every file's order of columns counts."""
+    for i in range(2000):
+        put(tmp_path, f"d{i % 7}/{i}.csv", f"a,b\n{i},x\n" if i % 3 else f"b,a\nx,{i}\n")
+    started = time.perf_counter()
+    found = read_csv_header(spark, f"{tmp_path}/*")
+    planned = time.perf_counter() - started
+    assert sorted(int(r.a) for r in found.collect()) == list(range(2000))
+    assert {r.b for r in found.select("b").distinct().collect()} == {"x"}
+    assert planned < 30
+
+
+def test_a_file_of_several_splits(spark, tmp_path):
+    """Only the first block of a file is asked for its header."""
+    path = put(tmp_path, "big.csv", "n,m\n" + "\n".join(f"{i},y" for i in range(20_000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        census = headers.header_census(spark, path)
+        assert [r.line for r in census.collect()] == ["n,m"]
+        assert read_csv_header(spark, path).selectExpr("sum(cast(n as int))").first()[0] == 199990000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_too_many_header_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(headers, "MOST_HEADERS", 1)
+    put(tmp_path, "a.csv", "a,b\n1,2\n")
+    put(tmp_path, "b.csv", "b,a\n1,2\n")
+    with pytest.raises(ValueError, match="more than 1 different"):
+        read_csv_header(spark, str(tmp_path))
+
+
+def test_without_any_header(spark, tmp_path):
+    put(tmp_path, "a.csv", "")
+    assert read_csv_header(spark, str(tmp_path)).columns == []
+    assert rows(read_delimited_checked(spark, str(tmp_path))[1]) == []
+
+
+def test_quarantine(spark, tmp_path):
+    put(tmp_path, "a.csv", 'a,b,c\n1,2,3\n1,2\n1,2,3,4\n"x,y",2,3\n"open,2,3\n\n')
+    put(tmp_path, "b.csv", "c,a,b\n30,10,20\n,,\n9\n")
+    good, bad = read_delimited_checked(spark, str(tmp_path))
+    plain = read_csv_header(spark, str(tmp_path))
+    assert sorted(rows(good), key=str) == sorted(rows(plain.select(*good.columns)), key=str)
+    found = {(r.file.rpartition("/")[2], r.line, r.reason) for r in bad.collect()}
+    assert found == {
+        ("a.csv", "1,2", "short"), ("a.csv", "1,2,3,4", "long"), ("a.csv", '"open,2,3', "quote"),
+        ("b.csv", "9", "short"),
+    }
+
+
+def test_other_delimiters(spark, tmp_path):
+    path = put(tmp_path, "a.txt", "a|b|\n1|2|3\n4|5\n")
+    assert read_delimited(spark, path).columns == ["a", "b", "_c2"]
+    _, bad = read_delimited_checked(spark, path, "|")
+    assert [(r.line, r.reason) for r in bad.collect()] == [("4|5", "short")]
+
+
+@pytest.mark.parametrize("years", [[], [2016], [2016, 2031]])
+def test_years_without_a_folder(spark, tmp_path, years):
+    assert read_loans(spark, default_catalog(), f"{tmp_path}/", years).count() == 0

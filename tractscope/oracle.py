@@ -365,6 +365,18 @@ ORACLE = {
         INCIDENTS,
         "SELECT city, version, date, category, longitude, latitude FROM incidents_all",
     ),
+    "src_odd_headers": _sql(
+        INCIDENTS,
+        """SELECT city, version AS kind1, date, category AS "Kind3", longitude, latitude,
+               CAST(NULL AS VARCHAR) AS _c6 FROM incidents_all""",
+    ),
+    "src_rejects": _sql(
+        INCIDENTS,
+        """SELECT CASE WHEN longitude IS NULL THEN city || ',' || date
+               ELSE concat_ws(',', city, date, category, latitude, longitude, 'x') END AS line,
+               CASE WHEN longitude IS NULL THEN 'short' ELSE 'long' END AS reason
+        FROM incidents_all WHERE longitude IS NULL OR category = 'AF'""",
+    ),
     "src_csv_schema": _sql(
         INCIDENTS,
         """SELECT city, category, date,

@@ -19,6 +19,7 @@ from tractscope.sources.files import (
     read_csv_header,
     read_csv_schema,
     read_delimited,
+    read_delimited_checked,
     year_paths,
 )
 from tractscope.sources.incidents import read_incidents
@@ -305,6 +306,47 @@ def src_csv_header(spark, sf_dir):
     return read_csv_header(spark, path)
 
 
+def _write_lines(lines, header, path):
+    """Lines of text as they are below a header line, in CSV files."""
+    raw = {"header": True, "quote": "", "sep": "\u0001"}
+    lines.toDF(header).write.mode("append").options(**raw).csv(path)
+
+
+def _line(*fields):
+    return F.concat_ws(",", *(F.coalesce(F.col(f), F.lit("")) for f in fields))
+
+
+@query
+def src_odd_headers(spark, sf_dir):
+    """Headers that repeat a name and end in a comma, in files of two column orders."""
+    path = new_table_path(spark, "odd-headers")
+    raw = fx.incidents_raw(spark, sf_dir)
+    rest = ["category", "longitude", "latitude"]
+    for some, columns, header in (
+        (F.col("city") == "SF", ["city", "version", "date"], "city,kind,date"),
+        (F.col("city") != "SF", ["date", "version", "city"], "date,kind,city"),
+    ):
+        lines = raw.where(some).select(F.concat(_line(*columns, *rest), F.lit(",")))
+        _write_lines(lines, f"{header},Kind,longitude,latitude,", path)
+    return read_csv_header(spark, path)
+
+
+@query
+def src_rejects(spark, sf_dir):
+    """Lines that do not parse: those of unlocated reports end early, some have a field more."""
+    path = new_table_path(spark, "rejects")
+    raw = fx.incidents_raw(spark, sf_dir)
+    full = _line("city", "date", "category", "latitude", "longitude")
+    lines = raw.select(
+        F.when(F.col("longitude").isNull(), _line("city", "date"))
+        .when(F.col("category") == "AF", F.concat(full, F.lit(",x")))
+        .otherwise(full)
+    )
+    _write_lines(lines, "city,date,category,latitude,longitude", path)
+    _, rejects = read_delimited_checked(spark, path)
+    return rejects.select("line", "reason")
+
+
 @query
 def src_csv_schema(spark, sf_dir):
     """Headerless rows; those of unlocated reports end early and get nulls."""

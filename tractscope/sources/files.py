@@ -1,15 +1,9 @@
 """Delimited text, XML and year folders. No source infers types: texts stay texts."""
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from urllib.parse import unquote
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
-
 
-def text_schema(columns) -> StructType:
-    return StructType([StructField(name, StringType()) for name in columns])
+from tractscope.sources.headers import read_by_header, read_checked, text_schema
 
 
 def read_csv_header(spark: SparkSession, path, columns=None) -> DataFrame:
@@ -25,46 +19,27 @@ def read_csv_schema(spark: SparkSession, path, schema) -> DataFrame:
 def read_delimited(spark: SparkSession, path, delimiter="|", columns=None) -> DataFrame:
     """Delimited text with a header line; every column is a string, ``06075`` included.
 
-    The header of every file is read first. Files with the same columns in another order
-    are read by their own header, and rows meet by column name; files with other columns are
-    an error. With ``columns`` given, no header is read up front, and a file with another
-    header fails when it is read.
+    The header lines of all files are read first, in one scan. Files with the same columns in
+    another order are read by their own header, and rows meet by column name; files with other
+    columns are an error. Names that are left out or repeated are completed as Spark's reader
+    does. With ``columns`` given, no header is read up front, and a file with another header
+    fails when it is read.
     """
     reader = spark.read.option("header", True).option("sep", delimiter)
     if columns is not None:
         return reader.schema(text_schema(columns)).option("enforceSchema", False).csv(path)
-    groups = _files_by_header(spark, path, delimiter)
-    names = sorted(next(iter(groups), ()))
-    for header, files in groups.items():
-        if sorted(header) != names:
-            raise ValueError(f"{files[0]} has other columns: {header} instead of {names}")
-    parts = [
-        spark.read.option("header", True)
-        .option("sep", delimiter)
-        .schema(text_schema(header))
-        .option("enforceSchema", False)
-        .csv(files)
-        for header, files in groups.items()
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else reader.csv(path)
-
-
-def _files_by_header(spark: SparkSession, path, delimiter) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files. Listing files is the driver's work anyway; of each file one line is
-    read, a few files at a time."""
-    files = [unquote(file) for file in sorted(spark.read.text(path).inputFiles())]
-
-    def header(file):
-        one = spark.read.option("header", True).option("sep", delimiter).csv(file)
-        return tuple(one.columns)
-
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(header, files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, found in zip(files, headers, strict=True):
-        if found:  # a file without a line has no rows either
-            groups.setdefault(found, []).append(file)
-    return groups
+    rows = read_by_header(spark, path, delimiter)
+    return reader.csv(path) if rows is None else rows
+
+
+def read_delimited_checked(spark: SparkSession, path, delimiter=",") -> tuple[DataFrame, DataFrame]:
+    """The rows as above, and (file, line, reason) of those that do not parse."""
+    return read_checked(spark, path, delimiter)
+
+
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed only because there is nothing at the path."""
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_xml_rows(spark: SparkSession, path, row_tag, schema, root_tag="rows") -> DataFrame:
@@ -76,3 +51,8 @@ def read_xml_rows(spark: SparkSession, path, row_tag, schema, root_tag="rows") -
 def year_paths(prefix: str, years) -> list[str]:
     """All files in the folders ``<prefix><year>``."""
     return [f"{prefix}{year}/*" for year in years]
+
+
+def years_glob(prefix: str, years) -> str:
+    """The same as one pattern; folders that do not exist match nothing."""
+    return f"{prefix}{{{','.join(str(year) for year in years)}}}/*"
