@@ -142,18 +142,20 @@ def test_a_period_that_loses_its_rows_leaves_none(spark, raw, tmp_path):
 
 def test_raw_files_are_landed_once(spark, raw, tmp_path, monkeypatch):
     out, read = str(tmp_path / "out"), []
-    real = job.read_incident_version
-    monkeypatch.setattr(
-        job, "read_incident_version", lambda *given: read.append(given[1].key) or real(*given)
-    )
+    real = job.land_incidents
+
+    def landed(*given):
+        read.extend(path.rpartition("/")[2] for path in real(*given))
+
+    monkeypatch.setattr(job, "land_incidents", landed)
     job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=False)
-    assert sorted(read) == ["LA", "SF", "SF"]
+    assert sorted(read) == ["LA_v1.csv", "SF_v1.csv", "SF_v2.csv"]
     job.refresh(spark, default_catalog(), raw, out, 2018, 2, with_loans=False)
     assert len(read) == 3
     path = next((tmp_path / "incidents").glob("LA*"))
     path.write_text(path.read_text() + "\n")
     job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=False)
-    assert sorted(read) == ["LA", "LA", "SF", "SF"]
+    assert sorted(read) == ["LA_v1.csv", "LA_v1.csv", "SF_v1.csv", "SF_v2.csv"]
 
 
 def test_profile_without_loans(spark, raw, tmp_path):

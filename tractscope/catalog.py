@@ -124,6 +124,30 @@ class Catalog:
         names += ["longitude_column", "latitude_column", "is_latest"]
         return dimension(spark, names, rows)
 
+    def incident_files(self, spark: SparkSession) -> DataFrame:
+        """One row per city and file version: the file or folder of its reports."""
+        rows = [
+            (layout.file, city.key, version)
+            for city in self.cities.values()
+            for version, layout in city.incident_layouts.items()
+        ]
+        if len({row[0] for row in rows}) != len(rows):
+            raise ValueError("two sources share a file")
+        return dimension(spark, ["source_file", "city", "version"], rows)
+
+    def incident_years_dim(self, spark: SparkSession) -> DataFrame:
+        """One row per city and file version: the years it is the source of, or, for the
+        latest version, those that it is not."""
+        rows = []
+        for city in self.cities.values():
+            of = city.incident_versions
+            years = {v: list(range(first, last + 1)) for v, (first, last) in of.ranges.items()}
+            for version in city.incident_layouts:
+                latest = version == of.latest
+                others = [y for v, ys in years.items() if v != version for y in ys]
+                rows.append((city.key, version, latest, others if latest else years.get(version, [])))
+        return dimension(spark, ["city", "version", "is_latest", "listed_years"], rows)
+
     def date_formats(self) -> list[str]:
         """The distinct date patterns of all incident files."""
         layouts = [x for city in self.cities.values() for x in city.incident_layouts.values()]
@@ -143,7 +167,10 @@ def dimension(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataF
     """
     if not rows:
         raise ValueError("a dimension without rows")
-    columns = [pa.array(column) for column in zip(*rows, strict=True)]
+    columns = [
+        pa.array(column, pa.list_(pa.int32()) if isinstance(column[0], list) else None)
+        for column in zip(*rows, strict=True)
+    ]
     table = spark.createDataFrame(pa.table(columns, names=names))
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 

@@ -403,6 +403,17 @@ ORACLE = {
     ),
     "loan_files_every_year": _sql(LOANS, f"SELECT {CITY_LOAN_COLUMNS} FROM loans_eligible"),
     "src_versioned_union": _sql(INCIDENTS, "SELECT * FROM incidents_clean"),
+    # Both files of SF have the reports of two years.
+    "incident_ledger": _sql(
+        INCIDENTS,
+        """SELECT city, f.version, CASE category WHEN 'AF' THEN 2::BIGINT ELSE 1::BIGINT END AS landing,
+               count(*) AS row_count, 0::BIGINT AS reject_count
+        FROM incidents_all i JOIN (VALUES ('SF', 'v1'), ('SF', 'v2'), ('LA', 'v1')) f(c, version)
+          ON i.city = c AND CASE WHEN c = 'LA' THEN true WHEN f.version = 'v1' THEN year <= 1998
+                            ELSE year >= 1997 END
+        GROUP BY ALL""",
+    ),
+    "incident_landed": _sql(INCIDENTS, "SELECT * FROM incidents_clean WHERE category <> 'AF'"),
     "src_catalog_dim": _sql(
         INCIDENTS,
         """, sources(city, version, date_format, date_column, category_column, longitude_column,

@@ -32,7 +32,9 @@ def with_day(reports: DataFrame, catalog: Catalog, name: str = "day") -> DataFra
     )
 
 
-def clean_incidents(reports: DataFrame, date: Column, year=None, month=None) -> DataFrame:
+def clean_incidents(
+    reports: DataFrame, date: Column, year=None, month=None, keep=()
+) -> DataFrame:
     """Located reports with year and month of ``date``; an unreadable date leaves nulls.
 
     A period is tested on the date as a whole: the test is pushed down to the raw rows,
@@ -45,7 +47,7 @@ def clean_incidents(reports: DataFrame, date: Column, year=None, month=None) ->
         first = datetime.date(int(year), int(month) if is_given(month) else 1, 1)
         dated = dated.where(F.trunc("_day", unit) == F.lit(first))
     return dated.withColumns({"year": F.year("_day"), "month": F.month("_day")}).select(
-        *INCIDENT_COLUMNS
+        *INCIDENT_COLUMNS, *keep
     )
 
 

@@ -1,20 +1,20 @@
 """The periodic job: sources of one period into tables, all cities in one pass.
 
-Raw incident files are landed once, as clean Parquet by city, file version, year and month,
-and read again only when they change; a period is then a few partitions of what has
-landed. Every mart is computed from clean tables, so a lost executor or a rerun costs a
+Raw incident files are landed once (``plans/landing.py``), as clean Parquet by city, file
+version, year and month, and read again only when they change; a period is then a few
+partitions of what has landed. Every mart is computed from clean tables, so a lost executor or a rerun costs a
 small read, not the raw files again.
 """
 
 import argparse
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, SparkSession, functions as F
 
 from tractscope.catalog import Catalog, default_catalog
 from tractscope.operators.tract_index import TractIndex, stored_tract_index
 from tractscope.plans import incidents, loans, profile, schools
+from tractscope.plans.landing import INCIDENT_SCHEMA, land_incidents, read_landed
 from tractscope.sinks.jdbc import replace_table
 from tractscope.sinks.tables import (
     INCIDENT_PARTITIONS,
@@ -24,16 +24,9 @@ from tractscope.sinks.tables import (
     write_incidents,
     write_loans,
 )
-from tractscope.sources.incidents import read_incident_version
 from tractscope.sources.loans import read_loans
 from tractscope.sources.schools import read_schools
 
-INCIDENT_SCHEMA = (
-    "city string, year int, month int, date string, category string, "
-    "latitude string, longitude string"
-)
-LANDED_SCHEMA = INCIDENT_SCHEMA + ", version string"
-LANDED_PARTITIONS = ["city", "version", "year", "month"]
 LOAN_SCHEMA = (
     "city string, activity_year int, loan_amount double, census_tract string, income string, "
     "tract_population int, tract_owner_occupied_units int, tract_one_to_four_family_homes int"
@@ -90,46 +83,6 @@ def refresh_loans(spark: SparkSession, catalog: Catalog, root: str, out: str, ye
     replace_partitions(ranks, f"{out}/loan_ranks", LOAN_PARTITIONS, owned=in_year)
 
 
-def _state_of(spark: SparkSession, path: str) -> str:
-    """Names, sizes and times of a source's files; their content is not read."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
-    return json.dumps(sorted([r.path, r.length, str(r.modificationTime)] for r in files.collect()))
-
-
-def _landed_state(spark: SparkSession, path: str) -> str | None:
-    try:
-        return spark.read.schema("state string").json(path).first().state
-    except AnalysisException:
-        return None
-
-
-def land_incidents(spark: SparkSession, catalog: Catalog, root: str, out: str) -> list[tuple]:
-    """Land the incident files that are new or have changed, whole; returns which.
-
-    What a source's files were when they landed is noted last, so that a run that fails
-    lands them again.
-    """
-    landed = []
-    for city in catalog.cities.values():
-        for version, layout in city.incident_layouts.items():
-            state = _state_of(spark, root + layout.file)
-            note = f"{out}/landed_files/city={city.key}/version={version}"
-            if state == _landed_state(spark, note):
-                continue
-            reports = read_incident_version(spark, city, version, root)
-            mine = (F.col("city") == city.key) & (F.col("version") == version)
-            replace_partitions(
-                reports.withColumn("version", F.lit(version)),
-                f"{out}/landed_incidents",
-                LANDED_PARTITIONS,
-                owned=mine,
-            )
-            noted = spark.range(1, numPartitions=1).select(F.lit(state).alias("state"))
-            noted.write.mode("overwrite").json(note)
-            landed.append((city.key, version))
-    return landed
-
-
 def _in_run(catalog: Catalog, year, month=None) -> Column:
     """The partitions a run answers for: its cities and its period."""
     mine = F.col("city").isin(list(catalog.cities))
@@ -146,9 +99,8 @@ def refresh_incidents(
     """Reports of a month (or year): clean table, month counts, and the year's totals."""
     land_incidents(spark, catalog, root, out)
     mine = _in_run(catalog, year, month)
-    landed = read_partitions(spark, f"{out}/landed_incidents", LANDED_SCHEMA).where(mine)
-    columns = incidents.INCIDENT_COLUMNS
-    write_incidents(landed.select(*columns), f"{out}/incidents", owned=mine)
+    landed = read_landed(spark, out).where(mine)
+    write_incidents(landed, f"{out}/incidents", owned=mine)
     fact = read_partitions(spark, f"{out}/incidents", INCIDENT_SCHEMA)
     months = incidents.tract_months(fact.where(mine), index)
     replace_partitions(months, f"{out}/incident_months", INCIDENT_PARTITIONS, owned=mine)

@@ -10,7 +10,7 @@ from tractscope.operators.columns import map_columns
 from tractscope.operators.locate import attach_tract, distinct_coordinates as distinct_points
 from tractscope.operators.lookup import lookup_counties
 from tractscope.operators.tract_index import BROADCAST_BYTES, stored_tract_index
-from tractscope.plans import incidents, loans, profile, schools
+from tractscope.plans import incidents, landing, loans, profile, schools
 from tractscope.plans.refresh import INCIDENT_SCHEMA, LOAN_SCHEMA, PROFILE_SCHEMA
 from tractscope.plans import refresh as job
 from tractscope.session import new_table_path, write_once
@@ -432,12 +432,14 @@ def src_versioned_union(spark, sf_dir):
     return read_incidents(spark, CATALOG, root)
 
 
-def _write_incident_files(spark, sf_dir, root):
+def _write_incident_files(spark, sf_dir, root, some=None, mode="error"):
+    """The files of every city and version, of the reports that meet ``some``."""
     day = F.col("day")
     raw = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG).withColumn("y", F.year(day))
     for city in CATALOG.cities.values():
         for version, layout in city.incident_layouts.items():
             rows = raw.where(F.col("city") == city.key)
+            rows = rows if some is None else rows.where(some)
             if len(city.incident_layouts) > 1:
                 early = F.col("y") <= fx.LAST_V1_YEAR + 1
                 rows = rows.where(early if version == "v1" else F.col("y") >= fx.LAST_V1_YEAR)
@@ -445,7 +447,35 @@ def _write_incident_files(spark, sf_dir, root):
             named = rows.withColumn("date", text).select(
                 *(F.col(target).alias(source) for target, source in layout.columns.items())
             )
-            named.write.csv(root + layout.file, header=True)
+            named.write.mode(mode).csv(root + layout.file, header=True)
+
+
+def _is_late():
+    return F.col("category") == "AF"
+
+
+@query
+def incident_ledger(spark, sf_dir):
+    """Raw rows by landing: all files at once, then those of late reports, added later."""
+    root, out = new_table_path(spark, "raw") + "/", new_table_path(spark, "tables")
+    _write_incident_files(spark, sf_dir, root, ~_is_late())
+    landing.land_incidents(spark, CATALOG, root, out)
+    _write_incident_files(spark, sf_dir, root, _is_late(), mode="append")
+    landing.land_incidents(spark, CATALOG, root, out)
+    counts = landing.landed_counts(spark, out).groupBy("city", "version", "landing")
+    return counts.agg(
+        F.sum("row_count").alias("row_count"), F.sum("reject_count").alias("reject_count")
+    )
+
+
+@query
+def incident_landed(spark, sf_dir):
+    """Clean reports after all files have landed, and again without the late reports."""
+    root, out = new_table_path(spark, "raw") + "/", new_table_path(spark, "tables")
+    for some, mode in ((None, "error"), (~_is_late(), "overwrite")):
+        _write_incident_files(spark, sf_dir, root, some, mode)
+        landing.land_incidents(spark, CATALOG, root, out)
+    return landing.read_landed(spark, out)
 
 
 @query
