@@ -171,3 +171,32 @@ def test_database_properties_come_from_a_file(spark, raw, tmp_path, monkeypatch)
     job.main(["--source", raw, "--target", str(tmp_path / "out"), "--year", "2018", "--month", "2",
               "--jdbc-url", "jdbc:x", "--jdbc-properties", f"{tmp_path}/db.json"])
     assert given and all(found == {"user": "u", "password": "p"} for found in given)
+
+
+def test_a_month_run_makes_one_year_of_the_profile(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    job.refresh(spark, default_catalog(), raw, out, 2017, 12, with_loans=True)
+    assert job.refresh_profile(spark, out) is None
+    folder = tmp_path / "out" / "area_profile"
+    files = {path: path.stat().st_mtime_ns for path in folder.glob("year=2017/*.parquet")}
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
+    assert job.refresh_profile(spark, out) == [2018]
+    assert {p: p.stat().st_mtime_ns for p in folder.glob("year=2017/*.parquet")} == files
+    assert job.refresh_profile(spark, out) == []
+    found = sorted(map(str, job.read_partitions(spark, f"{out}/area_profile", job.PROFILE_SCHEMA).collect()))
+    job.note_years(spark, out, [None])
+    assert job.refresh_profile(spark, out) is None
+    whole = job.read_partitions(spark, f"{out}/area_profile", job.PROFILE_SCHEMA).collect()
+    assert sorted(map(str, whole)) == found
+
+
+def test_changed_schools_change_the_years_of_their_tracts(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    job.refresh(spark, default_catalog(), raw, out, 2017, 12, with_loans=True)
+    job.refresh(spark, default_catalog(), raw, out, 2018, 1, with_loans=True)
+    job.refresh_profile(spark, out)
+    put(tmp_path, "schools/SF.xml", SCHOOL.replace("<gsRating>7", "<gsRating>9"))
+    job.refresh(spark, default_catalog(), raw, out, 2021, 2, with_loans=False)
+    assert job.refresh_profile(spark, out) == [2017, 2018, 2021]
+    rows = job.read_partitions(spark, f"{out}/area_profile", job.PROFILE_SCHEMA).collect()
+    assert {r.average_rating for r in rows if r.tract == "06075010100"} == {8.0}

@@ -391,7 +391,9 @@ def stored_tract_index(
     name = f"{shared_folder(spark)}/tractscope/tract-index-of/{key}"
     try:
         known = spark.read.schema("cells string, levels string, rejected bigint").json(name).first()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         known = None
     if known is not None:
         cells, levels = spark.read.parquet(known.cells), spark.read.parquet(known.levels)

@@ -208,6 +208,22 @@ PROFILE = """, crime AS (
         LEFT JOIN tract_schools s ON a.tract = s.tract
         WHERE regexp_full_match(a.tract, '[0-9]{11}') AND a.year IS NOT NULL"""
 
+
+def _of_periods(schools: str, months: str) -> str:
+    """The profile of the year before, and of some months of the year."""
+    seen = f""", months_seen AS (
+          SELECT tract, city, year, count(*) AS total_count FROM incident_tracts
+          WHERE year = {YEAR - 1} OR year = {YEAR} AND month IN {months}
+          GROUP BY ALL
+        ),
+        crime AS"""
+    profile = PROFILE.replace("FROM tract_years GROUP", "FROM months_seen GROUP")
+    return _sql(
+        f"{LOANS}, {INCIDENT_TRACTS}, {schools}, {SCHOOL_TRACTS}",
+        profile.replace(", crime AS", seen, 1) + f" AND a.year IN ({YEAR - 1}, {YEAR})",
+    ).replace("\n, months_seen", ", months_seen")
+
+
 ORACLE = {
     "loan_tract_rank": _sql(LOANS, "SELECT * FROM loan_ranks"),
     "top_tracts_per_level": _sql(LOANS, f'SELECT * FROM loan_ranks WHERE "rank" <= {TOP_K}'),
@@ -347,20 +363,11 @@ ORACLE = {
         f"{LOANS}, {INCIDENT_TRACTS}, {SCHOOLS}, {SCHOOL_TRACTS}", PROFILE
     ).replace("\n, crime", ", crime"),
     # The job has seen the year before, and two months of the year, with all its loans.
-    "refresh_tables": _sql(
-        f"{LOANS}, {INCIDENT_TRACTS}, {SCHOOLS}, {SCHOOL_TRACTS}",
-        PROFILE.replace("FROM tract_years GROUP", "FROM months_seen GROUP").replace(
-            ", crime AS",
-            f""", months_seen AS (
-          SELECT tract, city, year, count(*) AS total_count FROM incident_tracts
-          WHERE year = {YEAR - 1} OR year = {YEAR} AND month IN ({MONTH}, {MONTH + 1})
-          GROUP BY ALL
-        ),
-        crime AS""",
-            1,
-        )
-        + f" AND a.year IN ({YEAR - 1}, {YEAR})",
-    ).replace("\n, months_seen", ", months_seen"),
+    "refresh_tables": _of_periods(SCHOOLS, f"({MONTH}, {MONTH + 1})"),
+    # One month of the year; the schools without an enrollment have closed.
+    "profile_by_changes": _of_periods(
+        SCHOOLS.replace("FROM supplier", "FROM supplier WHERE s_suppkey % 17 <> 0"), f"({MONTH})"
+    ),
     "src_csv_header": _sql(
         INCIDENTS,
         "SELECT city, version, date, category, longitude, latitude FROM incidents_all",

@@ -9,12 +9,14 @@ small read, not the raw files again.
 import argparse
 import json
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tractscope.catalog import Catalog, default_catalog
 from tractscope.operators.tract_index import TractIndex, stored_tract_index
 from tractscope.plans import incidents, loans, profile, schools
 from tractscope.plans.landing import INCIDENT_SCHEMA, land_incidents, read_landed
+from tractscope.session import write_once
+from tractscope.sinks import swap
 from tractscope.sinks.jdbc import replace_table
 from tractscope.sinks.tables import (
     INCIDENT_PARTITIONS,
@@ -113,22 +115,66 @@ def refresh_incidents(
 def refresh_schools(
     spark: SparkSession, catalog: Catalog, index: TractIndex, root: str, out: str
 ) -> None:
-    """All schools of the cities anew."""
-    table = schools.school_tracts(read_schools(spark, catalog, root), index)
+    """All schools of the cities anew. Years of tracts whose figures change are noted for the
+    profile."""
+    table = write_once(schools.school_tracts(read_schools(spark, catalog, root), index), "schools")
     mine = F.col("city").isin(list(catalog.cities))
+    before = read_partitions(spark, f"{out}/schools", SCHOOL_TABLE_SCHEMA)
+    after = before.where(~mine).unionByName(table)
+    old, new = (schools.schools_by_tract(t) for t in (before, after))
+    changed = old.exceptAll(new).unionByName(new.exceptAll(old)).select("tract").distinct()
+    note_years(spark, out, _years_of(spark, out, write_once(changed, "changed-tracts")))
     replace_partitions(table, f"{out}/schools", ["city"], owned=mine)
 
 
-def refresh_profile(spark: SparkSession, out: str) -> None:
-    """The combined table, from the tables the other steps have written."""
+def _years_of(spark: SparkSession, out: str, tracts: DataFrame) -> list[int]:
+    """Years in which any of the tracts is in the profile's tables."""
     info = read_partitions(spark, f"{out}/tract_info", TRACT_INFO_SCHEMA)
-    years = read_partitions(spark, f"{out}/incident_years", YEAR_SCHEMA)
+    counts = read_partitions(spark, f"{out}/incident_years", YEAR_SCHEMA)
     ranks = read_partitions(spark, f"{out}/loan_ranks", RANK_SCHEMA)
+    tract, year = F.col("census_tract").alias("tract"), F.col("activity_year").alias("year")
+    areas = info.select(tract, year).union(ranks.select(tract, year))
+    areas = areas.union(counts.select("tract", "year")).join(tracts, "tract", "left_semi")
+    return sorted(r.year for r in areas.select("year").distinct().collect() if r.year is not None)
+
+
+def note_years(spark: SparkSession, out: str, years) -> None:
+    """Years whose profile has to be made anew; None stands for all.
+
+    They are noted before the tables change, so that no change is lost if a run fails.
+    """
+    if years:
+        rows = spark.createDataFrame([(year,) for year in years], "year int").coalesce(1)
+        rows.write.mode("append").parquet(f"{out}/profile_changes")
+
+
+def refresh_profile(spark: SparkSession, out: str) -> list[int] | None:
+    """The combined table, from the tables the other steps have written: the years that have
+    changed since it was last made. Returns these, or None for all.
+
+    Only the partitions of these years are read and written.
+    """
+    changes = read_partitions(spark, f"{out}/profile_changes", "year int").distinct().collect()
+    years = sorted(r.year for r in changes if r.year is not None)
+    whole = len(years) < len(changes) or not swap.Folders(spark, f"{out}/area_profile").exists("")
+    if not whole and not years:
+        return []
+
+    def of_years(name, schema, column):
+        table = read_partitions(spark, f"{out}/{name}", schema)
+        return table if whole else table.where(F.col(column).isin(years))
+
+    info = of_years("tract_info", TRACT_INFO_SCHEMA, "activity_year")
+    counts = of_years("incident_years", YEAR_SCHEMA, "year")
+    ranks = of_years("loan_ranks", RANK_SCHEMA, "activity_year")
     school_table = read_partitions(spark, f"{out}/schools", SCHOOL_TABLE_SCHEMA)
     combined = profile.area_profile(
-        loans.tract_population(info), years, ranks, schools.schools_by_tract(school_table)
+        loans.tract_population(info), counts, ranks, schools.schools_by_tract(school_table)
     )
-    combined.write.mode("overwrite").parquet(f"{out}/area_profile")
+    owned = F.lit(True) if whole else F.col("year").isin(years)
+    replace_partitions(combined, f"{out}/area_profile", ["year"], owned=owned)
+    swap.Folders(spark, f"{out}/profile_changes").delete("")
+    return None if whole else years
 
 
 def published_tables(with_loans: bool, with_profile: bool) -> list[str]:
@@ -146,6 +192,7 @@ def publish(spark: SparkSession, out: str, tables: list[str], url: str, properti
 
 def refresh(spark, catalog, root, out, year, month, with_loans: bool) -> None:
     """One period of all cities; loans come out yearly, so not every run has them."""
+    note_years(spark, out, [int(year) if incidents.is_given(year) else None])
     if with_loans:
         refresh_loans(spark, catalog, root, out, year)
     index = stored_tract_index(spark.read.parquet(f"{root}tracts"))

@@ -517,27 +517,50 @@ def sink_incident_correction(spark, sf_dir):
     return read_partitions(spark, path, INCIDENT_SCHEMA)
 
 
-@query
-def refresh_tables(spark, sf_dir):
-    """The periodic job over raw files: the year before ``PERIOD`` at once, the month of
-    ``PERIOD`` and the next one, loans of both years, then the profile of these periods."""
+def _write_raw(spark, sf_dir):
+    """A folder of raw files of all sources, and one for the tables."""
     root = new_table_path(spark, "raw") + "/"
-    out = new_table_path(spark, "tables")
     _write_incident_files(spark, sf_dir, root)
     for version, separator in (("v1", ","), ("v2", "|")):
         rows = fx.loans_in_layout(spark, sf_dir, version)
         year = CATALOG.loan_layouts[version].columns["activity_year"]
         _write_year_folders(rows, year, root + CATALOG.loan_folder, separator)
-    schools_of = fx.schools_raw(spark, sf_dir)
+    _write_schools(spark, sf_dir, root, F.lit(True))
+    fx.tracts(spark, sf_dir).write.parquet(root + "tracts")
+    return root, new_table_path(spark, "tables")
+
+
+def _write_schools(spark, sf_dir, root, some):
     odd = F.col("gsRating") % 2 == 1
-    for city, some in (("SF", odd), ("LA", ~odd)):
+    for city, half in (("SF", odd), ("LA", ~odd)):
+        rows = fx.schools_raw(spark, sf_dir).where(half & some)
         tags = {"rootTag": "schools", "rowTag": "school"}
         path = root + CATALOG.cities[city].school_file
-        schools_of.where(some).write.format("xml").options(**tags).save(path)
-    fx.tracts(spark, sf_dir).write.parquet(root + "tracts")
+        rows.write.format("xml").mode("overwrite").options(**tags).save(path)
+
+
+@query
+def refresh_tables(spark, sf_dir):
+    """The periodic job over raw files: the year before ``PERIOD`` at once, the month of
+    ``PERIOD`` and the next one, loans of both years, then the profile of these periods."""
+    root, out = _write_raw(spark, sf_dir)
     year, month = PERIOD
     job.refresh(spark, CATALOG, root, out, year - 1, None, with_loans=True)
     for number in (month, month + 1):
         job.refresh(spark, CATALOG, root, out, year, number, with_loans=number == month)
     job.refresh_profile(spark, out)
     return read_partitions(spark, f"{out}/area_profile", PROFILE_SCHEMA)
+
+
+@query
+def profile_by_changes(spark, sf_dir):
+    """The profile made after each of two runs, the second for a month only and after some
+    schools have closed: rows as if it were made at once."""
+    root, out = _write_raw(spark, sf_dir)
+    year, month = PERIOD
+    job.refresh(spark, CATALOG, root, out, year - 1, None, with_loans=True)
+    job.refresh_profile(spark, out)
+    _write_schools(spark, sf_dir, root, F.col("enrollment").isNotNull())
+    job.refresh(spark, CATALOG, root, out, year, month, with_loans=True)
+    job.refresh_profile(spark, out)
+    return read_partitions(spark, f"{out}/area_profile", PROFILE_SCHEMA)
