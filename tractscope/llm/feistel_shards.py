@@ -145,8 +145,8 @@ def assign_shards(
     at = permuted(F.col(row_name), max(rows, 1), seed)
     return (
         numbered(kept, order, row_name)
-        .withColumn("place_of_row", at)
-        .withColumn("shard", (F.col("place_of_row") % shards).cast("int"))
-        .withColumn("slot", F.call_function("div", "place_of_row", F.lit(shards)))
-        .drop("place_of_row")
+        .withColumn("_shuffled_place", at)
+        .withColumn("shard", (F.col("_shuffled_place") % shards).cast("int"))
+        .withColumn("slot", F.call_function("div", "_shuffled_place", F.lit(shards)))
+        .drop("_shuffled_place")
     )

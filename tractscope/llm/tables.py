@@ -51,7 +51,8 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     partition. Rows that tie in all of ``order`` get their numbers in any order.
     """
     shift, low = 33, (1 << 33) - 1
-    at, part = f"{name}_at", f"{name}_part"
+    # Names that no column of the caller's is likely to have.
+    at, part, start = f"_numbered_{name}_at", f"_numbered_{name}_part", f"_numbered_{name}_start"
     sort = [F.col(c).asc_nulls_last() for c in order]
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(spread, *sort).sortWithinPartitions(*sort)
@@ -60,11 +61,11 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     ranges = placed.groupBy(part).agg(F.count("*").alias("rows_in_range"))
     starts = ranges.select(
-        part, F.coalesce(F.sum("rows_in_range").over(before), F.lit(0)).alias("range_start")
+        part, F.coalesce(F.sum("rows_in_range").over(before), F.lit(0)).alias(start)
     )
-    number = F.col("range_start") + F.col(at).bitwiseAND(F.lit(low))
+    number = F.col(start) + F.col(at).bitwiseAND(F.lit(low))
     return (
         placed.join(F.broadcast(starts), part)
         .withColumn(name, number)
-        .drop(at, part, "range_start")
+        .drop(at, part, start)
     )
