@@ -64,6 +64,38 @@ def test_language_stage_with_many_close_languages(spark, documents):
     assert rows(pipeline.known_language(spark, docs, SF_DIR)) == rows(letters)
 
 
+def test_language_stage_fills_and_corrects(spark, documents):
+    """What the network says decides the language of documents without one, or a wrong one."""
+    clean = documents.where(F.length("text") > 400).limit(120)
+    docs = clean.withColumn(
+        "lang",
+        F.when(F.col("doc_id") % 5 == 0, F.lit(None).cast("string"))
+        .when(F.col("doc_id") % 23 == 1, F.when(F.col("lang") == "en", "fr").otherwise("en"))
+        .otherwise(F.col("lang")),
+    )
+    true = {r.doc_id: r.lang for r in clean.collect()}
+    given = {r.doc_id: r.lang for r in docs.collect()}
+    found = {r.doc_id: r.lang for r in pipeline.known_language(spark, docs, SF_DIR).collect()}
+    assert found.keys() == true.keys()
+    filled = [i for i in true if given[i] is None]
+    assert len(filled) > 15 and sum(found[i] == true[i] for i in filled) > 0.95 * len(filled)
+    assert all(found[i] == true[i] for i in true if given[i] == true[i])
+    wrong = [i for i in true if given[i] not in (None, true[i])]
+    assert any(found[i] == true[i] for i in wrong)
+    # Other labels to learn from give other languages.
+    wrong = docs.withColumn("lang", F.when(F.col("lang").isNotNull(), "zz"))
+    assert {r.lang for r in pipeline.known_language(spark, wrong, SF_DIR).collect()} == {"zz"}
+
+
+def test_language_stage_with_wanted_languages(spark, documents):
+    docs = documents.limit(150)
+    net = language_id.train(docs)
+    said = {r.doc_id: r.lang_pred for r in language_id.identify(docs, net, keep=("doc_id",)).collect()}
+    found = pipeline.known_language(spark, docs, SF_DIR, frozenset(["de", "fr"])).collect()
+    assert {r.doc_id for r in found} == {i for i, lang in said.items() if lang in ("de", "fr")}
+    assert 0 < len(found) < len(said)
+
+
 def test_language_stage_without_labels(spark, documents):
     docs = documents.limit(30).withColumn("lang", F.lit(None).cast("string"))
     assert language_id.train(docs) is None
