@@ -1,6 +1,7 @@
 """URL filter and HTML extraction."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -270,3 +271,53 @@ def test_precision_and_recall_by_another_rule(model):
     said = model.score(hosts, [f"/x{r.randrange(999)}" for _ in hosts]) >= url_filter.THRESHOLD
     precision, recall = blocked[said].mean(), said[blocked == 1].mean()
     assert precision > 0.85 and recall > 0.65, (precision, recall)
+
+
+STORY_TEXT = "A paragraph of plain prose that is long enough to count as text, with a comma or two, and more."
+
+
+@pytest.mark.parametrize("name", ["social-history", "related-work", "share-prices", "copyrightLaw"])
+@pytest.mark.parametrize("outer", ["article", "main"])
+def test_parts_named_after_a_subject_stay(name, outer):
+    page = (
+        f"<{outer}><h1>T</h1><p>{STORY_TEXT} One.</p><section id='{name}'><h2>S</h2><p>{STORY_TEXT} Two.</p>"
+        f"<p>{STORY_TEXT} Three.</p></section><p class='{name}'>{STORY_TEXT} Four.</p></{outer}>"
+    )
+    wanted = ["T", f"{STORY_TEXT} One.", "S", f"{STORY_TEXT} Two.", f"{STORY_TEXT} Three.", f"{STORY_TEXT} Four."]
+    assert extract(page).split("\n") == wanted
+
+
+@pytest.mark.parametrize("name", ["social-links", "related-posts", "share-box", "copyright", "newsletter-history"])
+def test_parts_named_after_boilerplate_go(name):
+    links = "<a href=x>Some other story</a> <a href=y>One more</a>"
+    page = (
+        f"<article><p>{STORY_TEXT} One.</p><div class='{name}'><p>{STORY_TEXT[:60]}</p>{links}</div>"
+        f"<p>{STORY_TEXT} Two.</p></article>"
+    )
+    assert extract(page) == f"{STORY_TEXT} One.\n{STORY_TEXT} Two."
+
+
+def test_link_lists_of_vague_names_go():
+    links = "".join(f"<li><a href=x>{STORY_TEXT}</a></li>" for _ in range(4))
+    page = f"<article><p>{STORY_TEXT}</p><div class='related-physics'><ul>{links}</ul></div><p>{STORY_TEXT}</p></article>"
+    assert extract(page) == f"{STORY_TEXT}\n{STORY_TEXT}"
+
+
+@pytest.mark.parametrize("tag, name", [("h1", "page-header"), ("h1", "entry-header"), ("h2", "share-title")])
+def test_headings_stay_whatever_their_names(tag, name):
+    page = f"<div id=c><{tag} class='{name}'>Title</{tag}><p>{STORY_TEXT}</p><p>{STORY_TEXT}</p></div>"
+    assert extract(page) == f"Title\n{STORY_TEXT}\n{STORY_TEXT}"
+
+
+def test_a_notice_longer_than_the_article_goes():
+    notice = f"<div class='cookie-consent'>{f'<p>{STORY_TEXT}</p>' * 8}</div>"
+    page = f"<body>{notice}<div id=c><p>{STORY_TEXT} One.</p><p>{STORY_TEXT} Two.</p></div></body>"
+    assert extract(page) == f"{STORY_TEXT} One.\n{STORY_TEXT} Two."
+
+
+def test_deep_pages_take_time_by_their_length():
+    """A hundred thousand open elements, with and without ends that match none."""
+    started = time.perf_counter()
+    for part in ("<div>", "<div></i></section>", "<div><p>x", "<ul><li>", "<table><tr><td>"):
+        assert "end" in extract(part * 100_000 + f"<p>{STORY_TEXT} end</p>")
+    assert time.perf_counter() - started < 60

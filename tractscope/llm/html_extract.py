@@ -3,14 +3,16 @@
 Each paragraph earns points for its length and commas and passes them to its ancestors, less
 the farther up. A container's points are discounted by the share of its text that lies in
 links. The container with most points is the article; siblings that look like parts of it
-are kept with it, and so are headings, short texts and lists between and next to them. Menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments are recognised by element, role or the words of class and id, and take no part.
+are kept with it, and so are headings, short texts and lists between and next to them.
+Menus, headers, footers, sidebars, notices, adverts, forms and reader comments are recognised
+by element, role or the words of class and id, and take no part.
 Words and forms are only a suspicion: a suspect that holds the page's article element, or most
 of the page's points, is the page and not a part beside it.
 """
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -59,8 +61,23 @@ UNWANTED_WORDS = frozenset(
     "topbar toolbar widget login paywall copyright skip".split()
 )
 HEADER_WORDS = frozenset({"header"})
-# Reader comments are often longer than the article, so most points do not tell them from it.
-COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+# Words that name subjects as well. Joined to a word of its own ("related-work") such a name
+# says little, and what the part holds decides; joined to words of layout it stays a suspicion.
+AMBIGUOUS_WORDS = frozenset(
+    "social related recommended share sharing copyright notice notices alert promotion "
+    "subscription navigation".split()
+)
+LAYOUT_WORDS = frozenset(
+    "area articles bar block bottom box button buttons column container content desktop element "
+    "group icon icons inner item items layer left link links list main message mobile more news "
+    "outer page panel post posts right row section site slot stories text title top wrap wrapper".split()
+)
+# Reader comments and notices are often longer than the article, so most points do not tell
+# them from it.
+COMMENT_WORDS = frozenset(
+    "comment comments commentlist disqus respond reply replies cookie cookies consent gdpr popup "
+    "modal overlay newsletter paywall login".split()
+)
 ARTICLE_TAGS = frozenset({"article", "main"})
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -97,11 +114,15 @@ _COMMAS = re.compile("[,،，、;]")
 class Node:
     __slots__ = (
         "tag", "parent", "children", "wanted", "blame", "links", "chars", "link_chars", "points",
-        "own", "own_links", "own_points", "held", "solid", "pool",
+        "own", "own_links", "own_points", "held", "solid", "pool", "in_article", "vague",
+        "all", "all_links",
     )
 
-    def __init__(self, tag, parent, wanted, blame=frozenset()):
+    def __init__(self, tag, parent, wanted, blame=frozenset(), vague=False):
         self.tag, self.parent, self.wanted, self.blame = tag, parent, wanted, blame
+        # Whether the node's content is inside an article element; whether its name is vague.
+        self.in_article = tag in ARTICLE_TAGS or parent is not None and parent.in_article
+        self.vague = vague
         self.children, self.links = [], 0
         self.chars = self.link_chars = 0
         self.points = 0.0
@@ -112,31 +133,38 @@ class Node:
 
 
 def _judge(tag, attributes, in_article):
-    """Whether a node can be wanted, and the words (or ``form``) that speak against it."""
+    """Whether a node can be wanted, the words (or ``form``) that speak against it, and whether
+    they are all parts of vague names."""
     nothing = frozenset()
     if tag in UNWANTED or tag == "header" and not in_article:
-        return False, nothing
+        return False, nothing, False
     blame = FORM if tag == "form" else nothing
     if not attributes or tag in ("html", "body"):
-        return True, blame
+        return True, blame, False
     found = {}
     for name, value in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return False, nothing
+        return False, nothing, False
     if re.search(r"display\s*:\s*none", found.get("style", "")):
-        return False, nothing
+        return False, nothing, False
     role = found.get("role", "").lower()
     if role in UNWANTED_ROLES:
-        return False, nothing
+        return False, nothing, False
+    if tag in HEADINGS:  # a heading goes with the part it stands in
+        return True, nothing, False
     names = (found.get("class", "") + " " + found.get("id", "")).split()
     # "has-sidebar" and "no-comments" tell of a page's layout, not of this element.
     names = [name for name in names if not _LAYOUT.match(name)]
-    words = {word.lower() for name in names for word in _WORDS.findall(name)}
-    blame |= words & UNWANTED_WORDS
+    each = [{word.lower() for word in _WORDS.findall(name)} for name in names]
+    accused = [words for words in each if words & UNWANTED_WORDS]
+    blame = blame.union(*(words & UNWANTED_WORDS for words in accused))
     if role == "form":
         blame |= FORM
-    return True, blame if in_article else blame | words & HEADER_WORDS
+    if not in_article:
+        blame = blame.union(*(words & HEADER_WORDS for words in each))
+    vague = blame <= AMBIGUOUS_WORDS and all(words - UNWANTED_WORDS - LAYOUT_WORDS for words in accused)
+    return True, blame, vague
 
 
 def parse(source: str) -> Node:
@@ -145,6 +173,8 @@ def parse(source: str) -> Node:
     stack = [root]
     buffer, link_chars, in_link = [], 0, False
     at, end = 0, len(source)
+    # How many elements of a tag are open, so that the stack is searched only for one that is.
+    opened = Counter()
 
     def flush():
         nonlocal link_chars
@@ -167,6 +197,7 @@ def parse(source: str) -> Node:
         nonlocal in_link
         flush()
         in_link = False
+        opened.subtract(node.tag for node in stack[depth:])
         del stack[depth:]
 
     while at < end:
@@ -184,12 +215,13 @@ def parse(source: str) -> Node:
             if tag == "a":
                 in_link = False
             elif tag in BLOCKS:
+                if not opened[tag]:
+                    flush()
+                    continue
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == tag:
                         close_to(depth)
                         break
-                else:
-                    flush()
             continue
         if tag in RAW:
             found = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
@@ -204,14 +236,14 @@ def parse(source: str) -> Node:
             stack[-1].links += 1
         elif tag in BLOCKS:
             flush()
-            if tag in CLOSES_P:
+            if tag in CLOSES_P and opened["p"]:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == "p":
                         close_to(depth)
                         break
                     if stack[depth].tag in ("button", "td", "th", "caption", "object"):
                         break
-            if tag in ENDS:
+            if tag in ENDS and any(opened[other] for other in ENDS[tag][0]):
                 ended, within = ENDS[tag]
                 lowest = None
                 for depth in range(len(stack) - 1, 0, -1):
@@ -223,20 +255,20 @@ def parse(source: str) -> Node:
                     close_to(lowest)
             if tag in VOID:
                 continue
-            if tag in ("html", "body") and any(node.tag == tag for node in stack):
+            if tag in ("html", "body") and opened[tag]:
                 continue
-            if tag == "body":  # ends an open head
+            if tag == "body" and opened["head"]:  # ends an open head
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == "head":
                         close_to(depth)
                         break
             parent = stack[-1]
-            in_article = any(node.tag in ARTICLE_TAGS for node in stack)
-            wanted, blame = _judge(tag, token[3], in_article)
-            node = Node(tag, parent, parent.wanted and wanted, blame)
+            wanted, blame, vague = _judge(tag, token[3], parent.in_article)
+            node = Node(tag, parent, parent.wanted and wanted, blame, vague)
             parent.children.append(node)
             if not token[3].endswith("/") or tag != "svg":
                 stack.append(node)
+                opened[tag] += 1
     flush()
     return root
 
@@ -275,8 +307,9 @@ def _prune(root):
 
     A suspect is kept if it holds the page's article element, or more than half of the points
     of the page (inside an article element, of that element). Suspects of one word that lie
-    side by side count together, as the text blocks of a page builder do. Comments hold the
-    page only if all longer texts lie in them. Without points, characters count.
+    side by side count together, as the text blocks of a page builder do. Comments and notices
+    hold the page only if all longer texts lie in them. Without points, characters count. A
+    suspect of a vague name is kept if it holds a longer text and few links.
     """
     nodes = _in_order(root)
     _weigh(nodes)
@@ -287,9 +320,12 @@ def _prune(root):
     for node in nodes:
         free = node.own - node.own_links
         node.held, node.solid = node.own_points if earned else free, int(free > SIBLING_CHARS)
+        node.all, node.all_links = node.own, node.own_links
     for node in reversed(nodes[1:]):
         node.parent.held += node.held
         node.parent.solid += node.solid
+        node.parent.all += node.all
+        node.parent.all_links += node.all_links
 
     main, peers = _article_elements(nodes)
     holders, main_holders = set(), set()
@@ -311,7 +347,8 @@ def _prune(root):
     for node in suspects:
         comments = bool(node.blame & COMMENT_WORDS)
         holds = node in (main_holders if comments else holders)
-        if holds or is_most(node.pool, node.held, node.solid, comments):
+        text = node.vague and node.solid and node.all_links <= SIBLING_LINKS * node.all
+        if text or holds or is_most(node.pool, node.held, node.solid, comments):
             excused.add(node)
     words, before = set(), -1
     while len(excused) > before:
