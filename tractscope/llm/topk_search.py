@@ -162,8 +162,12 @@ def search(
     asked = quantized(queries, id_col, vector_col, factor).groupBy("vec_id").agg(
         F.min("weights").alias("weights")
     )
+    # Few tasks pack the queries, so that their blocks are full.
+    asked = write_once(asked, "queries")
+    sums = asked.agg(F.count("*").alias("n"), F.sum(F.size("weights")).alias("weights")).first()
+    full = max(sums.n // BLOCK_ROWS, (sums.weights or 0) // BLOCK_WEIGHTS) + 1
     names = {name: f"query_{name}" for name in _PACKED.names}
-    blocks = packed(asked).withColumnsRenamed(names)
+    blocks = packed(asked.coalesce(full)).withColumnsRenamed(names)
     blocks = blocks.withColumn("block_key", F.crc32("query_ids"))
     numbered_blocks = numbered(blocks, ["block_key"], "query_block").drop("block_key")
     query_blocks = write_once(numbered_blocks, "query-blocks")
@@ -183,11 +187,15 @@ def search(
         )
 
     def run(batches):
+        held = None
         for batch in batches:
             for pair in batch.to_pylist():
-                block = Block(*(pair[name] for name in _PACKED.names))
+                # A block of candidates is followed by itself, once for each block of queries.
+                packed_block = tuple(pair[name] for name in _PACKED.names)
+                if packed_block != held:
+                    held, block = packed_block, Block(*packed_block)
+                    postings = block.postings()
                 asked = Block(*(pair[names[name]] for name in _PACKED.names))
-                postings = block.postings()
                 for at in range(0, len(asked.ids), CHUNK_ROWS):
                     to = min(at + CHUNK_ROWS, len(asked.ids))
                     scores = accumulate(asked, at, to, postings, len(block.ids))
