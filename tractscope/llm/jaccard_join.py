@@ -11,6 +11,13 @@ component has to be verified. The first round verifies, for every shared shingle
 against one centre, and each class of a group against the group's first. The second round
 verifies every candidate pair whose two sides are still in different components, so no link
 between components is missed.
+
+In the second round the smaller set of a pair is found by its first shingles only, about a
+seventh of it: what it shares with a set no smaller must begin there. So texts that share
+less than that with each other (pages of one template below the threshold) do not meet at
+all. A shingle that very many groups share is dealt out by size as well, to the sizes that
+its place in each set leaves possible. Groups of the component that holds most of a
+shingle's groups do not meet each other there.
 """
 
 import numpy as np
@@ -24,11 +31,16 @@ from tractscope.llm.words import Powers, Slice, mixed, slices, text_bytes, tidy
 from tractscope.session import write_once
 
 PERCENT = 75
-# Shingles are counted in so many buckets to put frequent ones last (8 MB, broadcast). More
-# would tell more shingles apart; any number gives the same links.
-BUCKET_BITS, CHUNK_BITS = 21, 10
-# Bits of the broadcast filters (8 MB and 4 MB). A full filter lets more through, no less.
-SHARED_BITS, CHOSEN_BITS = 26, 25
+# Shingles are counted in buckets to put frequent ones last: one bucket for BUCKET_BYTES of
+# text, 2^21 to 2^25 of them (a byte each, broadcast). More tell more shingles apart; any
+# number gives the same links.
+BUCKET_BITS, MOST_BUCKET_BITS, BUCKET_BYTES, CHUNK_BITS = 21, 25, 512, 10
+# Bits of the broadcast filters: 2^26 (8 MB), from 2^25 prefix shingles on two for each of them
+# up to 2^30 (128 MB); and 2^25 (4 MB). A full filter lets more through, no less.
+SHARED_BITS, MOST_SHARED_BITS, CHOSEN_BITS = 26, 30, 25
+# A shingle that begins the search of more groups than HOT is dealt out by their sizes, too,
+# in steps of a thirty-second of a natural logarithm, and in parts of SPLIT groups.
+HOT, SIZE_STEPS, SPLIT = 256, 32, 1 << 14
 # Prefix shingles of one part when shared ones are looked for, and of one task's buffer; and
 # rows looked at together. They bound memory only.
 PART_TOKENS, BUFFER_TOKENS, ROWS = 1 << 20, 1 << 18, 500
@@ -104,11 +116,18 @@ def _unpacked(data) -> np.ndarray:
 # --- passes over the texts -----------------------------------------------------------
 
 
-def bucket_counts(texts: DataFrame) -> np.ndarray:
-    """How many shingles of all texts fall into each bucket.
+def _bits_for(wanted, least, most):
+    """Bits that number ``wanted`` places, within bounds."""
+    return min(max(int(wanted).bit_length(), least), max(least, most))
+
+
+def bucket_ranks(texts: DataFrame) -> np.ndarray:
+    """How frequent the shingles of each bucket are, in eighths of a doubling (0 to 255).
 
     Each task sends its counts in chunks, which are added up chunk by chunk as they come in.
     """
+    size_of_all = texts.agg(F.sum(F.octet_length(texts.columns[0]))).first()[0] or 0
+    bits = _bits_for(size_of_all // BUCKET_BYTES, BUCKET_BITS, MOST_BUCKET_BITS)
     schema = StructType(
         [
             StructField("chunk", IntegerType()),
@@ -116,7 +135,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
             StructField("counts", BinaryType()),
         ]
     )
-    size = 1 << (BUCKET_BITS - CHUNK_BITS)
+    size = 1 << (bits - CHUNK_BITS)
 
     def packed(chunks):
         """Counts of chunks in the fewest bytes that hold them."""
@@ -130,7 +149,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
         return pa.RecordBatch.from_arrays(arrays, schema.names)
 
     def count(batches):
-        powers, counts = Powers(), np.zeros(1 << BUCKET_BITS, np.uint32)
+        powers, counts = Powers(), np.zeros(1 << bits, np.uint32)
         found, waiting = [], 0
 
         def flush():
@@ -142,7 +161,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
 
         for batch in batches:
             for _, _, _, h in _by_text(batch.column(0), powers):
-                found.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+                found.append((h >> np.uint64(64 - bits)).astype(np.int32))
                 waiting += len(h)
                 if waiting >= BUFFER_TOKENS:
                     flush()
@@ -158,20 +177,26 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
                 part = np.frombuffer(part, f"i{width}").astype(np.int64)
                 sums[chunk] = sums[chunk] + part if chunk in sums else part
         if sums:
-            yield packed(sums.items())
+            ranks = {k: np.minimum(8 * np.log2(v + 1.0), 255).astype(np.uint8) for k, v in sums.items()}
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(ranks), pa.int32()),
+                    pa.array([r.tobytes() for r in ranks.values()], pa.binary()),
+                ],
+                names=["chunk", "ranks"],
+            )
 
-    total = np.zeros((1 << CHUNK_BITS, size), np.uint32)
-    summed = texts.mapInArrow(tidy(count), schema).repartition("chunk").mapInArrow(tidy(add), schema)
-    for row in summed.collect():
-        part = np.frombuffer(row.counts, f"i{row.width}")
-        total[row.chunk] = np.minimum(part.astype(np.int64), 0xFFFFFFFF)
-    return total.ravel()
+    ranks = np.zeros((1 << CHUNK_BITS, size), np.uint8)
+    sent = texts.mapInArrow(tidy(count), schema).repartition("chunk")
+    for row in sent.mapInArrow(tidy(add), "chunk int, ranks binary").collect():
+        ranks[row.chunk] = np.frombuffer(row.ranks, np.uint8)
+    return ranks.ravel()
 
 
 def _prefixes(texts: DataFrame, id_type, shared) -> DataFrame:
     """One row for each text: its set's size and fingerprint, its prefix and the prefix's.
 
-    ``shared`` is the broadcast of the bucket counts.
+    ``shared`` is the broadcast of the buckets' ranks.
     """
     schema = StructType(
         [
@@ -183,14 +208,15 @@ def _prefixes(texts: DataFrame, id_type, shared) -> DataFrame:
         ]
     )
     def run(batches):
-        powers = Powers()
+        powers, ranks = Powers(), shared.value
+        drop = np.uint64(64 - (len(ranks).bit_length() - 1))
         for batch in batches:
             sizes, keys, prefix_keys, prefixes = [], [], [], []
             for _, texts_here, owner, h in _by_text(batch.column(1), powers):
                 n = np.bincount(owner, minlength=texts_here)
                 bounds = np.r_[0, np.cumsum(n)]
                 keys += _fingerprints(h, bounds)
-                frequency = shared.value[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                frequency = ranks[(h >> drop).astype(np.int64)]
                 ordered = h[np.lexsort((h, frequency, owner))]
                 taken = np.where(n > 0, prefix_length(n), 0)
                 place = np.arange(len(h)) - np.repeat(bounds[:-1], n)
@@ -310,8 +336,9 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
     upper bits; those that a task has met twice are marked, so however many texts share a
     shingle, a part gets it once from each buffer of a task.
     """
+    bits = _bits_for(2 * tokens, SHARED_BITS, MOST_SHARED_BITS)
     parts = 1
-    while parts * PART_TOKENS < tokens and parts < 1 << (SHARED_BITS - 3):
+    while parts * PART_TOKENS < tokens and parts < 1 << (bits - 3):
         parts *= 2
     schema = StructType(
         [
@@ -365,7 +392,7 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int64()),
-                    pa.array([_bit_slice(again, part, parts, SHARED_BITS)], pa.binary()),
+                    pa.array([_bit_slice(again, part, parts, bits)], pa.binary()),
                 ],
                 names=_SLICE.names,
             )
@@ -383,7 +410,7 @@ def _shared_filter(prefixes: DataFrame, tokens: int) -> np.ndarray:
             yield result()
 
     dealt = prefixes.mapInArrow(tidy(deal), schema).repartition("part").sortWithinPartitions("part")
-    return _gathered(dealt.mapInArrow(tidy(find), _SLICE), SHARED_BITS, parts)
+    return _gathered(dealt.mapInArrow(tidy(find), _SLICE), bits, parts)
 
 
 def _postings(rows: DataFrame, shared) -> DataFrame:
@@ -488,6 +515,101 @@ def _overlap(x, y):
 # --- the join -------------------------------------------------------------------------
 
 
+def _size_step(n):
+    """Number of a size's step; a larger size never has a smaller one."""
+    return F.floor(F.log(n.cast("double")) * SIZE_STEPS).cast("int")
+
+
+def _candidates(postings: DataFrame, spans: DataFrame) -> DataFrame:
+    """(group_a, group_b): pairs of groups of different kin that could reach the threshold.
+
+    ``postings`` has (group, n, token, place) of all shingles that groups share, ``spans``
+    (group, kin). The set of ``a`` is the smaller, or as large with a smaller group number.
+    """
+    # Whether a set could find one no smaller by this shingle, as the first common one: what
+    # lies behind it must be enough for two sets of its own size.
+    left = F.col("n") - F.col("place")
+    begins_search = left * (100 + PERCENT) >= F.col("n") * (2 * PERCENT)
+    postings = postings.join(spans, "group").withColumn("finds", begins_search)
+    postings = write_once(postings, "jaccard-kin")
+    # Only shingles in groups of two kins or more matter, and there the groups of the most
+    # frequent kin need not meet each other.
+    kins = postings.groupBy("token", "kin").agg(
+        F.count("*").alias("groups"), F.count_if("finds").alias("finders")
+    )
+    tokens = (
+        kins.groupBy("token")
+        .agg(
+            F.count("*").alias("kins"),
+            F.max_by("kin", F.struct("groups", "kin")).alias("major"),
+            F.sum("finders").alias("finders"),
+        )
+        .where(F.col("kins") > 1)
+        .drop("kins")
+    )
+    in_order = Window.partitionBy("group").orderBy("place")
+    met_by = (
+        postings.join(tokens, "token")
+        .withColumn("before", F.lag("token").over(in_order))
+        .withColumn("major", F.col("kin") == F.col("major"))
+    )
+    met_by = write_once(met_by, "jaccard-open")
+
+    # The larger set looks among the sizes that the place of the shingle in it leaves possible.
+    searched = met_by.where(F.col("finders") > 0)
+    hot = F.col("finders") > HOT
+    own_step = F.when(hot, _size_step(F.col("n"))).otherwise(0)
+    least = F.ceil(F.col("n") * PERCENT / 100 - F.lit(1e-6))
+    most = F.floor(left * (100 + PERCENT) / PERCENT + F.lit(1e-6)) - F.col("n")
+    most = F.greatest(least, F.least(F.col("n"), most))
+    steps = F.when(hot, F.sequence(_size_step(least), _size_step(most))).otherwise(
+        F.array(F.lit(0))
+    )
+    parts = F.ceil(F.col("finders") / SPLIT)
+    kept = ("group", "n", "place", "before", "kin")
+    # Finders of the major kin meet the others only, finders of another kin meet all.
+    meets = F.when(F.col("major"), F.array(F.lit(False))).otherwise(
+        F.array(F.lit(False), F.lit(True))
+    )
+    finders = searched.where("finds").select(
+        "token",
+        own_step.alias("step"),
+        F.pmod(F.xxhash64("group"), parts).alias("part"),
+        F.explode(meets).alias("major"),
+        *(F.col(name).alias(f"{name}_a") for name in kept),
+    )
+    found = searched.select(
+        "token",
+        "major",
+        F.explode(steps).alias("step"),
+        parts.alias("parts"),
+        *(F.col(name).alias(f"{name}_b") for name in kept),
+    ).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    # Two sets meet only where a run of shingles that follow each other in both begins, as
+    # it does at their first common one.
+    begins = ~F.col("before_a").eqNullSafe(F.col("before_b")) | F.col("before_a").isNull()
+    smaller = (F.col("n_a") < F.col("n_b")) | (
+        (F.col("n_a") == F.col("n_b")) & (F.col("group_a") < F.col("group_b"))
+    )
+    sides = (F.col(f"{name}_{side}") for name in ("n", "place") for side in ("a", "b"))
+    met = (
+        finders.join(found.drop("parts"), ["token", "step", "part", "major"])
+        .where((F.col("kin_a") != F.col("kin_b")) & smaller & begins & _possible(*sides))
+        .select("group_a", "group_b")
+        .distinct()
+    )
+    lists = met_by.groupBy("group").agg(
+        F.collect_list("token").alias("tokens"), F.first("n").alias("n")
+    )
+    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    return (
+        met.join(lists.toDF("group_a", "tokens_a", "na"), "group_a")
+        .join(lists.toDF("group_b", "tokens_b", "nb"), "group_b")
+        .where(_enough(F.col("na"), F.col("nb"), common))
+        .select("group_a", "group_b")
+    )
+
+
 def link_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -507,10 +629,10 @@ def link_components(
         F.col(text_col).cast("string").alias("text"),
     )
     context = docs.sparkSession.sparkContext
-    counts = context.broadcast(bucket_counts(texts.select("text")))
-    rows = _prefixes(texts.select("id", "text"), texts.schema["id"].dataType, counts)
+    ranks = context.broadcast(bucket_ranks(texts.select("text")))
+    rows = _prefixes(texts.select("id", "text"), texts.schema["id"].dataType, ranks)
     rows = write_once(rows.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows")
-    counts.destroy()
+    ranks.destroy()
     full = rows.where(F.col("n") > 0)
 
     # Classes of equal sets, and groups of classes with equal prefixes and sizes.
@@ -577,48 +699,23 @@ def link_components(
         "class", "group", "n", F.coalesce("root", "class").alias("root")
     )
     placed = write_once(placed, "jaccard-placed")
-    spans = placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed_tokens = (
-        postings.join(spans, "group")
-        .groupBy("token")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .where(F.col("low") != F.col("high"))
-        .select("token")
-    )
-    in_order = Window.partitionBy("group").orderBy("place")
-    open_postings = (
-        postings.drop("centre", "n")
-        .join(mixed_tokens, "token")
-        .withColumn("before", F.lag("token").over(in_order))
-        .join(placed, "group")
-    )
-    names = ("class", "root", "n", "place", "before")
-    open_postings = write_once(open_postings.select("token", *names), "jaccard-open")
-    left, right = (
-        open_postings.toDF("token", *(f"{name}_{side}" for name in names)) for side in ("a", "b")
-    )
-    # Two sets meet only where a run of shingles that follow each other in both begins, as
-    # it does at their first common one.
-    begins = ~F.col("before_a").eqNullSafe(F.col("before_b")) | F.col("before_a").isNull()
-    sides = (F.col(f"{name}_{side}") for name in ("n", "place") for side in ("a", "b"))
-    met = (
-        left.join(right, "token")
-        .where((F.col("root_a") < F.col("root_b")) & begins & _possible(*sides))
-        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-        .distinct()
-    )
-    lists = open_postings.groupBy("class").agg(
-        F.collect_list("token").alias("tokens"), F.first("n").alias("n")
-    )
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    across = (
-        met.join(lists.toDF("a", "tokens_a", "na"), "a")
-        .join(lists.toDF("b", "tokens_b", "nb"), "b")
-        .where(_enough(F.col("na"), F.col("nb"), common))
-        .select("a", "b")
+    # A group's kin is the component of all its classes, or its own where they have several.
+    one_root = F.min("root") == F.max("root")
+    spans = placed.groupBy("group").agg(
+        F.when(one_root, F.min("root")).otherwise(-1 - F.col("group")).alias("kin")
     )
+    across = _candidates(postings.drop("centre"), spans)
+    # Only now are the groups of a pair expanded into their classes.
+    for side in ("a", "b"):
+        classes_of = placed.select(
+            F.col("group").alias(f"group_{side}"),
+            F.col("class").alias(side),
+            F.col("root").alias(f"root_{side}"),
+        )
+        across = across.join(classes_of, f"group_{side}")
+    across = across.where(F.col("root_a") != F.col("root_b")).select("a", "b")
     # Classes of one group that share no other group's shingle meet here.
-    inside = placed.join(spans.where(F.col("low") != F.col("high")), "group")
+    inside = placed.join(spans.where(F.col("kin") < 0), "group")
     left, right = (
         inside.select("group", "n", F.col("class").alias(side), F.col("root").alias(f"root_{side}"))
         for side in ("a", "b")
