@@ -72,6 +72,57 @@ def test_buckets_and_filters_change_nothing(spark, monkeypatch):
     check(spark, corpus(9))
 
 
+def families(seed):
+    """Texts of common templates with ends of their own, from well above the threshold to well
+    below it, so that many of different sizes share the same shingles."""
+    r = random.Random(seed)
+    texts = []
+    for t in range(3):
+        template = [f"t{t}w{r.randint(0, 10**6)}" for _ in range(r.randint(50, 90))]
+        for i in range(120):
+            own = [f"own{t}x{i}y{k}" for k in range(r.randint(0, 45))]
+            texts.append(" ".join(template + own))
+    # Two templates in one text, and parts of a template.
+    for _ in range(60):
+        a, b = r.choice(texts).split(), r.choice(texts).split()
+        texts.append(" ".join(a[: r.randint(5, len(a))] + b[: r.randint(5, 30)]))
+    r.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("hot", [0, 5, 256])
+def test_families_about_the_threshold(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    monkeypatch.setattr(jaccard_join, "SPLIT", 7 if hot == 5 else 1 << 14)
+    check(spark, families(hot))
+
+
+def test_texts_below_the_threshold_do_not_meet(spark, monkeypatch):
+    """Texts with four fifths in common are no candidates, however many there are."""
+    template = " ".join(f"t{k}" for k in range(160))
+    texts = [f"{template} " + " ".join(f"u{i}x{k}" for k in range(36)) for i in range(200)]
+    pairs = []
+    candidates = jaccard_join._candidates
+
+    def counted(postings, spans):
+        found = candidates(postings, spans)
+        pairs.append((found.count(), postings.where(
+            (F.col("n") - F.col("place")) * 175 >= F.col("n") * 150
+        ).groupBy("token").count().where("count > 1").count()))
+        assert set(found.columns) == {"group_a", "group_b"}
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_candidates", counted)
+    check(spark, texts)
+    assert pairs == [(0, 0)]
+
+
+def test_bits_follow_the_input():
+    assert jaccard_join._bits_for(0, 21, 25) == jaccard_join._bits_for(1 << 20, 21, 25) == 21
+    assert jaccard_join._bits_for(1 << 22, 21, 25) == 23
+    assert jaccard_join._bits_for(1 << 40, 21, 25) == 25
+
+
 def test_nothing_alike_and_all_alike(spark):
     check(spark, [f"text {i} " * 6 for i in range(20)])
     check(spark, ["the same words again and again in every text"] * 30)

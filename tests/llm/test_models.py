@@ -102,6 +102,25 @@ def test_sample_is_bounded_and_stable(documents):
     assert sorted(chosen.collect()) == sorted(again.collect())
 
 
+def test_sample_is_shared_by_many_labels(spark):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 60).cast("string")).alias("lang"),
+    )
+    counts = dict(folds.sample_ids(rows, "doc_id", "lang", 500, 1, 1000).groupBy("lang").count().collect())
+    assert len(counts) == 21 and set(counts.values()) == {1000 // 21}
+    with pytest.raises(ValueError, match="more than 20 labels"):
+        folds.sample_ids(rows, "doc_id", "lang", 500, 1, 20)
+    # The least hashes of each label, as if all were ranked.
+    chosen = folds.sample_ids(rows, "doc_id", "lang", 30, 5)
+    spots = rows.select("lang", "doc_id", folds.seeded_hash(F.col("doc_id"), 5).alias("spot"))
+    wanted = {}
+    for lang, doc_id, spot in spots.collect():
+        wanted.setdefault(lang, []).append((spot, doc_id))
+    wanted = {(doc_id, lang) for lang, found in wanted.items() for _, doc_id in sorted(found)[:30]}
+    assert {tuple(row) for row in chosen.collect()} == wanted
+
+
 def test_quality_of_held_out_documents(spark, documents, model):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = quality_gam.classify(documents, model).join(labels, "doc_id")
