@@ -21,7 +21,7 @@ from tractscope.llm.words import tidy
 MARK = "▁"
 # Size of the table at which a task starts it anew, and characters looked up at once; both
 # bound memory and change no result.
-TABLE_BYTES = 48 << 20
+TABLE_BYTES = 24 << 20
 GROUP_CHARS = 1 << 19
 
 
