@@ -95,3 +95,16 @@ def test_empty_and_repeated(spark, empty):
     docs = frame(spark, ["a b c"] * 3).withColumn("doc_id", F.lit(None).cast("long"))
     rows = quality_rules.ledger(docs.limit(0) if empty else docs).collect()
     assert [r.n_words for r in rows] == ([] if empty else [3, 3, 3])
+
+
+def test_a_kept_text_is_sent_once_and_comes_back(spark):
+    rows = [(1, "a b c", 5), (2, None, None), (3, "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n int")
+    source, place = words.kept_and_text(docs, ("text", "n"), "text")
+    assert (source.columns, place) == (["text", "n"], 0)
+    source, place = words.kept_and_text(docs, ("doc_id",), "n")
+    assert (source.dtypes[place][1], place) == ("string", 1)
+    kept = quality_rules.measure(docs, "text", ("text", "doc_id")).collect()
+    assert {(r.doc_id, r.text, r.n_words) for r in kept} == {(1, "a b c", 3), (2, None, 0), (3, "", 0)}
+    alone = quality_rules.measure(docs, "n", ("doc_id",)).collect()
+    assert {(r.doc_id, r.n_words) for r in alone} == {(1, 1), (2, 0), (3, 1)}

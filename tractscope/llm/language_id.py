@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tractscope.llm.folds import held_out, sample_ids
 from tractscope.llm.tables import seeded_hash
-from tractscope.llm.words import text_bytes, tidy
+from tractscope.llm.words import kept_and_text, text_bytes, tidy
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 24, 8
 WIDEST = max(WIDTHS)
@@ -254,18 +254,19 @@ def identify(
     """
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     schema = StructType([*docs.select(*keep).schema.fields, *added])
+    source, place = kept_and_text(docs, keep, text_col)
 
     def identified(batch):
-        texts = batch.columns[-1]
+        texts = batch.column(place)
         if net is None:
             found = [UNKNOWN] * len(texts), [0.0] * len(texts)
         else:
             found = predict_batch(net, texts)
         columns = [pa.array(found[0], pa.string()), pa.array(found[1], pa.float64())]
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
+        kept = batch.columns[: len(keep)]
+        return pa.RecordBatch.from_arrays([*kept, *columns], names=schema.names)
 
     def run(batches):
         return map(identified, batches)
 
-    source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_identify"))
     return source.mapInArrow(tidy(run), schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tractscope.llm.words import Powers, mixed, text_slices, tidy
+from tractscope.llm.words import Powers, kept_and_text, mixed, text_slices, tidy
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = [
@@ -84,6 +84,7 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ())
     like a measure.
     """
     kept = docs.select(*keep)
+    source, place = kept_and_text(docs, keep, text_col)
     schema = StructType(
         [*kept.schema.fields, *(StructField(name, LongType()) for name in MEASURES)]
     )
@@ -93,18 +94,20 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ())
 
         def measured(batch):
             columns = {name: np.zeros(batch.num_rows, np.int64) for name in MEASURES}
-            for at, s in text_slices(batch.column(batch.num_columns - 1), powers):
+            for at, s in text_slices(batch.column(place), powers):
                 for name, values in measure_slice(s).items():
                     columns[name][at : at + len(values)] = values
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(columns[name]) for name in MEASURES)],
+                [
+                    *batch.columns[: len(keep)],
+                    *(pa.array(columns[name]) for name in MEASURES),
+                ],
                 names=schema.names,
             )
 
         # Unlike a loop, this keeps no batch while the next one is read.
         return map(measured, batches)
 
-    source = docs.select(*keep, F.col(text_col).cast("string").alias("text_to_measure"))
     return source.mapInArrow(tidy(run), schema)
 
 

@@ -14,6 +14,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 SLICE_BYTES = 1 << 18
 WINDOW = 5
@@ -40,6 +41,18 @@ def tidy(run):
     return wrapped
 
 
+def kept_and_text(docs: DataFrame, keep, text_col: str) -> tuple[DataFrame, int]:
+    """``keep`` columns and the text as a string, for Arrow batches, and the text's place.
+
+    A text that is kept is not sent a second time.
+    """
+    keep = tuple(keep)
+    if text_col in keep and dict(docs.dtypes).get(text_col) == "string":
+        return docs.select(*keep), keep.index(text_col)
+    text = F.col(text_col).cast("string").alias("text_of_task")
+    return docs.select(*keep, text), len(keep)
+
+
 def _constants(count, seed):
     return np.random.default_rng(seed).integers(1, 1 << 63, count, dtype=np.uint64) | np.uint64(1)
 
