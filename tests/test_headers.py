@@ -111,3 +111,22 @@ def test_other_delimiters(spark, tmp_path):
 @pytest.mark.parametrize("years", [[], [2016], [2016, 2031]])
 def test_years_without_a_folder(spark, tmp_path, years):
     assert read_loans(spark, default_catalog(), f"{tmp_path}/", years).count() == 0
+
+
+def test_long_files_are_cut_for_the_census(spark, tmp_path, monkeypatch):
+    """Whatever the session's splits, only the beginning of a file is searched; the session's
+    own setting stays."""
+    path = put(tmp_path, "big.csv", "n,m\n" + "\n".join(f"{i},y" for i in range(20_000)) + "\n")
+    name, seen, real = "spark.sql.files.maxPartitionBytes", [], type(spark.read).text
+    before = spark.conf.get(name)
+    monkeypatch.setattr(headers, "FIRST_BYTES", 10_000)
+
+    def noted(reader, *given):
+        lines = real(reader, *given)
+        seen.append(lines.rdd.getNumPartitions())
+        return lines
+
+    monkeypatch.setattr(type(spark.read), "text", noted)
+    assert [r.line for r in headers.header_census(spark, path).collect()] == ["n,m"]
+    assert seen[0] > 10 and spark.conf.get(name) == before
+    assert read_csv_header(spark, path).selectExpr("sum(cast(n as int))").first()[0] == 199990000

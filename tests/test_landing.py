@@ -7,8 +7,9 @@ import pytest
 
 from test_sources import put, write_reports
 from tractscope.catalog import default_catalog
+from tractscope import registry
 from tractscope.plans import landing
-from tractscope.sources.incidents import list_sources, read_incidents
+from tractscope.sources.incidents import list_sources, of_their_version, read_incidents
 
 CATALOG = default_catalog()
 
@@ -139,3 +140,42 @@ def test_listing(spark, raw):
     rows = list_sources(spark, CATALOG, raw).collect()
     assert sorted((r.city, r.version) for r in rows) == [("LA", "v1"), ("SF", "v1"), ("SF", "v2")]
     assert all(r.length > 0 and r.modified > 10**15 for r in rows)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dates_are_parsed_once(spark, raw, tmp_path, monkeypatch):
+    """What has been parsed keeps its day, and its file by number."""
+    written, real = {}, landing.write_once
+    monkeypatch.setattr(
+        landing, "write_once", lambda frame, label: written.setdefault(label, real(frame, label))
+    )
+    landing.land_incidents(spark, CATALOG, raw, str(tmp_path / "out"))
+    parsed = written["landing"]
+    assert "_file" not in parsed.columns
+    assert "regexp_replace" not in plan_of(of_their_version(parsed, CATALOG))
+    # Without a kept day: once for each of two patterns.
+    assert plan_of(read_incidents(spark, CATALOG, raw)).count("regexp_replace") == 2
+
+
+def test_reports_of_no_year_fit_every_version(spark, raw, tmp_path):
+    put(tmp_path, "incidents/SF_v1.csv", "Date,Y,X,Category\njunk,37.71,-122.45,ODD\n")
+    put(tmp_path, "incidents/SF_v2.csv",
+        "Incident Date,Latitude,Longitude,Incident Category\n,37.71,-122.45,NONE\n")
+    out = str(tmp_path / "out")
+    landing.land_incidents(spark, CATALOG, raw, out)
+    wanted = [("LA", "LA", 2018), ("SF", "NONE", None), ("SF", "ODD", None)]
+    assert landed(spark, out) == wanted
+    plain = read_incidents(spark, CATALOG, raw).collect()
+    assert sorted(((r.city, r.category, r.year) for r in plain), key=str) == wanted
+
+
+def test_reports_are_derived_once_for_all_landings(spark, monkeypatch):
+    calls, real = [], registry.fx.incidents_raw
+    monkeypatch.setattr(
+        registry.fx, "incidents_raw", lambda *given: calls.append(given) or real(*given)
+    )
+    assert registry.QUERIES["incident_landed"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 1

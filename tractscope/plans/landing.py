@@ -11,8 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tractscope.catalog import Catalog
-from tractscope.plans.incidents import INCIDENT_COLUMNS
+from tractscope.catalog import Catalog, dimension
+from tractscope.plans.incidents import INCIDENT_COLUMNS, with_day
 from tractscope.session import write_once
 from tractscope.sinks.tables import read_partitions
 from tractscope.sources.headers import BROADCAST_FILES, CORRUPT, reject_reason
@@ -87,15 +87,19 @@ def land_incidents(spark: SparkSession, catalog: Catalog, root: str, out: str) -
 
 
 def _append_rows(spark, catalog, changed, first, out) -> None:
-    """The clean rows, the quarantine and the counts of the files; parsed once."""
+    """The clean rows, the quarantine and the counts of the files.
+
+    Lines and dates are parsed once. A row names its file by its entry, not by its path.
+    """
     entries = {r.file: first + i for i, r in enumerate(changed)}
     parsed = parse_files(spark, catalog, changed, entries)
     if parsed is None:
         return
-    parsed = write_once(parsed, "landing")
-    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(
+    parsed = write_once(with_day(parsed.drop("_file"), catalog), "landing")
+    files = dimension(spark, ["entry", "file"], [(entry, file) for file, entry in entries.items()])
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).join(files, "entry").select(
         "entry",
-        F.col("_file").alias("file"),
+        "file",
         F.col(CORRUPT).alias("line"),
         reject_reason(F.col(CORRUPT), ",", F.col("width")).alias("reason"),
     )

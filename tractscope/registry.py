@@ -428,17 +428,22 @@ def _write_loan_files(spark, sf_dir):
 def src_versioned_union(spark, sf_dir):
     """Reports from one file set per city and version; versions overlap by a year."""
     root = new_table_path(spark, "versions") + "/"
-    _write_incident_files(spark, sf_dir, root)
+    _write_incident_files(_dated_reports(spark, sf_dir), root)
     return read_incidents(spark, CATALOG, root)
 
 
-def _write_incident_files(spark, sf_dir, root, some=None, mode="error"):
+def _dated_reports(spark, sf_dir):
+    """Reports of all cities with their day, derived once for all files that are made of them."""
+    dated = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG)
+    return write_once(dated.drop("version", "date").withColumn("y", F.year("day")), "reports")
+
+
+def _write_incident_files(reports, root, some=None, mode="error"):
     """The files of every city and version, of the reports that meet ``some``."""
     day = F.col("day")
-    raw = incidents.with_day(fx.incidents_raw(spark, sf_dir), CATALOG).withColumn("y", F.year(day))
     for city in CATALOG.cities.values():
         for version, layout in city.incident_layouts.items():
-            rows = raw.where(F.col("city") == city.key)
+            rows = reports.where(F.col("city") == city.key)
             rows = rows if some is None else rows.where(some)
             if len(city.incident_layouts) > 1:
                 early = F.col("y") <= fx.LAST_V1_YEAR + 1
@@ -458,9 +463,10 @@ def _is_late():
 def incident_ledger(spark, sf_dir):
     """Raw rows by landing: all files at once, then those of late reports, added later."""
     root, out = new_table_path(spark, "raw") + "/", new_table_path(spark, "tables")
-    _write_incident_files(spark, sf_dir, root, ~_is_late())
+    reports = _dated_reports(spark, sf_dir)
+    _write_incident_files(reports, root, ~_is_late())
     landing.land_incidents(spark, CATALOG, root, out)
-    _write_incident_files(spark, sf_dir, root, _is_late(), mode="append")
+    _write_incident_files(reports, root, _is_late(), mode="append")
     landing.land_incidents(spark, CATALOG, root, out)
     counts = landing.landed_counts(spark, out).groupBy("city", "version", "landing")
     return counts.agg(
@@ -472,8 +478,9 @@ def incident_ledger(spark, sf_dir):
 def incident_landed(spark, sf_dir):
     """Clean reports after all files have landed, and again without the late reports."""
     root, out = new_table_path(spark, "raw") + "/", new_table_path(spark, "tables")
+    reports = _dated_reports(spark, sf_dir)
     for some, mode in ((None, "error"), (~_is_late(), "overwrite")):
-        _write_incident_files(spark, sf_dir, root, some, mode)
+        _write_incident_files(reports, root, some, mode)
         landing.land_incidents(spark, CATALOG, root, out)
     return landing.read_landed(spark, out)
 
@@ -520,7 +527,7 @@ def sink_incident_correction(spark, sf_dir):
 def _write_raw(spark, sf_dir):
     """A folder of raw files of all sources, and one for the tables."""
     root = new_table_path(spark, "raw") + "/"
-    _write_incident_files(spark, sf_dir, root)
+    _write_incident_files(_dated_reports(spark, sf_dir), root)
     for version, separator in (("v1", ","), ("v2", "|")):
         rows = fx.loans_in_layout(spark, sf_dir, version)
         year = CATALOG.loan_layouts[version].columns["activity_year"]

@@ -8,10 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tractscope.session import write_once
+from tractscope.session import new_table_path, write_once
 
 # Files of at most so many, counted, meet the rows by broadcast (a path and a number each).
 BROADCAST_FILES = 100_000
+# Bytes of a file's beginning that are searched for its header line.
+FIRST_BYTES = 8 << 20
 # Distinct header lines of one source; every one is a case in the plan.
 MOST_HEADERS = 200
 CORRUPT = "_corrupt_record"
@@ -25,9 +27,12 @@ def header_census(spark: SparkSession, path) -> DataFrame:
     """(file, line): the header line of every file that has one, as a written table.
 
     As in Spark's reader that is the first line that is not blank, a byte order mark being no
-    part of it. The files' first blocks are read once by all tasks, and nothing of them but
-    these lines leaves the tasks; nothing is done per file on the driver.
+    part of it. The files are cut into short blocks for this scan, so that only the lines at the
+    beginning of each reach Python, whatever its length; nothing of them but the header lines
+    leaves the tasks, and nothing is done per file on the driver.
     """
+    short = spark.newSession()
+    short.conf.set("spark.sql.files.maxPartitionBytes", FIRST_BYTES)
 
     def first_of_each(batches):
         # A split's rows are in order, so a file's first row is where the file changes.
@@ -43,11 +48,14 @@ def header_census(spark: SparkSession, path) -> DataFrame:
             last = names[codes[-1]]
             yield batch.take(pa.array(first, pa.int64()))
 
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = short.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
     starts = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).select(
         F.col("file_path").alias("file"), F.col("value").alias("line")
     )
-    return write_once(starts.mapInArrow(first_of_each, "file string, line string"), "headers")
+    found = starts.mapInArrow(first_of_each, "file string, line string")
+    table = new_table_path(spark, "headers")
+    found.write.parquet(table)
+    return spark.read.schema(found.schema).parquet(table)
 
 
 def header_names(spark: SparkSession, line: str, delimiter: str) -> list[str]:

@@ -6,8 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tractscope.catalog import Catalog, dimension
-from tractscope.functions.dates import parse_date_by
-from tractscope.plans.incidents import INCIDENT_COLUMNS, clean_incidents, is_given
+from tractscope.plans.incidents import INCIDENT_COLUMNS, clean_incidents, is_given, with_day
 from tractscope.sources.files import is_absent
 from tractscope.sources.headers import (
     CORRUPT,
@@ -116,29 +115,22 @@ def of_their_version(rows: DataFrame, catalog: Catalog, year=None, month=None) -
 
     Date patterns and years come with joined rows. File versions overlap in time, and a
     report of a year is taken from the one version the catalog names for it. Reports without
-    a readable date belong to no year; they stay unless a period is asked for.
+    a readable date belong to no year; they stay unless a period is asked for. Rows that
+    already have the ``day`` of their date are not parsed again.
     """
-    spark = rows.sparkSession
-    sources = catalog.incident_source_dim(spark).select("city", "version", "date_format")
-    sources = sources.join(catalog.incident_years_dim(spark), ["city", "version"])
-    formats = [(F.col("date_format") == p, p) for p in catalog.date_formats()]
-    extra = [c for c in rows.columns if c not in ("city", *TARGETS)] + ["is_latest", "listed_years"]
-    clean = clean_incidents(
-        rows.join(F.broadcast(sources) if _few(catalog) else sources, ["city", "version"]),
-        parse_date_by(F.col("date"), formats),
-        year,
-        month,
-        extra,
-    )
+    if "day" not in rows.columns:
+        rows = with_day(rows, catalog)
+    years = catalog.incident_years_dim(rows.sparkSession)
+    extra = [c for c in rows.columns if c not in ("city", "day", *TARGETS)]
+    extra += ["is_latest", "listed_years"]
+    dated = rows.join(years, ["city", "version"])
+    clean = clean_incidents(dated, F.col("day"), year, month, extra)
+    # One mention of the year: each would parse the text once more. No year fits.
     listed = F.array_contains("listed_years", F.col("year"))
-    fits = F.col("year").isNull() | (listed != F.col("is_latest"))
+    fits = F.coalesce(listed != F.col("is_latest"), F.lit(True))
     return clean.where(fits).drop("is_latest", "listed_years")
 
 
-def _few(catalog: Catalog) -> bool:
-    return sum(len(c.incident_layouts) for c in catalog.cities.values()) <= 100_000
-
-
 def read_incidents(
     spark: SparkSession, catalog: Catalog, root: str, year=None, month=None
 ) -> DataFrame:
