@@ -3,9 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
+from tractscope import registry
 from tractscope.oracle import ORACLE
 from tractscope.registry import QUERIES
 
@@ -38,3 +40,28 @@ def test_loan_files_of_every_year(spark, con):
     found = QUERIES["loan_files_every_year"](spark, SF_DIR).select("activity_year").distinct()
     wanted = con.execute("SELECT DISTINCT year(o_orderdate) FROM orders").fetchall()
     assert len(wanted) > 3 and {r.activity_year for r in found.collect()} == {y for (y,) in wanted}
+
+
+@pytest.mark.parametrize("name", ["loan_files", "src_year_glob"])
+def test_year_folders_derive_their_rows_once(spark, monkeypatch, name):
+    """One join for each layout, whatever the number of years, and no customers in the driver."""
+    real = registry.fx.loans_in_layout
+
+    def noted(*given):
+        rows = real(*given)
+        counted = F.udf(lambda x: joined_rows.add(1) or x, "string")
+        return rows.withColumn("action_taken", counted("action_taken"))
+
+    joined_rows = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(registry.fx, "loans_in_layout", noted)
+    QUERIES[name](spark, SF_DIR)
+    years = "year(o_orderdate) <= 1997" if name == "src_year_glob" else "true"
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").where(years).count()
+    assert joined_rows.value == orders
+
+
+def test_customers_are_not_broadcast(spark):
+    for version in ("v1", "v2"):
+        rows = registry.fx.loans_in_layout(spark, SF_DIR, version)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

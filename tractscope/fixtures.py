@@ -45,9 +45,13 @@ def _digits(value: Column, width: int) -> Column:
 
 
 def loans_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loan applications of both layouts in one table, names as in the later layout."""
+    """Loan applications of both layouts in one table, names as in the later layout.
+
+    Customers grow with the orders, and a file of few compressed bytes may hold very many of
+    them: they are shuffled, and never sent through the driver.
+    """
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
     order, cust, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
     year = F.year("o_orderdate")
     is_v1 = year <= LAST_V1_YEAR

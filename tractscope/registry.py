@@ -384,16 +384,24 @@ def src_year_glob(spark, sf_dir):
 
 def _write_year_folders(rows, year, prefix, separator):
     """Folders ``<prefix><year>``; a part of each folder's files has its columns reversed.
-    Returns the years."""
-    years = set()
-    odd = F.col("action_taken") == "1"
+    Returns the years.
+
+    The rows are derived once, into partitions by folder and order of columns; each write reads
+    its own partition.
+    """
+    years, spark = set(), rows.sparkSession
     folder, _, name = prefix.rpartition("/")
-    for some, columns in ((odd, rows.columns), (~odd, rows.columns[::-1])):
-        part = rows.where(some).withColumn("folder", F.concat(F.lit(name), F.col(year)))
-        for found in sorted(r.folder for r in part.select("folder").distinct().collect()):
-            files = part.where(F.col("folder") == found).select(*columns)
-            files.write.mode("append").csv(f"{folder}/{found}", sep=separator, header=True)
-            years.add(int(found.removeprefix(name)))
+    parted = rows.withColumns(
+        {"folder": F.concat(F.lit(name), F.col(year)), "odd": F.col("action_taken") == "1"}
+    )
+    path = new_table_path(spark, "year-folders")
+    parted.write.partitionBy("folder", "odd").parquet(path)
+    staged = spark.read.schema(parted.schema).parquet(path)
+    for found in sorted(staged.select("folder", "odd").distinct().collect(), reverse=True):
+        files = staged.where((F.col("folder") == found.folder) & (F.col("odd") == found.odd))
+        files = files.select(*rows.columns[:: 1 if found.odd else -1])
+        files.write.mode("append").csv(f"{folder}/{found.folder}", sep=separator, header=True)
+        years.add(int(found.folder.removeprefix(name)))
     return sorted(years)
 
 
