@@ -42,7 +42,7 @@ def test_loan_files_of_every_year(spark, con):
     assert len(wanted) > 3 and {r.activity_year for r in found.collect()} == {y for (y,) in wanted}
 
 
-@pytest.mark.parametrize("name", ["loan_files", "src_year_glob"])
+@pytest.mark.parametrize("name", ["loan_files", "loan_files_every_year", "src_year_glob"])
 def test_year_folders_derive_their_rows_once(spark, monkeypatch, name):
     """One join for each layout, whatever the number of years, and no customers in the driver."""
     real = registry.fx.loans_in_layout
