@@ -60,6 +60,19 @@ def test_year_folders_derive_their_rows_once(spark, monkeypatch, name):
     assert joined_rows.value == orders
 
 
+def test_raw_files_derive_their_loans_once(spark, monkeypatch):
+    """As above, for the raw files that ``refresh_tables`` and ``profile_by_changes`` start from."""
+    real, derived = registry.fx.loans_in_layout, spark.sparkContext.accumulator(0)
+
+    def noted(*given):
+        counted = F.udf(lambda x: derived.add(1) or x, "string")
+        return real(*given).withColumn("action_taken", counted("action_taken"))
+
+    monkeypatch.setattr(registry.fx, "loans_in_layout", noted)
+    registry._write_raw(spark, SF_DIR)
+    assert derived.value == spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
+
+
 def test_customers_are_not_broadcast(spark):
     for version in ("v1", "v2"):
         rows = registry.fx.loans_in_layout(spark, SF_DIR, version)
